@@ -76,23 +76,23 @@ def running_sum(srt: DataFrame, value: str, out: str, by: list[str] | None = Non
     partition, and rows add up within their block. No task gets all rows of a group.
     """
     by = by or []
-    block = F.shiftright(F.col(mid), 12)
-    srt = srt.withColumn("_blk", block)
-    sums = srt.groupBy(*by, "_blk").agg(F.sum(value).alias("_s"))
-    sums = sums.withColumn("_pid", F.shiftright(F.col("_blk"), _LOCAL_BITS - 12))
-    inner = Window.partitionBy(*by, "_pid").orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    parts = sums.groupBy(*by, "_pid").agg(F.sum("_s").alias("_p"))
-    outer = Window.partitionBy(*(by or [F.lit(0)])).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    before_part = parts.select(*by, "_pid", F.coalesce(F.sum("_p").over(outer), F.lit(0)).alias("_bp"))
-    sums = sums.withColumn("_bb", F.coalesce(F.sum("_s").over(inner), F.lit(0))).drop("_s")
-    keys = [*by, "_pid"]
-    cond = [sums[k].eqNullSafe(before_part[k]) for k in keys]
-    sums = sums.join(before_part, cond).select(*[sums[k] for k in by], sums["_blk"], (F.col("_bb") + F.col("_bp")).alias("_off"))
+    keys = [F.col(k).alias(f"_k{i}") for i, k in enumerate(by)]
+    names = [f"_k{i}" for i in range(len(by))]
+    srt = srt.withColumn("_blk", F.shiftright(F.col(mid), 12))
+    sums = srt.select(*keys, F.col("_blk").alias("_b"), F.col(value).alias("_v")).groupBy(*names, "_b").agg(F.sum("_v").alias("_s"))
+    sums = sums.withColumn("_pid", F.shiftright(F.col("_b"), _LOCAL_BITS - 12))
+    before = Window.rowsBetween(Window.unboundedPreceding, -1)
+    parts = sums.groupBy(*names, "_pid").agg(F.sum("_s").alias("_p"))
+    outer = before.partitionBy(*(names or [F.lit(0)])).orderBy("_pid")
+    parts = parts.select(*[F.col(n).alias(f"_p{n}") for n in names], F.col("_pid").alias("_p_pid"), F.coalesce(F.sum("_p").over(outer), F.lit(0)).alias("_bp"))
+    inner = before.partitionBy(*names, "_pid").orderBy("_b")
+    sums = sums.withColumn("_bb", F.coalesce(F.sum("_s").over(inner), F.lit(0)))
+    on = [F.col(n).eqNullSafe(F.col(f"_p{n}")) for n in names] + [F.col("_pid") == F.col("_p_pid")]
+    sums = sums.join(parts, on).select(*names, "_b", (F.col("_bb") + F.col("_bp")).alias("_off"))
     rows = Window.partitionBy(*by, "_blk").orderBy(mid).rowsBetween(Window.unboundedPreceding, 0)
-    srt = srt.withColumn("_in", F.sum(value).over(rows))
-    cond = [srt[k].eqNullSafe(sums[k]) for k in [*by, "_blk"]]
-    return (srt.join(sums, cond).select(*[srt[c] for c in srt.columns if c not in ("_blk", "_in")],
-                                        (F.col("_in") + F.col("_off")).alias(out)))
+    on = [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(by, names, strict=True)] + [F.col("_blk") == F.col("_b")]
+    return (srt.withColumn("_in", F.sum(value).over(rows)).join(sums, on)
+            .withColumn(out, F.col("_in") + F.col("_off")).drop("_blk", "_b", "_in", "_off", *names))
 
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:

@@ -26,7 +26,31 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op2_exact_dedup)}
+def op3_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.hilbert_sharding import hilbert_shards, measured
+
+    docs = measured(table(spark, sf_dir, "documents")).select("doc_id", "lang", "source", "size", "text_crc32")
+    placed = hilbert_shards(docs, shards=8)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "curve")
+
+
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.decontamination import benchmark_hits
+
+    hits = benchmark_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), width=10)
+    return hits.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                       F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+                       F.size("spans").cast("long").alias("n_spans"))
+
+
+def op6_weighted_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.mixing import fair_mix, word_count
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", word_count(F.col("text")).alias("size"))
+    return fair_mix(docs, weights=(5, 2, 1), repeats=3, share=1.0).select("doc_id", "size", "source_size", "target", "taken")
+
+
+QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op2_exact_dedup, op3_hilbert_sharding, op4_benchmark_decontamination, op6_weighted_mixing)}
 
 ORACLES = {
     "op2_exact_dedup": rf"""
