@@ -43,6 +43,14 @@ def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
                        F.size("spans").cast("long").alias("n_spans"))
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.substring_dedup import repeated_spans
+
+    out = repeated_spans(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_chars", "n_chunks", "n_repeated", "n_removed", (F.col("n_removed") > 0).alias("has_repeat"),
+                      F.transform("spans", lambda s: s["start"]).alias("span_starts"), F.transform("spans", lambda s: s["end"]).alias("span_ends"))
+
+
 def op6_weighted_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.llm.mixing import fair_mix, word_count
 
@@ -50,7 +58,7 @@ def op6_weighted_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fair_mix(docs, weights=(5, 2, 1), repeats=3, share=1.0).select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op2_exact_dedup, op3_hilbert_sharding, op4_benchmark_decontamination, op6_weighted_mixing)}
+QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op2_exact_dedup, op3_hilbert_sharding, op4_benchmark_decontamination, op5_substring_dedup, op6_weighted_mixing)}
 
 ORACLES = {
     "op2_exact_dedup": rf"""
