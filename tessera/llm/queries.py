@@ -58,7 +58,28 @@ def op6_weighted_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fair_mix(docs, weights=(5, 2, 1), repeats=3, share=1.0).select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op2_exact_dedup, op3_hilbert_sharding, op4_benchmark_decontamination, op5_substring_dedup, op6_weighted_mixing)}
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.quality import quality_scores
+
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), max_fit_rows=6000)
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.language_id import language_columns
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    out = language_columns(docs, host=F.col("source"))
+    return out.select("doc_id", F.col("lang").alias("declared"), "language", "text_language", "posterior", "accepted")
+
+
+def op9_chat_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.chat_format import perspectives
+
+    return perspectives(table(spark, sf_dir, "conversations"))
+
+
+QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op2_exact_dedup, op3_hilbert_sharding, op4_benchmark_decontamination, op5_substring_dedup, op6_weighted_mixing,
+                                 op7_quality_classifier, op8_language_id, op9_chat_perspectives)}
 
 ORACLES = {
     "op2_exact_dedup": rf"""
@@ -66,4 +87,16 @@ WITH d AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '{WHITE}', '
 SELECT doc_id, min(doc_id) OVER (PARTITION BY h) AS keep_id, count(*) OVER (PARTITION BY h) AS group_size,
        doc_id = min(doc_id) OVER (PARTITION BY h) AS kept, h AS text_sha256
 FROM d""",
+    "op9_chat_perspectives": """
+WITH base AS (SELECT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text FROM conversations),
+sp AS (SELECT DISTINCT conv_id, role AS perspective FROM base WHERE role <> 'system'),
+r AS (SELECT base.*, perspective,
+        '<|im_start|>' || CASE WHEN role = 'system' THEN 'system' WHEN role = perspective THEN 'assistant' ELSE 'user name=' || role END || chr(10) AS head
+      FROM base JOIN sp ON base.conv_id IS NOT DISTINCT FROM sp.conv_id),
+s AS (SELECT *, head || text || '<|im_end|>' || chr(10) AS segment FROM r),
+o AS (SELECT *, sum(length(segment)) OVER (PARTITION BY conv_id, perspective ORDER BY turn, role, text ROWS UNBOUNDED PRECEDING)::BIGINT AS char_end FROM s)
+SELECT conv_id, perspective, turn, role, segment, char_end - length(segment) AS char_start, char_end,
+       CASE WHEN role = perspective THEN char_end - length(segment) + length(head) END AS target_start,
+       CASE WHEN role = perspective THEN char_end END AS target_end
+FROM o""",
 }
