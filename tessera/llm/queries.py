@@ -78,8 +78,14 @@ def op9_chat_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return perspectives(table(spark, sf_dir, "conversations"))
 
 
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.html_extract import main_texts
+
+    return main_texts(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op2_exact_dedup, op3_hilbert_sharding, op4_benchmark_decontamination, op5_substring_dedup, op6_weighted_mixing,
-                                 op7_quality_classifier, op8_language_id, op9_chat_perspectives)}
+                                 op7_quality_classifier, op8_language_id, op9_chat_perspectives, op10_html_extraction)}
 
 ORACLES = {
     "op2_exact_dedup": rf"""
