@@ -32,6 +32,7 @@ from tessera.llm import textscan as ts
 from tessera.llm.common import components, written
 
 _U = np.uint64
+_PARTS = 64
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -137,7 +138,8 @@ def _open_pairs(member: DataFrame, classes: DataFrame, sets: DataFrame, label: D
     """Pairs that share a bucket, lie in different components and can still reach the similarity.
 
     Exact bounds keep the number low: a shingle that only one document in these buckets has cannot be common to any
-    two, so the rest of a document's set (its core) bounds each overlap. A pair is made in its first shared band only.
+    two, so the rest of a document's set (its core) bounds each overlap, and so do the sums of the smaller core counts over
+    parts of the hash range. A pair is made in its first shared band only.
     """
     tagged = member.join(label, F.col("rep") == F.col("node"), "left").select("mark", "band", "rep", "size", F.coalesce("component", "rep").alias("component"))
     mixed = tagged.groupBy("mark").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("n")).where("lo < hi AND n > 2").select("mark")
@@ -145,14 +147,19 @@ def _open_pairs(member: DataFrame, classes: DataFrame, sets: DataFrame, label: D
     ids = open_.select("rep").distinct()
     each = sets.join(ids, sets["id"] == ids["rep"], "left_semi").select("id", F.explode("shingles").alias("x"))
     common = each.groupBy("x").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("x")
-    core = each.join(common, "x", "left_semi").groupBy("id").agg(F.count(F.lit(1)).alias("core"))
+    part = F.pmod("x", F.lit(_PARTS)).cast("int")
+    core = each.join(common, "x", "left_semi").groupBy("id", part.alias("part")).agg(F.count(F.lit(1)).cast("int").alias("n"))
+    core = core.groupBy("id").agg(F.sum("n").alias("core"), F.map_from_entries(F.collect_list(F.struct("part", "n"))).alias("by"))
+    core = core.select("id", "core", F.transform(F.sequence(F.lit(0), F.lit(_PARTS - 1)), lambda k: F.coalesce(F.try_element_at("by", k), F.lit(0))).alias("parts"))
     core = core.join(classes.select("rep", "size", "marks"), F.col("id") == F.col("rep")).where(F.lit(100) * F.col("core") >= F.lit(percent) * F.col("size"))
     full = open_.drop("size").join(core.drop("id"), "rep")
-    u = full.select("mark", "band", F.col("rep").alias("a"), F.col("size").alias("na"), F.col("core").alias("ka"), F.col("component").alias("ca"), F.col("marks").alias("ma"))
-    v = full.select("mark", F.col("rep").alias("b"), F.col("size").alias("nb"), F.col("core").alias("kb"), F.col("component").alias("cb"), F.col("marks").alias("mb"))
-    reach = F.lit(100 + percent) * F.least("ka", "kb") >= F.lit(percent) * (F.col("na") + F.col("nb"))
+    u = full.select("mark", "band", F.col("rep").alias("a"), F.col("size").alias("na"), F.col("core").alias("ka"), F.col("component").alias("ca"), F.col("marks").alias("ma"), F.col("parts").alias("pa"))
+    v = full.select("mark", F.col("rep").alias("b"), F.col("size").alias("nb"), F.col("core").alias("kb"), F.col("component").alias("cb"), F.col("marks").alias("mb"), F.col("parts").alias("pb"))
+    enough = lambda overlap: F.lit(100 + percent) * overlap >= F.lit(percent) * (F.col("na") + F.col("nb"))
+    reach = enough(F.least("ka", "kb"))
+    reach_by_part = enough(F.aggregate(F.zip_with("pa", "pb", lambda x, y: F.least(x, y)), F.lit(0), lambda acc, x: acc + x))
     first_band = F.array_position(F.zip_with("ma", "mb", lambda x, y: x == y), True) == F.col("band") + 1
-    on = (u["mark"] == v["mark"]) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & fits(F.col("na"), F.col("nb")) & reach & first_band
+    on = (u["mark"] == v["mark"]) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & fits(F.col("na"), F.col("nb")) & reach & first_band & reach_by_part
     return u.join(v, on).select("a", "b")
 
 
