@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -70,6 +71,10 @@ def cut_position(before: str, after: str, text: str, gap: int = 50, floor: float
     return cut
 
 
-@F.udf("int")
-def cut_position_of(before: str, after: str, text: str):
-    return cut_position(before or "", after or "", text or "")
+def cut_position_of(before: Column, after: Column, text: Column) -> Column:
+    @F.arrow_udf("int")
+    def cut(before: pa.Array, after: pa.Array, text: pa.Array) -> pa.Array:
+        rows = zip(before.to_pylist(), after.to_pylist(), text.to_pylist(), strict=True)
+        return pa.array([cut_position(b or "", a or "", t or "") for b, a, t in rows], pa.int32())
+
+    return cut(before, after, text)

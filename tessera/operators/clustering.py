@@ -62,8 +62,8 @@ def buckets(units: DataFrame, pairs: DataFrame, limit: int = 100_000) -> DataFra
     Bisection needs a class's whole similarity matrix, so a class is one task: meant for the units of one blocking key
     (say, of one label subtree), given as ``classification``. Pairs are grouped by class first, so only similar pairs travel.
     """
-    cls = units.select(F.col("sku_id").alias("a"), "classification")
-    rows = pairs.join(cls, "a").select("classification", "a", "b", "similarity")
+    cls = units.select(F.col("sku_id").alias("a"), F.col("classification").alias("class"))
+    rows = pairs.join(cls, "a").select("class", "a", "b", "similarity")
     left = units.select("classification", "sku_id", "ord", "token_count")
 
     def split(key, items: pd.DataFrame, sims: pd.DataFrame) -> pd.DataFrame:
@@ -78,7 +78,7 @@ def buckets(units: DataFrame, pairs: DataFrame, limit: int = 100_000) -> DataFra
             out.loc[at, "bucket_id"] = f"{key[0]}_bucket_{k:03d}"
         return out if len(out) else pd.DataFrame({"sku_id": [], "token_count": [], "bucket_id": []})
 
-    return left.groupBy("classification").cogroup(rows.groupBy("classification")).applyInPandas(split, "sku_id string, token_count long, bucket_id string")
+    return left.groupBy("classification").cogroup(rows.groupBy("class")).applyInPandas(split, "sku_id string, token_count long, bucket_id string")
 
 
 def bucket_totals(members: DataFrame) -> DataFrame:

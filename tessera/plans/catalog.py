@@ -1,4 +1,8 @@
-"""Registered queries over the knowledge operators: name -> (spark, sf_dir) -> DataFrame, and their SQL oracles."""
+"""Registered queries over the knowledge operators: name -> (spark, sf_dir) -> DataFrame, and their SQL oracles.
+
+Every query runs over its whole tables. Where an oracle is missing, SQL cannot express the operator, and tests compare
+it with a plain model on small inputs.
+"""
 
 from __future__ import annotations
 
@@ -7,6 +11,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.functions import edit_distance, responses, text
+from tessera.operators import clustering, graph, resolution, routing, segmentation, similarity, workspace
+from tessera.plans import inputs
+from tessera.plans.inputs import table
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -24,15 +33,519 @@ def query(oracle: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+# Common table expressions of the oracles, one per derived input.
+FILES = """files AS (SELECT doc_id, 'input/' || source || '/' || lang || '/doc_' || doc_id || '.' || list_extract(['pdf','PPTX','docx','html','md','txt','csv','xlsx','png','mp3','zip'], doc_id % 11 + 1) AS path,
+  lower(list_extract(['pdf','PPTX','docx','html','md','txt','csv','xlsx','png','mp3','zip'], doc_id % 11 + 1)) AS e, source, lang, n_chars AS length FROM documents)"""
+URLS = """urls AS (SELECT page_id * 2 AS url_id, url, 'firecrawl' AS parser FROM pages UNION ALL
+  SELECT page_id * 2 + 1, CASE page_id % 6 WHEN 0 THEN 'https://www.YouTube.com/watch?v=vid' || page_id || '&t=1' WHEN 1 THEN 'https://www.bilibili.com/video/BV' || page_id
+    WHEN 2 THEN 'https://github.com/owner/repo-' || page_id WHEN 3 THEN 'https://github.com/owner/re.po' || page_id WHEN 4 THEN 'https://github.com/owner/repo' || page_id || '/issues/' || page_id
+    ELSE 'https://github.com/owner/repo' || page_id || '.git' END,
+  CASE page_id % 6 WHEN 0 THEN 'youtube' WHEN 1 THEN 'bilibili' WHEN 2 THEN 'repomix' WHEN 5 THEN 'repomix' ELSE 'firecrawl' END FROM pages)"""
+SKUS = """skus AS (SELECT doc_id AS ord, CASE WHEN doc_id % 3 < 2 THEN format('sku_{:03d}', doc_id) ELSE format('skill_{:03d}', doc_id) END AS sku_id,
+  left(trim(regexp_replace(regexp_replace(regexp_replace(lower(array_to_string(list_slice(regexp_split_to_array(text, '[ \\n]+'), 1, 5), ' ')), '[\\s_]+', '-', 'g'), '[^a-z0-9-]', '', 'g'), '-+', '-', 'g'), '-'), 64) AS name,
+  CASE WHEN doc_id % 3 < 2 THEN 'factual' ELSE 'procedural' END AS classification, source AS source_chunk, n_chars AS character_count, string_split(text, chr(10))[1] AS description, text AS content, lang FROM documents)"""
+MD = """turns AS (SELECT conv_id AS doc_id, turn, CASE WHEN role = 'user' THEN 2 ELSE 3 END AS level, 'Turn ' || turn || ' (' || role || ')' AS title,
+    CASE WHEN role = 'user' THEN '## Turn ' ELSE '### Turn ' END || turn || ' (' || role || ')' || chr(10) || chr(10) || text || chr(10) || chr(10) AS content FROM conversations),
+  parts AS (SELECT doc_id, turn, level, title, content FROM turns UNION ALL SELECT DISTINCT doc_id, -1, 1, 'Conversation ' || doc_id, '# Conversation ' || doc_id || chr(10) || chr(10) FROM turns
+    UNION ALL SELECT DISTINCT doc_id, -2, 0, '', 'Preamble of ' || doc_id || chr(10) || chr(10) FROM turns WHERE doc_id % 2 = 0),
+  sec AS (SELECT doc_id, row_number() OVER w AS seq, level, title, content, coalesce(sum(length(content)) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start_pos,
+    greatest(1, length(content) // 4) AS token_count FROM parts WINDOW w AS (PARTITION BY doc_id ORDER BY turn)),
+  tree AS (SELECT *, max(CASE WHEN level = 1 THEN seq END) OVER b AS l1, max(CASE WHEN level = 2 THEN seq END) OVER b AS l2, min(CASE WHEN level <= 2 AND level > 0 THEN seq END) OVER a AS n2, count(*) OVER (PARTITION BY doc_id) AS n
+    FROM sec WINDOW b AS (PARTITION BY doc_id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), a AS (PARTITION BY doc_id ORDER BY seq ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)),
+  tree2 AS (SELECT *, CASE level WHEN 2 THEN l1 WHEN 3 THEN greatest(l1, l2) END AS parent_seq, CASE level WHEN 0 THEN seq + 1 WHEN 1 THEN n + 1 WHEN 2 THEN coalesce(n2, n + 1) ELSE seq + 1 END AS subtree_end_seq FROM tree),
+  sums AS (SELECT t.doc_id, t.seq, sum(s.token_count) AS subtree_tokens, string_agg(s.content, '' ORDER BY s.seq) AS whole FROM tree2 t JOIN sec s ON s.doc_id = t.doc_id AND s.seq >= t.seq AND s.seq < t.subtree_end_seq GROUP BY ALL)"""
+EDGES = """edges AS (SELECT l_orderkey * 8 + l_linenumber AS ord, CASE WHEN l_linenumber % 2 = 0 THEN upper(p_name) ELSE p_name END AS subject,
+  CASE l_returnflag WHEN 'A' THEN 'part-of' WHEN 'N' THEN 'requires' ELSE 'related-to' END AS predicate, s_name AS object, l_linestatus AS chunk
+  FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey)"""
+PATHS = """paths AS (SELECT c_custkey AS ord, r_name AS a, CASE WHEN c_custkey % 2 = 0 THEN n_name ELSE lower(n_name) END AS b, c_mktsegment AS c FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)"""
+TERMS = """terms AS (SELECT p_partkey AS ord, CASE WHEN p_partkey % 3 = 0 THEN upper(string_split(p_name, ' ')[-1]) ELSE string_split(p_name, ' ')[-1] END AS term, p_name || ' ' || p_type AS definition, p_type AS label, p_brand AS chunk, string_split(p_name, ' ')[1] AS related FROM part),
+  gloss AS (SELECT arg_min(term, ord) AS term, arg_max(definition, (length(definition), -ord)) AS definition, min(ord) AS ord, lower(term) AS k FROM terms GROUP BY lower(term)),
+  lists AS (SELECT k, list(label ORDER BY o) AS labels FROM (SELECT lower(term) AS k, label, min(ord) AS o FROM terms GROUP BY ALL) GROUP BY k),
+  chunks AS (SELECT k, list(chunk ORDER BY o) AS source_chunks FROM (SELECT lower(term) AS k, chunk, min(ord) AS o FROM terms GROUP BY ALL) GROUP BY k),
+  rel AS (SELECT k, list(related ORDER BY o) AS related_terms FROM (SELECT lower(term) AS k, related, min(ord) AS o FROM terms GROUP BY ALL) GROUP BY k)"""
+ACTIONS = """acts AS (SELECT a.ord, a.sku_id AS sku_a, b.sku_id AS sku_b, (a.ord // 2) % 5 AS k FROM skus a JOIN skus b ON b.ord = a.ord + 1 WHERE a.ord % 2 = 0)"""
+TOKENS = "CASE WHEN text = '' THEN 0 ELSE greatest(1, length(text) // 4) END"
+
+
+# Files, addresses, routing.
+
+@query(f"""WITH {FILES} SELECT path, '.' || e AS ext, CASE WHEN e IN ('pdf','pptx','docx','html','md','txt') THEN 'markitdown' WHEN e IN ('csv','xlsx') THEN 'tabular' END AS parser,
+CASE WHEN e IN ('png','mp3','zip') THEN 'skipped' ELSE 'pending' END AS status, CASE WHEN e IN ('png','mp3') THEN 'Skipped non-text file: .' || e WHEN e = 'zip' THEN 'Unsupported file type: .zip' END AS message FROM files""")
+def route_files(spark, sf_dir):
+    return routing.routed_files(inputs.files(spark, sf_dir)).select("path", "ext", "parser", "status", "message")
+
+
+@query(f"WITH {URLS} SELECT url_id, url, parser FROM urls")
+def route_urls(spark, sf_dir):
+    return inputs.urls(spark, sf_dir).select("url_id", "url", routing.url_parser(F.col("url")).alias("parser"))
+
+
+@query(f"WITH {FILES} SELECT path, source || '/' || lang || '_doc_' || doc_id AS flat FROM files")
+def flatten_names(spark, sf_dir):
+    return inputs.files(spark, sf_dir).select("path", text.flatten_path(F.col("path"), "input").alias("flat"))
+
+
+@query(f"WITH {URLS} SELECT url_id, left(regexp_replace(regexp_replace(regexp_replace(url, '^https?://', ''), '[^\\p{{L}}\\p{{N}}_\\-.]', '_', 'g'), '_+', '_', 'g'), 100) AS file_name FROM urls")
+def url_names(spark, sf_dir):
+    return inputs.urls(spark, sf_dir).select("url_id", text.url_to_name(F.col("url")).alias("file_name"))
+
+
+@query(f"""WITH {URLS} SELECT url_id, CASE WHEN url LIKE '%/watch?v=%' THEN 'vid' || (url_id // 2) END AS video_id, CASE WHEN url LIKE '%bilibili%' THEN 'BV' || (url_id // 2) END AS clip_id,
+CASE WHEN url LIKE '%github%' AND url NOT LIKE '%issues%' THEN regexp_replace(regexp_replace(url, '.*github.com/', ''), '\\.git$', '') ELSE 'unknown_repo' END AS repo FROM urls""")
+def url_parts(spark, sf_dir):
+    u = F.col("url")
+    return inputs.urls(spark, sf_dir).select("url_id", text.video_id(F.regexp_replace(u, "YouTube", "youtube")).alias("video_id"), text.clip_id(u).alias("clip_id"), text.repo_name(u).alias("repo"))
+
+
+@query("SELECT doc_id, length(text) - length(regexp_replace(text, '[\\p{L}\\p{N}_\\s.,!?;:''\"\\-]', '', 'g')) AS valid_chars, length(text) - length(regexp_replace(text, '[\\p{L}\\p{N}_\\s.,!?;:''\"\\-]', '', 'g')) < 500 AS needs_ocr FROM documents")
+def ocr_fallback(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", text.valid_chars(F.col("text")).cast("long").alias("valid_chars"), text.needs_ocr(F.col("text")).alias("needs_ocr"))
+
+
+@query("""SELECT count(*) AS total, count(*) FILTER (event_type NOT IN ('error', 'click')) AS success, count(*) FILTER (event_type = 'error') AS failed, count(*) FILTER (event_type = 'click') AS skipped,
+sum(CASE WHEN event_type NOT IN ('error', 'click') THEN floor(value)::BIGINT ELSE 0 END)::BIGINT AS characters FROM events""")
+def parse_summary(spark, sf_dir):
+    r = inputs.parse_results(spark, sf_dir)
+    is_ = lambda s: F.count_if(F.col("status") == s).alias(s)
+    return r.agg(F.count(F.lit(1)).alias("total"), is_("success"), is_("failed"), is_("skipped"), F.sum(F.when(F.col("status") == "success", F.col("character_count")).otherwise(0)).alias("characters"))
+
+
+@query("SELECT n_regionkey, count(*) AS n_rows, list(n_name ORDER BY n_nationkey) AS names FROM nation GROUP BY n_regionkey")
+def tabular_json(spark, sf_dir):
+    """Records of a table as JSON and back, per group."""
+    rows = table(spark, sf_dir, "nation").select("n_regionkey", "n_nationkey", F.to_json(F.struct("*")).alias("j"))
+    packed = rows.groupBy("n_regionkey").agg(F.array_sort(F.collect_list(F.struct("n_nationkey", "j"))).alias("r"), F.count(F.lit(1)).alias("n_rows"))
+    return packed.select("n_regionkey", "n_rows", F.transform("r", lambda x: F.get_json_object(x["j"], "$.n_name")).alias("names"))
+
+
+@query(None)
+def page_markdown(spark, sf_dir):
+    """Web pages as Markdown."""
+    from tessera.sources.markup import html_to_markdown
+
+    return table(spark, sf_dir, "pages").select("page_id", "url", html_to_markdown(F.col("html")).alias("markdown"))
+
+
+@query("""WITH p AS (SELECT regexp_extract(url, '^https?://([^/?#]*)', 1) AS site, page_id, url, row_number() OVER (PARTITION BY regexp_extract(url, '^https?://([^/?#]*)', 1) ORDER BY page_id) AS r FROM pages)
+SELECT site, count(*) AS pages, string_agg('# ' || url || chr(10) || chr(10) || 'page ' || page_id, chr(10) || chr(10) || '---' || chr(10) || chr(10) ORDER BY page_id) AS markdown FROM p WHERE r <= 50 GROUP BY site""")
+def crawl_combine(spark, sf_dir):
+    """Crawled pages of a site as one text; the crawl's page limit is a feature of this operator."""
+    p = table(spark, sf_dir, "pages").select(F.regexp_extract("url", "^https?://([^/?#]*)", 1).alias("site"), F.col("page_id").alias("ord"), "url", F.concat(F.lit("page "), F.col("page_id")).alias("md"))
+    return workspace.crawl_markdown(p)
+
+
+@query("""WITH t AS (SELECT conv_id, turn, trim(text, ' ' || chr(10)) AS t FROM conversations), g AS (SELECT *, coalesce(sum(CASE WHEN right(t, 1) IN ('.', '!', '?', '。', '！', '？') THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::INT AS paragraph FROM t WHERE t <> '')
+SELECT conv_id AS video_id, paragraph, string_agg(t, ' ' ORDER BY turn) AS text FROM g GROUP BY ALL""")
+def transcript_paragraphs(spark, sf_dir):
+    c = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("video_id"), F.col("turn").alias("seq"), "text")
+    return workspace.transcript_paragraphs(c)
+
+
+# Tokens and chunks.
+
+@query(f"SELECT doc_id, {TOKENS} AS tokens, greatest(1, n_chars // 4) AS rough_tokens FROM documents")
+def token_estimate(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", text.tokens(F.col("text")).alias("tokens"), text.rough_tokens(F.col("n_chars")).alias("rough_tokens"))
+
+
+@query(f"""SELECT lang, source, count(*) AS documents, sum(tokens) AS tokens, sum(CASE WHEN tokens > 1000 THEN 1 ELSE 0 END) AS over_budget
+FROM (SELECT lang, source, {TOKENS} AS tokens FROM documents) GROUP BY lang, source""")
+def chunk_decision(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("lang", "source", text.tokens(F.col("text")).alias("tokens"))
+    return docs.groupBy("lang", "source").agg(F.count("*").alias("documents"), F.sum("tokens").alias("tokens"), F.count_if(F.col("tokens") > 1000).alias("over_budget"))
+
+
+@query(f"WITH {MD} SELECT doc_id, seq, level, title, content, start_pos, start_pos + length(content) AS end_pos, token_count FROM sec")
+def sections(spark, sf_dir):
+    return segmentation.sections(inputs.md_docs(spark, sf_dir))
+
+
+@query(f"WITH {MD} SELECT t.doc_id, t.seq, t.level, parent_seq, subtree_end_seq, subtree_tokens FROM tree2 t JOIN sums USING (doc_id, seq)")
+def section_tree(spark, sf_dir):
+    return segmentation.section_tree(segmentation.sections(inputs.md_docs(spark, sf_dir))).select("doc_id", "seq", "level", "parent_seq", "subtree_end_seq", "subtree_tokens")
+
+
+_CHUNKS = f"""WITH {MD}, fit AS (SELECT t.*, subtree_tokens, whole, subtree_tokens <= 300 AS fits FROM tree2 t JOIN sums USING (doc_id, seq)),
+  up AS (SELECT f.*, coalesce(p.fits, false) AS parent_fits, f.subtree_end_seq > f.seq + 1 AS kids FROM fit f LEFT JOIN fit p ON p.doc_id = f.doc_id AND p.seq = f.parent_seq),
+  out AS (SELECT doc_id, seq, CASE WHEN fits THEN CASE WHEN title <> '' THEN title ELSE doc_id::VARCHAR END WHEN kids THEN title || ' (Introduction)' ELSE title END AS title, CASE WHEN fits THEN whole ELSE content END AS content,
+    CASE WHEN level > 0 THEN level END AS header_level FROM up WHERE (fits AND NOT parent_fits) OR NOT fits),
+  chunks AS (SELECT doc_id, title, header_level, content, row_number() OVER (PARTITION BY doc_id ORDER BY seq) - 1 AS chunk_index, count(*) OVER (PARTITION BY doc_id) AS total_chunks, length(content) AS character_count, greatest(1, length(content) // 4) AS estimated_tokens FROM out)"""
+
+
+@query(_CHUNKS + " SELECT * FROM chunks")
+def header_chunks(spark, sf_dir):
+    rows = segmentation.header_chunks(inputs.md_docs(spark, sf_dir), 300)
+    return rows.select("doc_id", "title", "header_level", "content", "chunk_index", "total_chunks", "character_count", "estimated_tokens")
+
+
+@query(_CHUNKS + """ SELECT 'conv/' || doc_id || '.md' AS source_file, count(*) AS chunks, sum(estimated_tokens) AS tokens, min('conv_' || doc_id || '_chunk_' || lpad((chunk_index + 1)::VARCHAR, 3, '0')) AS first_chunk,
+min(chr(45) || '--' || chr(10) || 'title: ' || title || chr(10) || 'source: conv/' || doc_id || '.md' || chr(10) || 'chunk: ' || (chunk_index + 1) || '/' || total_chunks || chr(10) || 'tokens: ' || estimated_tokens || chr(10) || 'method: header' || chr(10) || '---' || chr(10) || chr(10) || content) AS least_file FROM chunks GROUP BY doc_id""")
+def chunk_index(spark, sf_dir):
+    rows = segmentation.header_chunks(inputs.md_docs(spark, sf_dir), 300).withColumn("source_file", F.concat(F.lit("conv/"), F.col("doc_id"), F.lit(".md")))
+    rows = rows.withColumn("chunk_id", segmentation.chunk_id(F.col("source_file"))).withColumn("file", segmentation.front_matter(rows))
+    return rows.groupBy("source_file").agg(F.count("*").alias("chunks"), F.sum("estimated_tokens").alias("tokens"), F.min("chunk_id").alias("first_chunk"), F.min("file").alias("least_file"))
+
+
+@query("""WITH h AS (SELECT doc_id, left(text, 900) AS t, length(text) AS n FROM documents), p AS (SELECT doc_id, n, length(t) AS lim, CASE WHEN contains(t, chr(10)) THEN length(t) - instr(reverse(t), chr(10)) ELSE -1 END AS nl,
+  CASE WHEN contains(t, chr(10) || chr(10)) THEN length(t) - instr(reverse(t), chr(10) || chr(10)) - 1 ELSE -1 END AS para, CASE WHEN contains(t, '. ') THEN length(t) - instr(reverse(t), ' .') - 1 ELSE -1 END AS dot,
+  CASE WHEN contains(t, '! ') THEN length(t) - instr(reverse(t), ' !') - 1 ELSE -1 END AS ex, CASE WHEN contains(t, '? ') THEN length(t) - instr(reverse(t), ' ?') - 1 ELSE -1 END AS qu FROM h)
+SELECT doc_id, CASE WHEN para > 100 THEN para + 2 WHEN nl > 100 THEN nl + 1 WHEN dot > 100 THEN dot + 2 WHEN ex > 100 THEN ex + 2 WHEN qu > 100 THEN qu + 2 ELSE lim END AS cut FROM p""")
+def paragraph_cut(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", text.paragraph_cut(F.col("text"), 900).alias("cut"))
+
+
+@query(None)
+def window_chunks(spark, sf_dir):
+    """Every document cut into windows of 225 tokens."""
+    return segmentation.window_chunks(table(spark, sf_dir, "documents"), 225).drop("header_level")
+
+
+@query("""SELECT p_partkey, CASE WHEN greatest(length(p_name), length(p_type)) = 0 THEN 1.0 ELSE 1 - levenshtein(p_name, lower(p_type)) / greatest(length(p_name), length(p_type)) END AS similarity,
+CASE WHEN instr(p_name || ' ' || p_name, string_split(p_name, ' ')[2]) > 0 THEN instr(p_name || ' ' || p_name, string_split(p_name, ' ')[2]) - 1 END AS position FROM part""")
+def edit_similarity(spark, sf_dir):
+    n = F.col("p_name")
+    return table(spark, sf_dir, "part").select("p_partkey", edit_distance.similarity(n, F.lower("p_type")).alias("similarity"), edit_distance.best_match(F.element_at(F.split(n, " "), 2), F.concat_ws(" ", n, n)).alias("position"))
+
+
+@query("SELECT doc_id, length(lang || ' before ' || source) + length(text) AS cut FROM documents")
+def cut_position(spark, sf_dir):
+    """The cut after a marker put behind each whole text, the marker's source misspelled by nothing and followed by a blank."""
+    d = table(spark, sf_dir, "documents").select("doc_id", "text", F.concat("lang", F.lit(" before "), "source").alias("m"))
+    return d.select("doc_id", (edit_distance.cut_position_of(F.col("m"), F.lit("zz"), F.concat("m", F.lit(" \n"))) + F.length("text")).cast("long").alias("cut"))
+
+
+@query("""SELECT doc_id, CASE WHEN doc_id % 6 < 4 THEN doc_id END AS id, CASE WHEN doc_id % 6 < 4 THEN source END AS source, CASE WHEN doc_id % 6 <> 4 THEN source END AS by_field FROM documents""")
+def json_repair(spark, sf_dir):
+    r = inputs.responses(spark, sf_dir)
+    v = responses.repaired_json(F.col("text"))
+    return r.select("doc_id", F.try_variant_get(v, "$.id", "long").alias("id"), F.try_variant_get(v, "$.source", "string").alias("source"), responses.field_value(F.col("text"), "source").alias("by_field"))
+
+
+@query("""SELECT doc_id, CASE WHEN doc_id % 4 < 3 THEN 1 END AS n, CASE WHEN doc_id % 4 < 3 THEN 'alpha ' || doc_id END AS tokens_before, CASE WHEN doc_id % 4 < 3 THEN 'beta ' || doc_id END AS tokens_after, CASE WHEN doc_id % 4 < 3 THEN source END AS chunk_title FROM documents""")
+def cut_point_parse(spark, sf_dir):
+    c = inputs.cut_responses(spark, sf_dir).select("doc_id", responses.cut_points(F.col("text")).alias("c"))
+    first = F.try_element_at("c", F.lit(1))
+    return c.select("doc_id", F.when(F.col("c").isNotNull(), F.size("c")).alias("n"), first["tokens_before"].alias("tokens_before"), first["tokens_after"].alias("tokens_after"), first["chunk_title"].alias("chunk_title"))
+
+
+@query("SELECT doc_id, '{\"id\": ' || doc_id || ', \"source\": \"' || source || '\"}' AS block FROM documents WHERE doc_id % 6 <> 4")
+def json_blocks(spark, sf_dir):
+    r = inputs.responses(spark, sf_dir)
+    r.createOrReplaceTempView("_responses")
+    spark.udtf.register("json_blocks", responses.json_blocks_function())
+    return spark.sql("SELECT doc_id, block FROM _responses, LATERAL json_blocks(text)")
+
+
+# The index of knowledge units.
+
+@query(f"""WITH {SKUS} SELECT count(*) AS total_skus, sum(character_count)::BIGINT AS total_characters, count(*) FILTER (classification = 'factual') AS factual_count, 0 AS relational_count,
+count(*) FILTER (classification = 'procedural') AS procedural_count, 0 AS meta_count, count(DISTINCT sku_id) AS distinct_skus FROM skus""")
+def sku_index(spark, sf_dir):
+    return resolution.index_totals(inputs.skus(spark, sf_dir))
+
+
+@query(f"WITH {SKUS} SELECT sku_id, name, source_chunk FROM skus WHERE classification = 'procedural'")
+def sku_by_type(spark, sf_dir):
+    return inputs.skus(spark, sf_dir).where("classification = 'procedural'").select("sku_id", "name", "source_chunk")
+
+
+@query(f"WITH {SKUS} SELECT sku_id, name FROM skus WHERE source_chunk = 'src3'")
+def sku_by_source(spark, sf_dir):
+    return inputs.skus(spark, sf_dir).where("source_chunk = 'src3'").select("sku_id", "name")
+
+
+@query("SELECT max(CASE WHEN doc_id % 3 < 2 THEN doc_id END)::INT + 1 AS next_sku, max(CASE WHEN doc_id % 3 = 2 THEN doc_id END)::INT + 1 AS next_skill FROM documents")
+def next_sku_number(spark, sf_dir):
+    ids = inputs.skus(spark, sf_dir).select("sku_id")
+    n = text.number_suffix(F.col("sku_id"))
+    most = lambda p: (F.coalesce(F.max(F.when(F.col("sku_id").startswith(p), n)), F.lit(0)) + 1)
+    return ids.agg(most("sku_").alias("next_sku"), most("skill_").alias("next_skill"))
+
+
+@query(f"""WITH {SKUS} SELECT sku_id, '# ' || name || chr(10) || chr(10) || '- **Classification**: ' || classification || chr(10) || '- **Source**: ' || source_chunk || chr(10) || '- **Characters**: ' || format('{{:,}}', character_count)
+|| CASE WHEN ord % 4 = 0 THEN chr(10) || '- **Confidence**: 0.75' ELSE '' END || CASE WHEN ord % 5 = 0 THEN chr(10) || '- **Related SKUs**: a, b' ELSE '' END || chr(10) || chr(10) || description || chr(10) AS header FROM skus""")
+def sku_headers(spark, sf_dir):
+    u = inputs.skus(spark, sf_dir).withColumn("confidence", F.when(F.col("ord") % 4 == 0, 0.75)).withColumn("related_skus", F.when(F.col("ord") % 5 == 0, F.array(F.lit("a"), F.lit("b"))))
+    return u.select("sku_id", resolution.header_markdown().alias("header"))
+
+
+@query(f"""WITH {SKUS} SELECT source_chunk, string_agg('- [' || classification || '] /data/out/' || classification || '/' || sku_id || ': ' || description, chr(10) ORDER BY ord) AS listing FROM skus GROUP BY source_chunk""")
+def sku_list(spark, sf_dir):
+    u = inputs.skus(spark, sf_dir)
+    rows = u.groupBy("source_chunk").agg(F.array_sort(F.collect_list(F.struct("ord", resolution.list_line().alias("l")))).alias("r"))
+    return rows.select("source_chunk", F.array_join(F.transform("r", lambda x: x["l"]), "\n").alias("listing"))
+
+
+@query("SELECT c_custkey AS chunk_id FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+def unprocessed(spark, sf_dir):
+    done = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("chunk_id"))
+    return resolution.unprocessed(table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("chunk_id")), done)
+
+
+# Labels, edges, glossary.
+
+_LEAVES = """, n1 AS (SELECT lower(a) AS ka, min(ord) AS o1, arg_min(a, ord) AS a1 FROM paths GROUP BY ALL), n2 AS (SELECT lower(a) AS ka, lower(b) AS kb, min(ord) AS o2, arg_min(b, ord) AS b1 FROM paths GROUP BY ALL),
+ n3 AS (SELECT lower(a) AS ka, lower(b) AS kb, lower(c) AS kc, min(ord) AS o3, arg_min(c, ord) AS c1 FROM paths GROUP BY ALL)"""
+
+
+@query(f"WITH {PATHS}{_LEAVES} SELECT [a1, b1, c1] AS path, [o1, o2, o3] AS ord FROM n3 JOIN n2 USING (ka, kb) JOIN n1 USING (ka)")
+def label_leaf_paths(spark, sf_dir):
+    return graph.leaf_paths(graph.label_nodes(inputs.label_paths(spark, sf_dir)))
+
+
+@query(f"""WITH {PATHS}{_LEAVES} SELECT depth, name, is_leaf, count(*) AS n FROM (SELECT 1 AS depth, a1 AS name, false AS is_leaf FROM n1 UNION ALL SELECT 2, b1, false FROM n2 UNION ALL SELECT 3, c1, true FROM n3
+UNION ALL SELECT 1, p_type, false FROM part GROUP BY p_type UNION ALL SELECT 2, p_brand, true FROM part GROUP BY p_type, p_brand) GROUP BY ALL""")
+def label_merge(spark, sf_dir):
+    both = graph.merge_forests(inputs.label_paths(spark, sf_dir), inputs.part_paths(spark, sf_dir))
+    return graph.label_nodes(both).groupBy("depth", "name", "is_leaf").agg(F.count("*").alias("n"))
+
+
+_EDGE_MERGED = f"""WITH {EDGES}, c AS (SELECT lower(subject) AS s, predicate, lower(object) AS o, chunk, min(ord) AS k FROM edges GROUP BY ALL), cl AS (SELECT s, predicate, o, list(chunk ORDER BY k, chunk) AS source_chunks FROM c GROUP BY s, predicate, o),
+m AS (SELECT lower(subject) AS s, predicate, lower(object) AS o, min(ord) AS ord, arg_min(subject, ord) AS subject, arg_min(object, ord) AS object FROM edges GROUP BY lower(subject), predicate, lower(object))
+SELECT ord, subject, predicate, object, source_chunks FROM m JOIN cl USING (s, predicate, o)"""
+
+
+@query(_EDGE_MERGED)
+def edge_upsert(spark, sf_dir):
+    return graph.edge_upsert(graph.valid_edges(inputs.edges(spark, sf_dir)).drop("chunk_id"))
+
+
+@query(f"SELECT * FROM ({_EDGE_MERGED}) WHERE lower(subject) = 'small ring'")
+def edges_by_subject(spark, sf_dir):
+    return graph.edges_by(edge_upsert(spark, sf_dir), subject="Small RING")
+
+
+@query(f"SELECT * FROM ({_EDGE_MERGED}) WHERE lower(object) = 'supplier#000000003'")
+def edges_by_object(spark, sf_dir):
+    return graph.edges_by(edge_upsert(spark, sf_dir), object="SUPPLIER#000000003")
+
+
+@query(f"SELECT * FROM ({_EDGE_MERGED}) WHERE predicate = 'related-to'")
+def edges_by_predicate(spark, sf_dir):
+    return graph.edges_by(edge_upsert(spark, sf_dir), predicate="related-to")
+
+
+_GLOSSARY = f"WITH {TERMS} SELECT ord, term, definition, labels, source_chunks, related_terms FROM gloss JOIN lists USING (k) JOIN chunks USING (k) JOIN rel USING (k)"
+_GLOSSARY_COLS = ("ord", "term", "definition", "labels", "source_chunks", "related_terms")
+
+
+@query(_GLOSSARY)
+def glossary_upsert(spark, sf_dir):
+    return graph.glossary_upsert(inputs.terms(spark, sf_dir)).select(*_GLOSSARY_COLS)
+
+
+@query(f"SELECT * FROM ({_GLOSSARY}) WHERE list_contains(list_transform(labels, lambda x: lower(x)), 'promo')")
+def glossary_by_label(spark, sf_dir):
+    return graph.terms_by_label(glossary_upsert(spark, sf_dir), "Promo")
+
+
+@query(f"SELECT * FROM ({_GLOSSARY}) WHERE lower(term) = 'widget'")
+def glossary_lookup(spark, sf_dir):
+    return graph.glossary_lookup(graph.glossary_upsert(inputs.terms(spark, sf_dir)), "WIDGET").select(*_GLOSSARY_COLS)
+
+
+@query(_GLOSSARY)
+def glossary_fold(spark, sf_dir):
+    """The order-dependent fold; without aliases it must equal the set-based upsert."""
+    return graph.glossary_fold(inputs.terms(spark, sf_dir)).select(*_GLOSSARY_COLS)
+
+
+# Similarity and buckets.
+
+def _units(spark, sf_dir):
+    p = table(spark, sf_dir, "part")
+    return p.select(F.col("p_partkey").alias("sku_id"), F.col("p_name").alias("name"), F.concat_ws(" ", "p_type", "p_brand").alias("description"), F.concat_ws("/", "p_brand", "p_type", F.floor(F.col("p_size") / 10)).alias("block"))
+
+
+@query("""WITH paths AS (SELECT p_type, p_brand, min(p_partkey) AS ord FROM part GROUP BY ALL), t AS (SELECT p_partkey, ' ' || lower(p_name || ' ' || p_type || ' ' || p_brand) || ' ' AS t FROM part),
+s AS (SELECT p_partkey, p_type, p_brand, ord, contains(t, ' ' || lower(p_type) || ' ')::INT + contains(t, ' ' || lower(p_brand) || ' ')::INT AS score FROM t, paths)
+SELECT p_partkey AS sku_id, arg_max([p_type, p_brand], (score, -ord)) AS label_path, max(score) AS label_score FROM s WHERE score > 0 GROUP BY p_partkey""")
+def label_assign(spark, sf_dir):
+    return similarity.label_scores(_units(spark, sf_dir), inputs.part_paths(spark, sf_dir)).select("sku_id", "label_path", "label_score")
+
+
+_BLOCKS = "p AS (SELECT p_partkey AS id, p_name, p_type, p_brand, p_size // 10 AS z, string_split(p_name, ' ') AS w FROM part)"
+
+
+@query(f"""WITH {_BLOCKS}, s AS (SELECT a.id AS a, b.id AS b, len(list_intersect(a.w, b.w)) AS k, len(list_distinct(a.w)) AS na, len(list_distinct(b.w)) AS nb FROM p a JOIN p b ON a.p_brand = b.p_brand AND a.p_type = b.p_type AND a.z = b.z AND a.id < b.id)
+SELECT a, b, k / (na + nb - k) AS label FROM s WHERE k > 0""")
+def label_jaccard(spark, sf_dir):
+    """Jaccard of name words between parts of one brand, type and size class, via an equi-join on (block, word)."""
+    u = _units(spark, sf_dir)
+    tagged = u.select("sku_id", F.transform(F.split("name", " "), lambda x: F.concat("block", F.lit("|"), x)).alias("label_path"))
+    return similarity.label_pairs(tagged)
+
+
+_TFIDF = """t AS (SELECT {id} AS id, unnest(regexp_extract_all(lower({text}), '[\\p{{L}}\\p{{N}}_]{{{{2,}}}}')) AS term FROM {table}), tf AS (SELECT id, term, count(*) AS tf FROM t WHERE term NOT IN ({stop}) GROUP BY ALL),
+voc AS (SELECT term, count(*) AS df, sum(tf) AS total FROM tf GROUP BY term ORDER BY total DESC, term LIMIT 5000), raw AS (SELECT id, term, tf * (ln(((SELECT count(*) FROM {table}) + 1) / (df + 1)) + 1) AS raw FROM tf JOIN voc USING (term)),
+w AS (SELECT id, term, raw / sqrt(sum(raw * raw) OVER (PARTITION BY id)) AS weight FROM raw)"""
+
+
+def _tfidf_sql(table_: str, id_: str, text_: str) -> str:
+    return _TFIDF.format(table=table_, id=id_, text=text_, stop=", ".join(f"'{s}'" for s in similarity.STOP_WORDS)).replace("{{", "{").replace("}}", "}")
+
+
+@query(f"WITH {_tfidf_sql('documents', 'doc_id', 'text')} SELECT id, term, round(weight, 6) AS weight FROM w")
+def tfidf_weights(spark, sf_dir):
+    d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("sku_id"), "text")
+    return similarity.tfidf(d).select("id", "term", F.round("weight", 6).alias("weight"))
+
+
+@query(f"""WITH {_tfidf_sql('part', 'p_partkey', "p_name || ' ' || p_type")}, {_BLOCKS}, x AS (SELECT w.*, p_brand, p_type, z FROM w JOIN p USING (id))
+SELECT a.id AS a, b.id AS b, round(sum(a.weight * b.weight), 6) AS literal FROM x a JOIN x b ON a.term = b.term AND a.p_brand = b.p_brand AND a.p_type = b.p_type AND a.z = b.z AND a.id < b.id GROUP BY ALL""")
+def tfidf_cosine(spark, sf_dir):
+    u = _units(spark, sf_dir)
+    p = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("sku_id"), F.concat_ws(" ", "p_name", "p_type").alias("text"))
+    return similarity.tfidf_pairs(similarity.tfidf(p), u.select(F.col("sku_id").alias("id"), "block")).select("a", "b", F.round("literal", 6).alias("literal"))
+
+
+@query("""WITH v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings) SELECT a.vec_id AS a, b.vec_id AS b, round(list_cosine_similarity(a.e, b.e), 6) AS vector FROM v a JOIN v b ON a.label = b.label AND a.vec_id < b.vec_id""")
+def vector_cosine(spark, sf_dir):
+    return similarity.vector_pairs(table(spark, sf_dir, "embeddings"), "label", "vec_id", "embedding").select("a", "b", F.round("vector", 6).alias("vector"))
+
+
+@query(f"""WITH {_tfidf_sql('part', 'p_partkey', "p_name || ' ' || p_type")}, {_BLOCKS}, x AS (SELECT w.*, p_brand, p_type, z FROM w JOIN p USING (id)),
+l AS (SELECT a.id AS a, b.id AS b, sum(a.weight * b.weight) AS literal FROM x a JOIN x b ON a.term = b.term AND a.p_brand = b.p_brand AND a.p_type = b.p_type AND a.z = b.z AND a.id < b.id GROUP BY ALL),
+j AS (SELECT a.id AS a, b.id AS b, len(list_intersect(a.w, b.w)) AS k, len(list_distinct(a.w)) + len(list_distinct(b.w)) AS n FROM p a JOIN p b ON a.p_brand = b.p_brand AND a.p_type = b.p_type AND a.z = b.z AND a.id < b.id)
+SELECT a, b, round(coalesce(literal, 0) * 0.4 + coalesce(CASE WHEN k > 0 THEN k / (n - k) END, 0) * 0.6, 6) AS similarity FROM l FULL JOIN (SELECT * FROM j WHERE k > 0) USING (a, b)""")
+def weighted_similarity(spark, sf_dir):
+    """Literal and label similarity; as vectors are missing, the two weights are scaled to 1."""
+    u = _units(spark, sf_dir)
+    p = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("sku_id"), F.concat_ws(" ", "p_name", "p_type").alias("text"))
+    literal = similarity.tfidf_pairs(similarity.tfidf(p), u.select(F.col("sku_id").alias("id"), "block"))
+    w = similarity.effective_weights(has_vectors=False)
+    return similarity.weighted_pairs(literal, label_jaccard(spark, sf_dir), None, w).select("a", "b", F.round("similarity", 6).alias("similarity"))
+
+
+@query(None)
+def buckets(spark, sf_dir):
+    """Parts of one brand, type and size class in buckets of at most 40 tokens by weighted similarity."""
+    u = _units(spark, sf_dir).select(F.col("sku_id").cast("string").alias("sku_id"), F.col("block").alias("classification"), F.col("sku_id").alias("ord"),
+                                     text.rough_tokens(F.length("name") + F.length("description")).cast("long").alias("token_count"))
+    s = weighted_similarity(spark, sf_dir)
+    return clustering.buckets(u, s.select(F.col("a").cast("string").alias("a"), F.col("b").cast("string").alias("b"), "similarity"), 40)
+
+
+@query(f"""WITH {SKUS}, e AS (SELECT classification || '_' || source_chunk AS bucket_id, sku_id, ord FROM skus), n AS (SELECT *, count(*) OVER (PARTITION BY bucket_id) AS n, row_number() OVER (PARTITION BY bucket_id ORDER BY ord) - 1 AS r FROM e)
+SELECT bucket_id, sku_id, (r // 80)::INT AS batch FROM n WHERE n > 1""")
+def tier1_batches(spark, sf_dir):
+    return resolution.scan_batches(inputs.bucket_entries(spark, sf_dir)).select("bucket_id", "sku_id", "batch")
+
+
+@query(f"""WITH {SKUS}, {ACTIONS}, e AS (SELECT classification || '_' || source_chunk AS bucket_id, sku_id FROM skus) SELECT x.bucket_id, sku_a, sku_b FROM acts JOIN e x ON x.sku_id = sku_a JOIN e y ON y.sku_id = sku_b AND x.bucket_id = y.bucket_id""")
+def valid_pairs(spark, sf_dir):
+    members = inputs.bucket_entries(spark, sf_dir)
+    flagged = inputs.dedup_actions(spark, sf_dir).drop("bucket_id").join(members.select(F.col("sku_id").alias("sku_a"), "bucket_id"), "sku_a").select("bucket_id", "sku_a", "sku_b")
+    return resolution.valid_pairs(flagged, members).select("bucket_id", "sku_a", "sku_b")
+
+
+@query(f"""WITH {SKUS}, {ACTIONS} SELECT s.sku_id, CASE WHEN w.sku_id IS NOT NULL THEN w.content ELSE s.content END AS content FROM skus s
+LEFT JOIN (SELECT sku_a AS sku_id, 'rewritten ' || sku_a AS content FROM acts WHERE k = 1 UNION ALL SELECT sku_b, 'merged ' || sku_a FROM acts WHERE k = 2) w USING (sku_id)
+WHERE s.sku_id NOT IN (SELECT sku_b FROM acts WHERE k = 0 UNION ALL SELECT sku_a FROM acts WHERE k = 2)""")
+def dedup_apply(spark, sf_dir):
+    return resolution.applied(inputs.skus(spark, sf_dir).select("sku_id", "content"), inputs.dedup_actions(spark, sf_dir))
+
+
+@query(f"""WITH {SKUS}, {ACTIONS} SELECT count(*) AS pairs_resolved, count(*) FILTER (k = 3) AS total_kept, 2 * count(*) FILTER (k = 0) + count(*) FILTER (k = 2) AS total_deleted, count(*) FILTER (k = 1) AS total_rewritten,
+count(*) FILTER (k = 2) AS total_merged, count(*) FILTER (k = 4) AS total_contradictions, count(*) FILTER (k = 0) + count(*) FILTER (k = 2) AS effective_deleted, count(*) FILTER (k = 1) AS effective_rewritten FROM acts""")
+def dedup_report(spark, sf_dir):
+    return resolution.dedup_report(inputs.dedup_actions(spark, sf_dir))
+
+
+@query(f"""WITH {SKUS} SELECT source_chunk, string_agg('## ' || sku_id || chr(10) || 'text of ' || sku_id, chr(10) ORDER BY ord) AS mapping FROM skus WHERE ord % 7 <> 0 GROUP BY source_chunk""")
+def mapping_cleanup(spark, sf_dir):
+    """Mapping files of each source without the lines of deleted ids (every seventh)."""
+    u = inputs.skus(spark, sf_dir)
+    line = F.concat(F.lit("## "), F.col("sku_id"), F.lit("\ntext of "), F.col("sku_id"))
+    rows = u.groupBy("source_chunk").agg(F.array_sort(F.collect_list(F.struct("ord", line.alias("l")))).alias("r"), F.collect_list(F.when(F.col("ord") % 7 == 0, F.col("sku_id"))).alias("gone"))
+    m = F.array_join(F.transform("r", lambda x: x["l"]), "\n")
+    return rows.select("source_chunk", text.clean_mapping(m, F.col("gone"), whole_words=True).alias("mapping"))
+
+
+_CONF = """WITH c AS (SELECT doc_id, CASE WHEN quality = 1 THEN 0.9 ELSE 0.5 END AS w, CASE WHEN toxic = 1 THEN 0.5 ELSE 0.0 END AS p FROM labels)"""
+
+
+@query(_CONF + " SELECT doc_id, round(greatest(0, w - p), 6) AS confidence, 'ok' || CASE WHEN p > 0 THEN ' [Source penalty: -0.50]' ELSE '' END || CASE WHEN doc_id % 2 = 0 THEN '' ELSE ' [Source chunk unavailable]' END AS reasoning FROM c")
+def confidence(spark, sf_dir):
+    d = table(spark, sf_dir, "labels")
+    c, p = resolution.confidence(F.when(F.col("quality") == 1, "0.9").otherwise("high"), F.lit(None).cast("string"), F.when(F.col("toxic") == 1, "0.7").otherwise("none"))
+    return d.select("doc_id", F.round(c, 6).alias("confidence"), resolution.reasoning(F.lit("ok"), p, F.col("doc_id") % 2 == 0, F.lit(True)).alias("reasoning"))
+
+
+@query(_CONF + " SELECT count(*) AS total_scored, round(avg(greatest(0, w - p)), 6) AS average_confidence FROM c")
+def confidence_report(spark, sf_dir):
+    return resolution.confidence_report(confidence(spark, sf_dir)).select("total_scored", F.round("average_confidence", 6).alias("average_confidence"))
+
+
+@query("""WITH ch AS (SELECT source || '_chunk_' || lang AS chunk_id, min(text) AS t FROM documents GROUP BY ALL), w AS (SELECT doc_id, CASE WHEN lang = 'en' THEN source || '_chunk_' || lang ELSE source || '_' END AS k FROM documents),
+m AS (SELECT k, coalesce(max(CASE WHEN chunk_id = k THEN chunk_id END), min(chunk_id)) AS chunk_id FROM (SELECT DISTINCT k FROM w) JOIN ch ON contains(chunk_id, k) GROUP BY k)
+SELECT doc_id AS sku_id, k AS source_chunk, chunk_id, left(t, 8000) AS source_text FROM w LEFT JOIN m USING (k) LEFT JOIN ch USING (chunk_id)""")
+def source_lookup(spark, sf_dir):
+    d = table(spark, sf_dir, "documents")
+    exact = F.concat("source", F.lit("_chunk_"), "lang")
+    chunks = d.groupBy(exact.alias("chunk_id")).agg(F.min("text").alias("content"))
+    wanted = d.select(F.col("doc_id").alias("sku_id"), F.when(F.col("lang") == "en", exact).otherwise(F.concat("source", F.lit("_"))).alias("source_chunk"))
+    return resolution.source_lookup(wanted, chunks).select("sku_id", "source_chunk", "chunk_id", "source_text")
+
+
+# Workspace, chat, skills.
+
+@query(f"""WITH {SKUS} SELECT sku_id, 'see skus/' || classification || '/' || sku_id || ' and "skus/meta/mapping.md"' AS text, 2 AS n FROM skus""")
+def path_rewrite(spark, sf_dir):
+    u = inputs.skus(spark, sf_dir).select("sku_id", F.concat(F.lit("see "), F.col("path"), F.lit(' and "out/meta/mapping.md"')).alias("t"))
+    new, n = text.rewrite_paths(F.col("t"))
+    return u.select("sku_id", new.alias("text"), n.alias("n"))
+
+
+@query("""SELECT conv_id AS doc_id, CASE WHEN conv_id % 2 = 0 THEN '' ELSE '' END || '# Conversation ' || conv_id || chr(10) || string_agg(CASE WHEN role = 'user' THEN '## Turn ' ELSE '### Turn ' END || turn || ' (' || role || ')', chr(10) ORDER BY turn) AS mapping FROM conversations GROUP BY conv_id""")
+def mapping_compress(spark, sf_dir):
+    return inputs.md_docs(spark, sf_dir).select("doc_id", text.compress_mapping(F.col("text")).alias("mapping"))
+
+
+@query("""SELECT doc_id, trim(text, ' ' || chr(10)) AS spec FROM documents""")
+def spec_extract(spark, sf_dir):
+    """Specs in fenced blocks: marked as Markdown, plain after a shorter block, or without any fence."""
+    t, k = F.col("text"), F.col("doc_id") % 3
+    wrapped = (F.when(k == 0, F.concat(F.lit("Sure:\n```markdown\n"), t, F.lit("\n```\nBye"))).when(k == 1, F.concat(F.lit("```py\n```\n```\n"), t, F.lit("\n```"))).otherwise(F.concat(F.lit("  "), t, F.lit("\n"))))
+    return table(spark, sf_dir, "documents").select("doc_id", text.extract_spec(wrapped).alias("spec"))
+
+
+@query(f"""WITH {SKUS} SELECT count(*) FILTER (classification = 'factual') AS factual_count, count(*) FILTER (classification = 'procedural') AS procedural_count, false AS has_relational, true AS has_mapping, false AS has_eureka,
+count(*) + 1 AS total_files_copied, count(*)::BIGINT AS paths_rewritten FROM skus""")
+def workspace_manifest(spark, sf_dir):
+    u = inputs.skus(spark, sf_dir)
+    files = u.select(F.concat_ws("/", "classification", "sku_id", F.lit("content.md")).alias("path"), "content")
+    mapping = u.agg(F.array_join(F.collect_list("path"), "\n").alias("content")).select(F.lit("meta/mapping.md").alias("path"), "content")
+    return workspace.manifest(workspace.assembled(files.unionByName(mapping)))
+
+
+@query("""WITH m AS (SELECT conv_id, turn, role, conv_id % 4 = 0 AND role = 'user' AND turn = max(CASE WHEN role = 'user' THEN turn END) OVER (PARTITION BY conv_id) AS ok FROM conversations),
+u AS (SELECT conv_id, turn, ok, count(*) FILTER (NOT ok) OVER w - CASE WHEN ok THEN 0 ELSE 1 END AS before FROM m WHERE role = 'user' WINDOW w AS (PARTITION BY conv_id ORDER BY turn)),
+r AS (SELECT conv_id, count(*) FILTER (NOT ok AND before < 5)::INT AS rounds_used, coalesce(bool_or(ok AND before < 5), false) AS confirmed FROM u GROUP BY conv_id)
+SELECT c.conv_id AS session_id, coalesce(rounds_used, 0) AS rounds_used, coalesce(confirmed, false) AS confirmed, CASE WHEN confirmed THEN 'confirm' WHEN rounds_used >= 5 THEN 'limit' ELSE 'end' END AS finalized_by FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN r USING (conv_id)""")
+def chat_rounds(spark, sf_dir):
+    return workspace.chat_rounds(inputs.chat_messages(spark, sf_dir))
+
+
+@query("SELECT p_partkey, left(trim(regexp_replace(regexp_replace(lower(p_name || '_' || p_type || ' ' || p_brand), '[\\s_]+', '-', 'g'), '[^a-z0-9-]', '', 'g'), '-'), 64) AS skill, replace(p_name, '-', ' ') AS title FROM part")
+def skill_names(spark, sf_dir):
+    return table(spark, sf_dir, "part").select("p_partkey", text.hyphen_case(F.concat(F.col("p_name"), F.lit("_"), F.col("p_type"), F.lit(" "), F.col("p_brand"))).alias("skill"), F.lower(text.title_case(F.col("p_name"))).alias("title"))
+
+
+@query("""SELECT p_partkey, CASE p_partkey % 6 WHEN 0 THEN 'Skill is valid!' WHEN 1 THEN 'Name must be hyphen-case' WHEN 2 THEN 'Unexpected key(s) in frontmatter: color' WHEN 3 THEN 'Missing ''description'' in frontmatter' WHEN 4 THEN 'No YAML frontmatter found' ELSE 'Description has angle brackets' END AS message FROM part""")
+def skill_validate(spark, sf_dir):
+    k, name = F.col("p_partkey") % 6, F.concat(F.when(F.col("p_partkey") % 6 == 1, F.col("p_name")).otherwise(F.replace("p_name", F.lit(" "), F.lit("-"))))
+    body = F.concat(F.lit("---\nname: "), name, F.when(k == 3, "").otherwise(F.concat(F.lit("\ndescription: "), F.when(k == 5, "a <b>").otherwise("text"))), F.when(k == 2, "\ncolor: red").otherwise(""), F.lit("\n---\nbody\n"))
+    t = F.when(k == 4, F.lit("body only")).otherwise(body)
+    f = text_map = workspace.front_matter_fields(t)
+    return table(spark, sf_dir, "part").select("p_partkey", workspace.skill_message(t, F.try_element_at(f, F.lit("name")), F.try_element_at(text_map, F.lit("description")), F.map_keys(f)).alias("message"))
 
 
-@query("""SELECT lang, source, count(*) AS documents, sum(tokens) AS tokens, sum(CASE WHEN tokens > 1000 THEN 1 ELSE 0 END) AS over_budget
-FROM (SELECT lang, source, CASE WHEN text = '' THEN 0 ELSE greatest(1, length(text) // 4) END AS tokens FROM documents)
-GROUP BY lang, source""")
-def chunk_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tokens = F.when(F.col("text") == "", 0).otherwise(F.greatest(F.lit(1), F.expr("length(text) div 4")))
-    docs = table(spark, sf_dir, "documents").select("lang", "source", tokens.alias("tokens"))
-    return docs.groupBy("lang", "source").agg(F.count("*").alias("documents"), F.sum("tokens").alias("tokens"),
-                                              F.count_if(F.col("tokens") > 1000).alias("over_budget"))
+@query(f"""WITH {SKUS} SELECT (SELECT count(*) FROM events) AS parsed, (SELECT count(*) FROM skus) AS skus, (SELECT sum({TOKENS}) FROM documents)::BIGINT AS tokens, (SELECT count(*) FROM labels) AS scored""")
+def run_summary(spark, sf_dir):
+    """Counts of all stages in one row."""
+    one = parse_summary(spark, sf_dir).select(F.col("total").alias("parsed"))
+    two = sku_index(spark, sf_dir).select(F.col("total_skus").alias("skus"))
+    three = token_estimate(spark, sf_dir).agg(F.sum("tokens").alias("tokens"))
+    four = confidence_report(spark, sf_dir).select(F.col("total_scored").alias("scored"))
+    return one.crossJoin(two).crossJoin(three).crossJoin(four)  # four single rows
