@@ -62,6 +62,11 @@ def _rows(frame: DataFrame, id_col: str, text_col: str, digest) -> DataFrame:
                         F.col("_metadata.row_index").alias("row"), text.alias("text")).withColumn("digest", F.unhex(digest(F.col("text"))))
 
 
+def _sha256(digest) -> F.Column:
+    """The normalised text's SHA-256; the state's digest where that is one."""
+    return F.lower(F.hex("digest")) if digest is sha256_digest else sha256_digest(F.col("text"))
+
+
 def _streamable(spark: SparkSession, path: str) -> str:
     """A file source takes folders or patterns; a table that is one file becomes a pattern that matches it alone."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -125,10 +130,10 @@ def exact_duplicates(spark: SparkSession, path: str, id_col: str = "doc_id", tex
         apart = rows.join(unlike, "digest", "left_semi")
         groups = apart.groupBy("digest", "text").agg(_first().alias("first"), F.count(F.lit(1)).alias("n"))
         split = apart.join(groups, ["digest", "text"]).select("doc_id", "file", "row", F.col("text").alias("split_text"), "first", "n")
-        plain = rows.drop("text").join(unlike, "digest", "left_anti").join(state, "digest")
-        out = plain.select("doc_id", "file", "row", "first", "n", F.lower(F.hex("digest")).alias("text_sha256")).unionByName(
+        plain = rows.withColumn("text_sha256", _sha256(digest)).drop("text").join(unlike, "digest", "left_anti").join(state, "digest")
+        out = plain.select("doc_id", "file", "row", "first", "n", "text_sha256").unionByName(
             split.select("doc_id", "file", "row", "first", "n", sha256_digest(F.col("split_text")).alias("text_sha256")))
     else:
-        out = rows.drop("text").join(state, "digest").withColumn("text_sha256", F.lower(F.hex("digest")))
+        out = rows.withColumn("text_sha256", _sha256(digest)).drop("text").join(state, "digest")
     here = (F.col("file") == F.col("first.k2")) & (F.col("row") == F.col("first.k3"))
     return out.select("doc_id", F.col("first.k1").alias("keep_id"), F.col("n").alias("group_size"), here.alias("kept"), "text_sha256")
