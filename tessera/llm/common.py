@@ -21,12 +21,29 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Arrow batches of at most ``rows`` rows in this session, so that a Python worker holds few texts at once."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key, "10000")) <= rows:
+        spark.conf.set(key, str(rows))
+
+
 def written(df: DataFrame, label: str = "t") -> DataFrame:
     """``df`` as a table in the shared folder, read again: the plan above it is cut and a lost executor costs no rerun."""
     path = f"{shared_dir(df.sparkSession).rstrip('/')}/{label}-{uuid.uuid4().hex}"
     schema = df.schema
     df.write.parquet(path)
-    return df.sparkSession.read.schema(schema).parquet(path)
+    out = df.sparkSession.read.schema(schema).parquet(path)
+    out._written_at = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete tables from :func:`written` that no plan needs any more."""
+    for df in frames:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df._written_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def fresh(df: DataFrame, *names: str) -> list[str]:
@@ -104,14 +121,16 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """
     edges = written(edges.where(F.col("a") != F.col("b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
     both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    labels = written(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.min("a")).alias("label")), "labels")
+    last = labels = written(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.min("a")).alias("label")), "labels")
     for _ in range(max_rounds):
         reach = both.join(labels, F.col("b") == F.col("node")).groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
         step = labels.join(reach, "node").select("node", "label", F.least("label", "near").alias("next"))
         own = labels.select(F.col("node").alias("next"), F.col("label").alias("jump"))
         step = written(step.join(own, "next", "left").select("node", "label", F.least(F.col("next"), F.col("jump")).alias("next")), "labels")
         moved = step.where(F.col("label") != F.col("next")).limit(1).count()
-        labels = step.select("node", F.col("next").alias("label"))
+        discard(last)
+        last, labels = step, step.select("node", F.col("next").alias("label"))
         if not moved:
+            discard(edges)
             return labels.select("node", F.col("label").alias("component"))
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")

@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm import textscan as ts
+from tessera.llm.common import small_batches
 
 #: Bytes other than letters, digits and those of non-ASCII characters part words; A-Z are lower-cased.
 _CLEAN = bytes((b + 32 if 65 <= b <= 90 else b) if b >= 0x80 or 48 <= b <= 57 or 65 <= b <= 90 or 97 <= b <= 122 else 32 for b in range(256))
@@ -135,9 +136,10 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, width: int = 10, id_co
     known = sorted((r.id or "", r.text.encode()) for r in items.toLocalIterator())
     blocks = [tuple(b) for b in item_blocks(known, width, automaton_bytes)]
     shared = docs.sparkSession.sparkContext.broadcast(blocks)
+    small_batches(docs.sparkSession)
     schema = "doc_id long, n_words long, n_hit long, items array<string>, spans array<struct<start:bigint,end:bigint>>"
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return texts.mapInArrow(lambda it: scan_batches(it, shared.value, width), schema)
+    return texts.mapInArrow(ts.tidy(lambda it: scan_batches(it, shared.value, width)), schema)
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, width: int = 10, text_col: str = "text") -> DataFrame:
@@ -146,6 +148,7 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, width: int = 10, text_
     known = sorted((r.id or "", r.text.encode()) for r in items.toLocalIterator())
     blocks = [tuple(b) for b in item_blocks(known, width, 8_000_000)]
     shared = docs.sparkSession.sparkContext.broadcast(blocks)
+    small_batches(docs.sparkSession)
     names = docs.columns
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,7 +160,7 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, width: int = 10, text_
             hit = np.concatenate([b.column(2).to_numpy() for b in scan_batches(iter([rows]), shared.value, width)])
             yield batch.filter(pa.array(hit == 0))
 
-    return docs.mapInArrow(clean, docs.schema).select(*names)
+    return docs.mapInArrow(ts.tidy(clean), docs.schema).select(*names)
 
 
 def item_digest(items) -> str:

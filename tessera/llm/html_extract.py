@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import written
+from tessera.llm.common import discard, small_batches, written
 
 #: Element names.
 _RAW = "script|style|noscript|template|textarea|title|iframe|svg|math|object|select|button|canvas|audio|video"
@@ -388,7 +388,9 @@ def wrappers(pages: DataFrame, salts: int = 16) -> DataFrame:
             out.append(kept_slots(sorted((x for x in rows if x["path"] in in_wrapper), key=lambda x: x["path"])))
         return pd.Series(out)
 
-    return whole.join(slots, "host", "left").select("host", "n_pages", "wrapper", judged("wrapper", "slots").alias("paths"))
+    made = written(whole.join(slots, "host", "left").select("host", "n_pages", "wrapper", judged("wrapper", "slots").alias("paths")), "wrappers")
+    discard(seen)
+    return made
 
 
 def _texts(batches: Iterator[pa.RecordBatch], keep: int) -> Iterator[pa.RecordBatch]:
@@ -400,7 +402,8 @@ def _texts(batches: Iterator[pa.RecordBatch], keep: int) -> Iterator[pa.RecordBa
 
 def main_texts(pages: DataFrame, broadcast_bytes: int = 8_000_000) -> DataFrame:
     """page_id, url, text, n_chars for every row of ``pages``."""
-    made = written(wrappers(pages), "wrappers").select(F.col("host").alias("_h"), "paths")
+    small_batches(pages.sparkSession)
+    made = wrappers(pages).select(F.col("host").alias("_h"), "paths")
     size = made.agg(F.sum(F.length("_h") + F.length(F.to_json("paths")))).first()[0] or 0
     rows = pages.select("page_id", "url", "html")
     rows = rows.join(F.broadcast(made) if size <= broadcast_bytes else made, host_of(F.col("url")) == F.col("_h"), "left")

@@ -18,57 +18,66 @@ table nothing is fitted and the result is empty. Ties go to the language that co
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm import textscan as ts
-from tessera.llm.common import fresh, written
+from tessera.llm.common import discard, fresh, small_batches, written
 
 _BITS = 14
 LANGUAGES = ("en", "de", "fr", "es")
 #: Languages that a country suffix points to.
 SUFFIXES = {"de": "de", "at": "de", "ch": "de", "fr": "fr", "es": "es", "mx": "es", "ar": "es", "uk": "en", "us": "en", "au": "en"}
+#: Letters in lower case, all other ASCII as a space.
+_FOLD = np.where((ts.LOWER >= 0x80) | ((ts.LOWER >= 97) & (ts.LOWER <= 122)), ts.LOWER, np.uint8(32)).astype(np.uint32)
 _LETTER = np.zeros(256, bool)
 _LETTER[65:91] = _LETTER[97:123] = _LETTER[0xC2:] = True
 
 
 def trigram_slots(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hash slot of each byte trigram within a document (letters in lower case, other ASCII as a space), and its document."""
-    low = ts.LOWER[data]
-    low = np.where((low >= 0x80) | ((low >= 97) & (low <= 122)), low, np.uint8(32)).astype(np.uint32)
+    low = _FOLD[data]
     if len(low) < 3:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return np.zeros(0, np.int32), np.zeros(0, np.int32)
     key = low[:-2] * np.uint32(0x9E3779B1) + low[1:-1] * np.uint32(0x85EBCA77) + low[2:] * np.uint32(0xC2B2AE3D)
     key ^= key >> np.uint32(15)
     key *= np.uint32(0x2C1B3C6D)
-    slot = (key >> np.uint32(32 - _BITS)).astype(np.int64)
-    doc = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+    slot = (key >> np.uint32(32 - _BITS)).astype(np.int32)
+    doc = np.repeat(np.arange(len(offsets) - 1, dtype=np.int32), np.diff(offsets))
     inside = (doc[:-2] == doc[2:]) & ~((low[:-2] == 32) & (low[1:-1] == 32))
     return slot[inside], doc[:-2][inside]
 
 
 def likelihood_column(tables: np.ndarray, effective: int):
     """arrow function: text -> array<double>: tempered log-likelihood per language, then 1 if there is a letter else 0."""
-    tables = tables.astype(np.float32)
+    rows = np.ascontiguousarray(tables.T.astype(np.float32))  # the languages' values of a slot lie together
+    width = len(tables) + 1
+
+    def work(batches):
+        for texts in batches:
+            parts = []
+            for _, _, data, offsets in ts.slices(texts):
+                n = len(offsets) - 1
+                slot, doc = trigram_slots(data, offsets)
+                count = np.bincount(doc, minlength=n)
+                out = np.zeros((n, width))
+                if len(doc):
+                    first = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
+                    out[doc[first], :-1] = np.add.reduceat(rows[slot], first, axis=0, dtype=np.float64)
+                out[:, :-1] *= (np.minimum(count, effective) / np.maximum(count, 1))[:, None]
+                letters = np.concatenate([[0], np.cumsum(_LETTER[data])])
+                out[:, -1] = (letters[offsets[1:]] - letters[offsets[:-1]]) > 0
+                parts.append(out)
+            x = np.vstack(parts) if parts else np.zeros((0, width))
+            yield pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1]), pa.array(x.ravel()))
 
     @F.arrow_udf("array<double>")
-    def likelihood(texts: pa.Array) -> pa.Array:
-        parts = []
-        for _, _, data, offsets in ts.slices(texts):
-            n = len(offsets) - 1
-            slot, doc = trigram_slots(data, offsets)
-            count = np.bincount(doc, minlength=n)
-            out = np.zeros((n, len(tables) + 1))
-            for k, table in enumerate(tables):
-                out[:, k] = np.bincount(doc, table[slot], minlength=n)
-            out[:, :-1] *= (np.minimum(count, effective) / np.maximum(count, 1))[:, None]
-            letters = np.concatenate([[0], np.cumsum(_LETTER[data])])
-            out[:, -1] = (letters[offsets[1:]] - letters[offsets[:-1]]) > 0
-            parts.append(out)
-        x = np.vstack(parts) if parts else np.zeros((0, len(tables) + 1))
-        return pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1]), pa.array(x.ravel()))
+    def likelihood(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        return ts.tidy(work)(batches)
 
     return likelihood
 
@@ -94,10 +103,11 @@ def fit_trigrams(docs: DataFrame, text_col: str, declared_col: str, key_col: str
         keys = keys.unionByName(b.withColumn("l", F.lit(name)))
     keys = written(keys, "fit")  # at most fit_rows for each language, so it may be broadcast
     rows = docs.select(F.lower(F.col(declared_col)).alias("l"), F.xxhash64(F.col(key_col), F.lit(3)).alias("k"), F.col(text_col).alias("t"))
-    rows = written(rows.join(F.broadcast(keys), ["l", "k"], "left_semi").select("l", "t"), "fit").coalesce(8)
+    rows = written(rows.join(F.broadcast(keys), ["l", "k"], "left_semi").select("l", "t"), "fit")
     sums = np.zeros((len(languages), 1 << _BITS))
-    for r in rows.mapInArrow(lambda it: _count_batches(it, languages), "sums binary").toLocalIterator():  # fixed size per task
+    for r in rows.coalesce(8).mapInArrow(ts.tidy(lambda it: _count_batches(it, languages)), "sums binary").toLocalIterator():  # fixed size per task
         sums += np.frombuffer(r.sums, np.int64).reshape(sums.shape)
+    discard(keys, rows)
     return np.log((sums + 0.5) / (sums.sum(1, keepdims=True) + 0.5 * sums.shape[1]))
 
 
@@ -134,11 +144,13 @@ def host_priors(evidence: DataFrame, shares: list[str], strength: float) -> Data
 
 def language_columns(docs: DataFrame, text_col: str = "text", declared_col: str = "lang", host: Column | None = None, suffix: Column | None = None,
                      key_col: str = "doc_id", languages: tuple[str, ...] = LANGUAGES, fit_rows: int = 1000, effective: int = 60, trust: float = 0.9,
-                     strength: float = 20.0, least: float = 0.5, broadcast_hosts: int = 100_000) -> DataFrame:
+                     strength: float = 20.0, least: float = 0.5, broadcast_hosts: int = 100_000, keep_text: bool = True) -> DataFrame:
     """``docs`` with language, text_language, posterior, accepted added (replacing columns of these names).
 
-    ``host`` and ``suffix`` are columns over ``docs``: the host name, and the address's last label.
+    ``host`` and ``suffix`` are columns over ``docs``: the host name, and the address's last label. Without ``keep_text`` the
+    result lacks the text and the texts are scanned once; else twice, for the priors and for the result.
     """
+    small_batches(docs.sparkSession)
     docs = docs.drop("language", "text_language", "posterior", "accepted")
     k = len(languages)
     tables = fit_trigrams(docs, text_col, declared_col, key_col, languages, fit_rows)
@@ -146,10 +158,13 @@ def language_columns(docs: DataFrame, text_col: str = "text", declared_col: str
     ll, hcol, pcol, ccol = fresh(docs, "_ll", "_host", "_prior", "_post")
     host = F.lower(host) if host is not None else F.lit(None).cast("string")
     with_ll = docs.withColumn(hcol, host).withColumn(ll, seen(F.col(text_col)))
+    if not keep_text:
+        with_ll = written(with_ll.drop(text_col), "evidence")
+        docs = docs.drop(text_col)
     text_post = _softmax([F.col(ll)[i] for i in range(k)])
     has = F.col(ll)[k] > 0
     evidence = with_ll.where(has).select(F.col(hcol).alias("host"), *[p.alias(f"s{i}") for i, p in enumerate(text_post)])
-    priors, overall = host_priors(written(evidence, "evidence"), [f"s{i}" for i in range(k)], strength)
+    priors, overall = host_priors(written(evidence, "evidence") if keep_text else evidence, [f"s{i}" for i in range(k)], strength)
     priors = priors.select(F.col("host").alias("_h_"), F.col("prior").alias(pcol))
     if priors.count() <= broadcast_hosts:  # rows of fixed size; beyond that a shuffled join
         priors = F.broadcast(priors)

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm import textscan as ts
-from tessera.llm.common import components, written
+from tessera.llm.common import components, discard, small_batches, written
 
 _U = np.uint64
 _PARTS = 64
@@ -101,7 +101,7 @@ def band_hashes(coords: np.ndarray, bands: int, rows: int) -> np.ndarray:
 def sketch_batches(batches: Iterator[pa.RecordBatch], width: int, bands: int, rows: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids = batch.column(0)
-        for lo, hi, data, offsets in ts.slices(batch.column(1)):
+        for lo, hi, data, offsets in ts.slices(batch.column(1), 1_000_000):
             sets, counts = shingle_sets(data, offsets, width)
             doc = np.repeat(np.arange(hi - lo), counts)
             sums = np.zeros((2, hi - lo), np.uint64)
@@ -169,9 +169,10 @@ def near_duplicates(docs: DataFrame, percent: int = 85, width: int = 5, bands: i
 
     ``percent``: least similarity of a link, in hundredths. ``kept`` marks the smallest doc_id of each component.
     """
+    small_batches(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     schema = "doc_id long, n_shingles long, set_a long, set_b long, marks array<long>"
-    drawn = written(texts.mapInArrow(lambda it: sketch_batches(it, width, bands, rows), schema), "sketch")
+    drawn = written(texts.mapInArrow(ts.tidy(lambda it: sketch_batches(it, width, bands, rows)), schema), "sketch")
     # One class per distinct set; it stands for its copies under the smallest doc_id.
     classes = (drawn.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("set_a", "set_b")
                .agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("size"), F.min(F.struct("doc_id", "marks")).alias("m")))
@@ -189,12 +190,16 @@ def near_duplicates(docs: DataFrame, percent: int = 85, width: int = 5, bands: i
     first = written(first, "pairs")
     wanted = member.select(F.col("rep").alias("doc_id")).distinct()
     picked = texts.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    sets = written(picked.mapInArrow(lambda it: set_batches(it, width), "id long, shingles array<long>"), "sets")
+    sets = written(picked.mapInArrow(ts.tidy(lambda it: set_batches(it, width)), "id long, shingles array<long>"), "sets")
     links = written(_verified(first, sets, percent), "links")
     rest = written(_open_pairs(member, classes, sets, components(links), fits, percent).join(first, ["a", "b"], "left_anti"), "rest")
-    label = components(links.union(written(_verified(rest, sets, percent), "links")))
+    more = written(_verified(rest, sets, percent), "links")
+    discard(member, first, rest, sets)
+    label = components(links.union(more))
     named = classes.join(label, F.col("rep") == F.col("node"), "left").select("set_a", "set_b", F.coalesce("component", "rep").alias("component_id"))
     alone = F.col("n_shingles") == 0
     out = drawn.drop("marks").join(named, ["set_a", "set_b"], "left")
     out = out.withColumn("component_id", F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")))
-    return out.select("doc_id", "n_shingles", "component_id", (F.col("doc_id").isNull() | (F.col("doc_id") == F.col("component_id"))).alias("kept"))
+    out = written(out.select("doc_id", "n_shingles", "component_id", (F.col("doc_id").isNull() | (F.col("doc_id") == F.col("component_id"))).alias("kept")), "components")
+    discard(drawn, classes, links, more)
+    return out

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import ordered, running_sum, with_position, written
+from tessera.llm.common import discard, ordered, running_sum, with_position, written
 
 
 def word_count(text: Column) -> Column:
@@ -66,6 +66,8 @@ def fair_mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), repeats: i
     queue = queue.select("_mid", "size", "rank", "run", "_place", "doc_id", finish.alias("finish"))
     queue = ordered(queue.withColumnRenamed("_mid", "_row"), ["finish", "rank", "run", "_place", "doc_id"], "_mid")
     taken = running_sum(queue, "size", "served").where(F.col("served") <= F.lit(budget)).groupBy("_row").agg(F.count(F.lit(1)).cast("int").alias("runs"))
+    taken = written(taken, "taken")
+    discard(queue)
     out = srt.join(taken, srt["_mid"] == taken["_row"], "left")
     out = out.join(ranked, out["source"].eqNullSafe(ranked["_src"]))
     runs = F.coalesce(F.col("runs"), F.lit(0))

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm import textscan as ts
-from tessera.llm.common import written
+from tessera.llm.common import small_batches, written
 
 _BUCKET_BITS, _DIM, _SHAPES, _SHAPE_DIM = 14, 48, 1024, 48
 
@@ -165,7 +165,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, max_fit_rows: int = 6000, se
     sample = written(docs.select("doc_id", F.col("text").alias("text")).join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "quality"), "fit")
     few = sample.select("text").coalesce(8)
     sums = np.zeros_like(_WORD_INDEX)
-    for row in few.mapInArrow(_context_batches, "sums binary").toLocalIterator():  # one matrix of fixed size per task
+    for row in few.mapInArrow(ts.tidy(_context_batches), "sums binary").toLocalIterator():  # one matrix of fixed size per task
         sums += np.frombuffer(row.sums, np.float32).reshape(sums.shape)
     vectors = _WORD_INDEX + sums / np.maximum(np.sqrt((sums ** 2).sum(1, keepdims=True)), 1) * 2
     model = Model(vectors.astype(np.float32), np.zeros(1), np.ones(1))
@@ -181,10 +181,10 @@ def pooled_column(model: Model):
     vectors = model.vectors
 
     @F.arrow_udf("array<float>")
-    def pooled(texts: pa.Array) -> pa.Array:
-        parts = [features(data, offsets, vectors) for _, _, data, offsets in ts.slices(texts)]
-        x = np.vstack(parts)
-        return pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1]), pa.array(x.ravel()))
+    def pooled(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            x = np.vstack([features(data, offsets, vectors) for _, _, data, offsets in ts.slices(texts)])
+            yield pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1]), pa.array(x.ravel()))
 
     return pooled
 
@@ -192,20 +192,23 @@ def pooled_column(model: Model):
 def score_column(spark, model: Model):
     """The model as a column function of the text. The model is of fixed size and shipped as a broadcast variable."""
     shared = spark.sparkContext.broadcast(pickle.dumps(model))
-    cache: list[Model] = []
+
+    def work(batches):
+        model = pickle.loads(shared.value)
+        for texts in batches:
+            parts = [model.score(features(data, offsets, model.vectors)) for _, _, data, offsets in ts.slices(texts)]
+            yield pa.array(np.concatenate(parts) if parts else np.zeros(0))
 
     @F.arrow_udf("double")
-    def score(texts: pa.Array) -> pa.Array:
-        if not cache:
-            cache.append(pickle.loads(shared.value))
-        parts = [cache[0].score(features(data, offsets, cache[0].vectors)) for _, _, data, offsets in ts.slices(texts)]
-        return pa.array(np.concatenate(parts) if parts else np.zeros(0))
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        return ts.tidy(work)(batches)
 
     return score
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, max_fit_rows: int = 6000) -> DataFrame:
     """doc_id, held_out, score, predicted for every row of ``docs``."""
+    small_batches(docs.sparkSession)
     model = fit_quality(docs, labels, max_fit_rows)
     score = score_column(docs.sparkSession, model)
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm import textscan as ts
-from tessera.llm.common import written
+from tessera.llm.common import discard, small_batches, written
 
 _GEAR = (ts.mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95)) >> np.uint64(32)).astype(np.uint32)
 
@@ -91,9 +91,10 @@ def repeated_spans(docs: DataFrame, bits: int = 4, least: int = 28, most: int =
                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, n_chars, n_chunks, n_repeated (chunks in spans), spans (start, end, words),
     n_removed (characters in spans)."""
+    small_batches(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.monotonically_increasing_id().alias("row"))
     schema = "doc_id long, row long, no int, digest_a long, digest_b long, start int, end int, words int"
-    every = written(texts.mapInArrow(lambda it: chunk_batches(it, bits, least, most), schema), "chunks")
+    every = written(texts.mapInArrow(ts.tidy(lambda it: chunk_batches(it, bits, least, most)), schema), "chunks")
     chunks = every.where("no >= 0")
     key = ["digest_a", "digest_b"]
     twice = chunks.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
@@ -108,8 +109,11 @@ def repeated_spans(docs: DataFrame, bits: int = 4, least: int = 28, most: int =
     whole = every.groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.max(F.when(F.col("no") < 0, F.col("end"))).alias("n_chars"), F.count_if(F.col("no") >= 0).alias("n_chunks"))
     out = whole.join(spans, "row", "left")
     none = F.expr("cast(array() as array<struct<start:int,end:int,words:bigint>>)")
-    return out.select("doc_id", F.col("n_chars").cast("long").alias("n_chars"), "n_chunks", F.coalesce("n", F.lit(0)).cast("long").alias("n_repeated"),
+    out = out.select("doc_id", F.col("n_chars").cast("long").alias("n_chars"), "n_chunks", F.coalesce("n", F.lit(0)).cast("long").alias("n_repeated"),
                       F.coalesce("spans", none).alias("spans"), F.coalesce("cut", F.lit(0)).cast("long").alias("n_removed"))
+    out = written(out, "spans")
+    discard(every, shared)
+    return out
 
 
 def without_spans(text: F.Column, spans: F.Column) -> F.Column:

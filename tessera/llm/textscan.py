@@ -6,13 +6,14 @@ that buffer as a numpy array, so the cost is a few passes over the bytes and the
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 
 #: Bytes of text handled at once. One longer document forms a slice of its own; nothing is cut.
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 500_000
 
 _U = np.uint64
 _MULT = 0x9E3779B97F4A7C15 | 1
@@ -23,6 +24,25 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
+def release() -> None:
+    """Give free memory back to the system. Python workers outlive their tasks, several to an executor, and the C library
+    would keep what their arrays once took."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def tidy(work: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``work`` over the batches of a task; free memory is given back when it is done."""
+
+    def run(batches: Iterator) -> Iterator:
+        yield from work(batches)
+        release()
+
+    return run
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """Finalizer with full avalanche (splitmix64)."""
     x = x ^ (x >> _U(30))
