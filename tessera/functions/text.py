@@ -70,7 +70,7 @@ def section_text(text: Column, start: Column, end: Column) -> Column:
 
 def valid_chars(text: Column) -> Column:
     """Word characters, white space and common punctuation."""
-    return F.regexp_count(text, F.lit(f"[{WORD}\\s\\u00A0\\u2000-\\u200A\\u2028\\u2029\\u202F\\u205F\\u3000\\u0085\\u001C-\\u001F.,!?;:'\"\\-]"))
+    return F.length(F.regexp_replace(text, f"[^{WORD}\\s\\u00A0\\u2000-\\u200A\\u2028\\u2029\\u202F\\u205F\\u3000\\u0085\\u001C-\\u001F.,!?;:'\"\\-]+", ""))
 
 
 def needs_ocr(text: Column, least: int = 500) -> Column:
@@ -120,12 +120,10 @@ def compress_mapping(text: Column, longest: int = 30_000) -> Column:
 
 def clean_mapping(text: Column, ids: Column, whole_words: bool = False) -> Column:
     """Lines that mention no deleted id. ``whole_words``: sku_100 doesn't count as a mention of sku_10."""
-    def mentions(line, i):
-        if not whole_words:
-            return F.contains(line, i)
-        return F.array_contains(F.split(line, "[^A-Za-z0-9_-]+"), i)
+    def mentions(line):
+        return F.arrays_overlap(F.split(line, "[^A-Za-z0-9_-]+"), ids) if whole_words else F.exists(ids, lambda i: F.contains(line, i))
 
-    return F.array_join(F.filter(F.split(text, "\n", -1), lambda x: ~F.exists(ids, lambda i: mentions(x, i))), "\n")
+    return F.array_join(F.filter(F.split(text, "\n", -1), lambda x: ~mentions(x)), "\n")
 
 
 def extract_spec(text: Column) -> Column:
