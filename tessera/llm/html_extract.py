@@ -9,7 +9,8 @@
 3. Slots of the wrapper are judged by where they stand and by sums over all pages of the host: slots in menus, headers,
    footers, sidebars, notices, adverts, forms and comment sections are dropped; in hosts with an article or main
    element its slots are kept; elsewhere the slots of the container with the most unlinked, varying text.
-4. Each page's text is read through its host's slots.
+4. Each page's text is read through its host's slots. A page whose template has none of them (a rare template beside
+   others) is judged by its own slots.
 
 Defined results: null or empty html gives the empty text; a null or malformed url is the host ""; pages of one host
 that repeat are counted as often as they come; a broken page is read as far as its tags can be matched. Text outside any
@@ -39,11 +40,11 @@ _SCOPES = {"ul", "ol", "dl", "table", "menu", "body", "article", "section", "div
 _DROP_TAGS = {"nav", "header", "footer", "aside", "form", "menu", "dialog", "head", "search", "fieldset"}
 _DROP_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "menu", "menubar", "alertdialog"}
 _DROP_NAMES = re.compile(
-    r"(?:^|[-_\s])(?:ads?|advert\w*|adbox|sponsor\w*|promo\w*|banner\w*|cookies?|consent|gdpr|notices?|alerts?|popups?|modal|overlay|newsletter|subscribe|"
-    r"signup|login|menus?|nav\w*|breadcrumbs?|sidebar\w*|side|aside|widget\w*|related|recommend\w*|share\w*|sharing|social\w*|comments?\w*|replies|reply|disqus|"
-    r"discussion|responses|header|masthead|footer|foot|copyright|legal|pagination|pager|toolbar|tags|skip|hidden)(?:$|[-_\s])", re.I)
+    r"(?:^|[-_\s])(?:ads?|adsby\w*|advert\w*|adbox|sponsor\w*|promo\w*|banner\w*|cookies?|consent|gdpr|notices?|alerts?|popups?|modal|overlay|newsletter|subscribe|"
+    r"signup|login|menus?|nav\w*|breadcrumbs?|sidebar\w*|aside|widget\w*|related|recommend\w*|share\w*|sharing|social\w*|comments?\w*|replies|reply|disqus|"
+    r"discussion|responses|header|masthead|footer|foot|copyright|disclaimer|pagination|pager|toolbar|tags|skip|hidden)(?:$|[-_\s])", re.I)
 _MAIN_NAMES = re.compile(r"(?:^|[-_\s])(?:article|content|main|post|entry|story|body)(?:$|[-_\s]|text|body|content)", re.I)
-_TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<({_RAW})\b(?:\"[^\"]*\"|'[^']*'|[^'\">])*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>|<[!?][^>]*>", re.S | re.I)
+_TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<({_RAW})\b(?:\"[^\"]*\"|'[^']*'|[^'\">])*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>|<[!?][^>]*>|<[a-zA-Z/][^<>]*\Z", re.S | re.I)
 _ATTR = re.compile(r"""\b(class|id|role|hidden|style|aria-hidden)\b\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 _SPACE = re.compile(r"\s+")
 _DIGITS = re.compile(r"\d+")
@@ -319,7 +320,16 @@ def kept_slots(slots: list[dict]) -> list[str]:
 
 
 def main_text(page: str, paths: set[str]) -> str:
-    return "\n\n".join(text for path, text, _, _ in blocks(page) if text and path in paths)
+    """Text of the host's slots; of the page's own best slots where its template has none of them."""
+    found = [(path, text, linked) for path, text, linked, _ in blocks(page) if text]
+    if found and not any(path in paths for path, _, _ in found):
+        own: dict[str, dict] = {}
+        for path, text, linked in found:
+            s = own.setdefault(path, {"path": path, "pages": 1, "chars": 0, "linked": 0, "constant": False})
+            s["chars"] += len(text)
+            s["linked"] += linked
+        paths = set(kept_slots(list(own.values())))
+    return "\n\n".join(text for path, text, _ in found if path in paths)
 
 
 def host_of(url: Column) -> Column:

@@ -317,13 +317,21 @@ def test_extraction_without_article(spark):
     assert all(out[i] == f"News {i}\n\n{('word ' * 30)}{i}\n\n{'more ' * (i + 3)}{i}" for i in range(5))
 
 
+def test_extraction_of_mixed_templates_and_names(spark):
+    junk = "<div class='adsbygoogle'>Buy</div><div id='sidebar-left'>Side</div><ul class='comment-list'><li>Reader one</li></ul><div class='related-posts'><p>Else</p></div>"
+    made = [(i, "http://m.org/", page(f"<article><p>Article {i} text</p></article>{junk}")) for i in range(8)]
+    made += [(100, "http://m.org/", page(f"<div class='post-content'><h1>Other</h1><p>Named container</p></div>{junk}")), (101, "http://m.org/", page("<div><p>" + "only plain " * 20 + "</p></div><div><a href=x>link link</a></div>"))]
+    out = {r.page_id: r.text for r in html_extract.main_texts(spark.createDataFrame(made, "page_id long, url string, html string")).collect()}
+    assert all(out[i] == f"Article {i} text" for i in range(8)) and out[100] == "Other\n\nNamed container" and out[101] == ("only plain " * 20).strip()
+
+
 def test_extraction_edge_cases(spark):
-    rows = [(1, None, None, "x"), (2, "http://c.org", "", "x"), (3, "http://c.org", "plain &lt;text&gt;", "x"), (4, "nonsense", "<p>open <b>x", "x"), (5, "http://d.org", page("<article><p>" + "long " * 30000 + "</p></article>"), "x"), (6, "http://e.org", "<article><p>cut &am", "x"), (6, "http://e.org", "<article><p>cut &am", "x"), (7, "http://f.org", "<script>never closed", "x")]
+    rows = [(1, None, None, "x"), (2, "http://c.org", "", "x"), (3, "http://c.org", "plain &lt;text&gt;", "x"), (4, "nonsense", "<p>open <b>x", "x"), (5, "http://d.org", page("<article><p>" + "long " * 30000 + "</p></article>"), "x"), (6, "http://e.org", "<article><p>cut &am", "x"), (6, "http://e.org", "<article><p>cut &am", "x"), (7, "http://f.org", "<script>never closed", "x"), (8, "http://g.org", "<article><p>cut <b cla", "x")]
     out = html_extract.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string, text string"))
     got = sorted((r.page_id, r.text) for r in out.collect())
-    assert len(got) == 8
+    assert len(got) == 9
     d = dict(got)
-    assert d[1] == d[2] == d[7] == "" and d[3] == "plain <text>" and d[4] == "open x" and d[6] == "cut &am" and len(d[5]) == 149999
+    assert d[1] == d[2] == d[7] == "" and d[3] == "plain <text>" and d[4] == "open x" and d[6] == "cut &am" and d[8] == "cut" and len(d[5]) == 149999
     assert html_extract.main_texts(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
