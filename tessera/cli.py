@@ -40,7 +40,7 @@ def main(args: list[str] | None = None) -> int:
         r = readers.read_texts(spark, a.input).agg(F.sum(F.length("text")).alias("chars"), F.sum(tokens(F.col("text"))).alias("tokens")).first()
         print({"characters": r.chars, "tokens": r.tokens, "characters_per_token": round(r.chars / r.tokens, 2) if r.tokens else None, "within_limit": (r.tokens or 0) <= s.max_token_length})
     elif a.command == "show-index":
-        print(resolution.index_totals(spark.read.parquet(a.input)).select(resolution.index_summary(None)).first()[0])
+        print(resolution.index_totals(spark.read.parquet(a.input)).select(resolution.index_summary()).first()[0])
     elif a.command == "bucket":
         stages.bucket(spark.read.parquet(a.input), settings=s).write.mode("overwrite").parquet(a.output)
     else:

@@ -66,9 +66,8 @@ def cut_position(before: str, after: str, text: str, gap: int = 50, floor: float
     follow = locate(after, text[cut:cut + len(after) + 100], floor)
     if follow is None or follow > gap:
         return cut
-    while cut < len(text) and text[cut] in " \t":
-        cut += 1
-    return cut
+    rest = text[cut:]
+    return cut + len(rest) - len(rest.lstrip(" \t"))
 
 
 def cut_position_of(before: Column, after: Column, text: Column) -> Column:

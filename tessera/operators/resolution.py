@@ -135,10 +135,10 @@ def index_totals(units: DataFrame) -> DataFrame:
                      each("factual"), each("relational"), each("procedural"), each("meta"), F.countDistinct("sku_id").alias("distinct_skus"))
 
 
-def index_summary(totals: DataFrame) -> Column:
-    n = lambda c: F.format_number(F.col(c), 0)
-    return F.concat_ws("\n", F.concat(F.lit("Total SKUs: "), n("total_skus")), F.concat(F.lit("Total characters: "), n("total_characters")),
-                       *[F.concat(F.lit(f"  {c}: "), n(f"{c}_count")) for c in ("factual", "relational", "procedural", "meta")])
+def index_summary() -> Column:
+    kinds = [F.concat(F.lit(f"  - {c.capitalize()}: "), F.col(f"{c}_count")) for c in ("factual", "relational", "procedural", "meta")]
+    return F.concat_ws("\n", F.lit("SKUs Index Summary"), F.lit("=================="), F.concat(F.lit("Total SKUs: "), F.col("total_skus")), F.concat(F.lit("Total Characters: "), F.format_number("total_characters", 0)),
+                       F.lit(""), F.lit("By Type:"), *kinds)
 
 
 def unprocessed(chunks: DataFrame, processed: DataFrame) -> DataFrame:
@@ -189,7 +189,7 @@ def list_line() -> Column:
 def unit_list(units: DataFrame, order: str = "ord") -> DataFrame:
     """All units as one text of lines in order, a fixed message when there is none. The result is one value by nature."""
     rows = units.agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), list_line().alias("l")))).alias("r"))
-    return rows.select(F.when(F.size("r") == 0, F.lit("No SKUs available.")).otherwise(F.array_join(F.transform("r", lambda x: x["l"]), "\n")).alias("listing"))
+    return rows.select(F.when(F.size("r") == 0, F.lit("*No SKUs extracted yet.*")).otherwise(F.array_join(F.transform("r", lambda x: x["l"]), "\n")).alias("listing"))
 
 
 def factual_units(facts: DataFrame, start: int = 1) -> DataFrame:

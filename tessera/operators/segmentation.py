@@ -194,9 +194,9 @@ def recut(rows: DataFrame, budget: int, finder: CutFinder | None = None) -> Data
 
 
 def front_matter(rows: DataFrame, source_col: str = "source_file") -> Column:
-    """A chunk as a file: YAML front matter (chunk number from 1) and content."""
-    return F.concat(F.lit("---\ntitle: "), F.col("title"), F.lit("\nsource: "), F.col(source_col), F.lit("\nchunk: "), F.col("chunk_index") + 1, F.lit("/"), F.col("total_chunks"),
-                    F.lit("\ntokens: "), F.col("estimated_tokens"), F.lit("\nmethod: "), F.col("chunking_method"), F.lit("\n---\n\n"), F.col("content"))
+    """A chunk as a file: YAML front matter (chunk number from 1; quotes in titles are not escaped) and content."""
+    return F.concat(F.lit('---\ntitle: "'), F.col("title"), F.lit('"\nsource: "'), F.col(source_col), F.lit('"\nchunk: '), F.col("chunk_index") + 1, F.lit("\ntotal: "), F.col("total_chunks"),
+                    F.lit("\ntokens: "), F.col("estimated_tokens"), F.lit('\nmethod: "'), F.col("chunking_method"), F.lit('"\n---\n\n'), F.col("content"))
 
 
 def chunk_id(source: Column) -> Column:

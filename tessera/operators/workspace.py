@@ -68,10 +68,10 @@ def transcript_paragraphs(segments: DataFrame, id_col: str = "video_id") -> Data
     return rows.groupBy(id_col, "paragraph").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seq", "_t"))), lambda r: r["_t"]), " ").alias("text"))
 
 
-def transcript_markdown(paragraphs: DataFrame, meta: DataFrame, id_col: str = "video_id") -> DataFrame:
+def transcript_markdown(paragraphs: DataFrame, meta: DataFrame, id_col: str = "video_id", site: str = "YouTube") -> DataFrame:
     """(id, markdown): a head with address, id and, where given, title; then the paragraphs."""
     text = paragraphs.groupBy(id_col).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("paragraph", "text"))), lambda r: r["text"]), "\n\n").alias("_body"))
-    head = F.concat_ws("\n", F.lit("# Video Transcript"), F.lit(""), F.concat(F.lit("**Video URL:** "), F.col("url")), F.concat(F.lit("**Video ID:** "), F.col(id_col)),
+    head = F.concat_ws("\n", F.lit(f"# {site} Video Transcript"), F.lit(""), F.concat(F.lit("**Video URL:** "), F.col("url")), F.concat(F.lit("**Video ID:** "), F.col(id_col)),
                        F.when(F.col("title").isNotNull(), F.concat(F.lit("**Title:** "), F.col("title"))), F.lit(""), F.lit("---"), F.lit(""), F.lit("## Transcript"), F.lit(""))
     return meta.join(text, id_col).select(id_col, F.concat(head, F.lit("\n"), F.col("_body")).alias("markdown"))
 
@@ -111,14 +111,14 @@ def skill_message(text: Column, name: Column, description: Column, keys: Column)
     extra = F.array_sort(F.array_except(keys, F.array(*[F.lit(k) for k in SKILL_KEYS])))
     return (F.when(~text.startswith("---"), "No YAML frontmatter found")
             .when(~F.regexp_like(text, F.lit("(?s)\\A---\\n.*?\\n---")), "Invalid frontmatter format")
-            .when(F.size(extra) > 0, F.concat(F.lit("Unexpected key(s) in frontmatter: "), F.array_join(extra, ", ")))
+            .when(F.size(extra) > 0, F.concat(F.lit("Unexpected key(s) in SKILL.md frontmatter: "), F.array_join(extra, ", "), F.lit(". Allowed properties are: " + ", ".join(sorted(SKILL_KEYS)))))
             .when(name.isNull(), "Missing 'name' in frontmatter")
             .when(description.isNull(), "Missing 'description' in frontmatter")
-            .when(~F.regexp_like(name, F.lit("\\A[a-z0-9-]*\\z")), "Name must be hyphen-case")
-            .when(name.startswith("-") | name.endswith("-") | name.contains("--"), "Name has hyphens at an edge or in a row")
-            .when(F.length(name) > 64, "Name is too long")
-            .when(description.contains("<") | description.contains(">"), "Description has angle brackets")
-            .when(F.length(description) > 1024, "Description is too long").otherwise("Skill is valid!"))
+            .when(~F.regexp_like(name, F.lit("\\A[a-z0-9-]*\\z")), F.concat(F.lit("Name '"), name, F.lit("' should be hyphen-case (lowercase letters, digits, and hyphens only)")))
+            .when(name.startswith("-") | name.endswith("-") | name.contains("--"), F.concat(F.lit("Name '"), name, F.lit("' cannot start/end with hyphen or contain consecutive hyphens")))
+            .when(F.length(name) > 64, F.concat(F.lit("Name is too long ("), F.length(name), F.lit(" characters). Maximum is 64 characters.")))
+            .when(description.contains("<") | description.contains(">"), "Description cannot contain angle brackets (< or >)")
+            .when(F.length(description) > 1024, F.concat(F.lit("Description is too long ("), F.length(description), F.lit(" characters). Maximum is 1024 characters."))).otherwise("Skill is valid!"))
 
 
 def front_matter_fields(text: Column) -> Column:

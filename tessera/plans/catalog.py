@@ -179,7 +179,7 @@ def header_chunks(spark, sf_dir):
 
 
 @query(_CHUNKS + """ SELECT 'conv/' || doc_id || '.md' AS source_file, count(*) AS chunks, sum(estimated_tokens) AS tokens, min('conv_' || doc_id || '_chunk_' || lpad((chunk_index + 1)::VARCHAR, 3, '0')) AS first_chunk,
-min(chr(45) || '--' || chr(10) || 'title: ' || title || chr(10) || 'source: conv/' || doc_id || '.md' || chr(10) || 'chunk: ' || (chunk_index + 1) || '/' || total_chunks || chr(10) || 'tokens: ' || estimated_tokens || chr(10) || 'method: header' || chr(10) || '---' || chr(10) || chr(10) || content) AS least_file FROM chunks GROUP BY doc_id""")
+min(chr(45) || '--' || chr(10) || 'title: "' || title || '"' || chr(10) || 'source: "conv/' || doc_id || '.md"' || chr(10) || 'chunk: ' || (chunk_index + 1) || chr(10) || 'total: ' || total_chunks || chr(10) || 'tokens: ' || estimated_tokens || chr(10) || 'method: "header"' || chr(10) || '---' || chr(10) || chr(10) || content) AS least_file FROM chunks GROUP BY doc_id""")
 def chunk_index(spark, sf_dir):
     rows = segmentation.header_chunks(inputs.md_docs(spark, sf_dir), 300).withColumn("source_file", F.concat(F.lit("conv/"), F.col("doc_id"), F.lit(".md")))
     rows = rows.withColumn("chunk_id", segmentation.chunk_id(F.col("source_file"))).withColumn("file", segmentation.front_matter(rows))
@@ -532,7 +532,7 @@ def skill_names(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", text.hyphen_case(F.concat(F.col("p_name"), F.lit("_"), F.col("p_type"), F.lit(" "), F.col("p_brand"))).alias("skill"), F.lower(text.title_case(F.col("p_name"))).alias("title"))
 
 
-@query("""SELECT p_partkey, CASE p_partkey % 6 WHEN 0 THEN 'Skill is valid!' WHEN 1 THEN 'Name must be hyphen-case' WHEN 2 THEN 'Unexpected key(s) in frontmatter: color' WHEN 3 THEN 'Missing ''description'' in frontmatter' WHEN 4 THEN 'No YAML frontmatter found' ELSE 'Description has angle brackets' END AS message FROM part""")
+@query("""SELECT p_partkey, CASE p_partkey % 6 WHEN 0 THEN 'Skill is valid!' WHEN 1 THEN 'Name ''' || p_name || ''' should be hyphen-case (lowercase letters, digits, and hyphens only)' WHEN 2 THEN 'Unexpected key(s) in SKILL.md frontmatter: color. Allowed properties are: allowed-tools, description, license, metadata, name' WHEN 3 THEN 'Missing ''description'' in frontmatter' WHEN 4 THEN 'No YAML frontmatter found' ELSE 'Description cannot contain angle brackets (< or >)' END AS message FROM part""")
 def skill_validate(spark, sf_dir):
     k, name = F.col("p_partkey") % 6, F.concat(F.when(F.col("p_partkey") % 6 == 1, F.col("p_name")).otherwise(F.replace("p_name", F.lit(" "), F.lit("-"))))
     body = F.concat(F.lit("---\nname: "), name, F.when(k == 3, "").otherwise(F.concat(F.lit("\ndescription: "), F.when(k == 5, "a <b>").otherwise("text"))), F.when(k == 2, "\ncolor: red").otherwise(""), F.lit("\n---\nbody\n"))
