@@ -6,6 +6,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.operators.numbering import numbered_globally
+
 ACTIONS = ("delete", "rewrite", "merge", "keep", "contradiction")
 
 
@@ -194,8 +196,7 @@ def unit_list(units: DataFrame, order: str = "ord") -> DataFrame:
 
 def factual_units(facts: DataFrame, start: int = 1) -> DataFrame:
     """Facts (ord, chunk_id, name, description, content) as units with running ids."""
-    no = F.row_number().over(Window.orderBy("ord")) + (start - 1)
-    rows = facts.withColumn("_no", no)
+    rows = numbered_globally(facts, ["ord"], "_no", start)
     return rows.select(F.format_string("sku_%03d", "_no").alias("sku_id"), F.coalesce("name", F.format_string("fact_%d", "_no")).alias("name"), F.lit("factual").alias("classification"),
                        F.col("chunk_id").alias("source_chunk"), F.length("content").alias("character_count"), "description", "content")
 

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from tessera.config import DEFAULTS, Settings
 from tessera.functions.text import flatten_path, hyphen_case, needs_ocr, rough_tokens, suffix
 from tessera.operators import clustering, graph, resolution, routing, segmentation, similarity, workspace
+from tessera.operators.numbering import numbered_globally
 from tessera.sources import providers, readers
 
 
@@ -74,8 +75,7 @@ def extract(chunks: DataFrame, provider: providers.Provider, processed: DataFram
     facts = ask("factual", _FACTS).select("chunk_id", F.posexplode("a.facts").alias("pos", "f")).select(order("chunk_id", "pos").alias("ord"), "chunk_id", "f.*")
     skills = ask("procedural", _SKILLS).select("chunk_id", F.posexplode("a.procedures").alias("pos", "p")).select(order("chunk_id", "pos").alias("ord"), "chunk_id", "p.*")
     units = resolution.factual_units(facts, first_sku)
-    no = F.row_number().over(resolution.Window.orderBy("ord")) + (first_skill - 1)
-    skills = skills.withColumn("_no", no).withColumn("name", hyphen_case(F.coalesce("name", F.format_string("skill-%d", "_no"))))
+    skills = numbered_globally(skills, ["ord"], "_no", first_skill).withColumn("name", hyphen_case(F.coalesce("name", F.format_string("skill-%d", "_no"))))
     skills = skills.withColumn("description", resolution.skill_description(F.coalesce("description", F.lit(""))))
     skills = skills.withColumn("content", resolution.skill_markdown(F.col("name"), F.col("description"), F.coalesce("body", F.lit(""))))
     skills = skills.select(F.format_string("skill_%03d", "_no").alias("sku_id"), "name", F.lit("procedural").alias("classification"), F.col("chunk_id").alias("source_chunk"),
@@ -86,7 +86,7 @@ def extract(chunks: DataFrame, provider: providers.Provider, processed: DataFram
     edges = rel.select("chunk_id", F.posexplode("a.relationships").alias("pos", "e")).select(place("pos").alias("ord"), "chunk_id", "e.*", F.array("chunk_id").alias("source_chunks"))
     terms = rel.select("chunk_id", F.posexplode("a.glossary").alias("pos", "g")).select(place("pos").alias("o"), "chunk_id", "g.*").where("term IS NOT NULL")
     none = F.expr("cast(array() as array<string>)")
-    terms = terms.select(F.row_number().over(resolution.Window.orderBy("o")).cast("long").alias("ord"), "term", F.coalesce("definition", F.lit("")).alias("definition"), F.coalesce("labels", none).alias("labels"),
+    terms = numbered_globally(terms, ["o"], "ord").select(F.col("ord").cast("long").alias("ord"), "term", F.coalesce("definition", F.lit("")).alias("definition"), F.coalesce("labels", none).alias("labels"),
                          F.array("chunk_id").alias("source_chunks"), F.coalesce("aliases", none).alias("aliases"), F.coalesce("related_terms", none).alias("related_terms"))
     return Knowledge(units.select(*skills.columns).unionByName(skills), labels, graph.edge_upsert(graph.valid_edges(edges)), graph.glossary_fold(terms))
 

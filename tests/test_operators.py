@@ -176,6 +176,14 @@ def test_source_lookup(spark):
     assert got == {"1": "bee", "2": "one", "3": None, "4": None}
 
 
+def test_global_numbers(spark):
+    from tessera.operators.numbering import numbered_globally
+
+    rows = numbered_globally(spark.range(1000).select((F.col("id") * 7919 % 1000).alias("k")).repartition(7), ["k"], "no", 5).collect()
+    assert sorted((r.k, r.no) for r in rows) == [(i, i + 5) for i in range(1000)]
+    assert numbered_globally(spark.range(0), ["id"], "no").count() == 0
+
+
 def test_content_probe_and_numbers(spark):
     files = spark.createDataFrame([("s1", "content.json", "j"), ("s1", "content.md", "m"), ("s2", "SKILL.md", "k"), ("s3", "x.md", "n")], "sku_id string, name string, content string")
     units = spark.createDataFrame([("s1",), ("s2",), ("s3",)], "sku_id string")
