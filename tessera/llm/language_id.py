@@ -178,9 +178,9 @@ def language_columns(docs: DataFrame, text_col: str = "text", declared_col: str
     for i, name in enumerate(languages):
         says = lambda c, p: F.when(c.isin(*languages), F.log(F.when(c == name, F.lit(p)).otherwise(F.lit((1 - p) / max(k - 1, 1))))).otherwise(F.lit(0.0))  # noqa: E731, B023
         logs.append(F.col(ll)[i] + says(declared, trust) + says(points, 0.8) + F.log(F.coalesce(F.col(pcol)[i], F.lit(overall[i]))))
-    post = F.array(*_softmax(logs))
     pick = lambda arr: F.element_at(F.array(*[F.lit(x) for x in languages]), F.array_position(arr, F.array_max(arr)).cast("int"))
-    rows = rows.withColumn(ccol, post)
-    best = F.array_max(F.col(ccol))
+    rows = rows.withColumn(ccol, F.array(*logs))
+    # The largest posterior is 1 / sum(exp(log - largest log)).
+    best = 1 / F.aggregate(F.zip_with(F.col(ccol), F.array_repeat(F.array_max(ccol), k), lambda x, top: F.exp(x - top)), F.lit(0.0), lambda acc, x: acc + x)
     return rows.select(*docs.columns, F.when(has, pick(F.col(ccol))).alias("language"), F.when(has, pick(F.slice(F.col(ll), 1, k))).alias("text_language"),
                        F.when(has, best).otherwise(F.lit(0.0)).alias("posterior"), (has & (best >= least)).alias("accepted"))

@@ -69,7 +69,7 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     out = language_columns(docs, host=F.col("source"), keep_text=False)
-    return out.select("doc_id", F.col("lang").alias("declared"), "language", "text_language", "posterior", "accepted")
+    return out.select("doc_id", F.col("lang").alias("declared"), "language", "text_language", "posterior", F.col("accepted").alias("kept"))
 
 
 def op9_chat_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -241,7 +241,7 @@ def test_quality_edge_cases(spark):
 def test_language_query_agrees_with_declarations(spark):
     rows = QUERIES["op8_language_id"](spark, "/root/testdata/sf0.01").collect()
     assert len(rows) == 1000
-    assert sum(r.language == r.declared for r in rows) / 1000 > 0.95 and sum(r.accepted for r in rows) / 1000 > 0.99
+    assert sum(r.language == r.declared for r in rows) / 1000 > 0.95 and sum(r.kept for r in rows) / 1000 > 0.99
 
 
 def test_language_fuses_evidence(spark):
