@@ -4,8 +4,8 @@ The table is read as a stream. Per SHA-256 digest of the white-space-normalised
 without expiry: the stable identifier (smallest doc_id), a content locator (file and row of that document) and the
 number of rows. Each micro-batch hands on the entries that changed; a restarted stream goes on from its checkpoint.
 Every row then looks its digest up. On hits, i.e. digests with several rows, full bytes are compared: the smallest and
-the largest normalised text of a digest must be the same bytes. Both are aggregates with a map-side combine, so a third
-of all rows under one digest is one row per task. Where bytes differ, those digests are regrouped by their texts.
+the largest normalised text of a digest must be the same bytes. Both are aggregates over salted parts of a digest first,
+so a third of all rows under one digest is spread over tasks. Where bytes differ, those digests are regrouped by their texts.
 
 Defined results: null text counts as empty, and all empty or blank texts are handled like any other text (a blank
 text of one or more white space characters is one space and not equal to the empty one). Of rows with equal doc_id and
@@ -74,6 +74,7 @@ def _streamable(spark: SparkSession, path: str) -> str:
     return f"{path[:-1]}[{path[-1]}]" if status.isFile() else path
 
 
+_SALTS = 16
 _FIRST = ("doc_id IS NULL", "doc_id", "file", "row")
 
 
@@ -121,9 +122,12 @@ def exact_duplicates(spark: SparkSession, path: str, id_col: str = "doc_id", tex
         return empty.select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), F.lit("").alias("text_sha256"))
     state = run_state(spark, path, table.schema, folder, id_col, text_col, digest, max_files_per_trigger)
     rows = _rows(table, id_col, text_col, digest)
-    hits = state.where("n > 1").select("digest")
-    unlike = (rows.select("digest", "text").join(hits, "digest", "left_semi").groupBy("digest")
-              .agg(F.min("text").alias("lo"), F.max("text").alias("hi")).where("lo <> hi").select("digest"))
+    # Rows of a digest are dealt to up to _SALTS tasks by their place in the file; each hit is there once for every salt.
+    salt = F.pmod(F.xxhash64("file", "row"), F.lit(_SALTS)).alias("salt")
+    hits = state.where("n > 1").select("digest", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(_SALTS - 1).cast("long"))).alias("salt"))
+    part = (rows.select("digest", salt, "text").join(hits, ["digest", "salt"], "left_semi").groupBy("digest", "salt")
+            .agg(F.min("text").alias("lo"), F.max("text").alias("hi")))
+    unlike = part.groupBy("digest").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("lo <> hi").select("digest")
     if unlike.limit(1).count():
         unlike.write.mode("overwrite").parquet(f"{folder}/unlike")
         unlike = spark.read.parquet(f"{folder}/unlike")
