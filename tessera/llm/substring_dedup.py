@@ -100,7 +100,8 @@ def repeated_spans(docs: DataFrame, bits: int = 4, least: int = 28, most: int =
     twice = chunks.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     shared = written(chunks.join(twice, key, "left_semi"), "shared")
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row")
-    first = shared.groupBy(*key).agg(F.min(order).alias("first"))
+    # Written, so that the join below reads both sides from shuffles and a very common chunk's rows can be split.
+    first = written(shared.groupBy(*key).agg(F.min(order).alias("first")), "first")
     again = shared.join(first, key).where(F.col("row") != F.col("first.row")).select("row", "no", "start", "end", "words")
     runs = again.withColumn("run", F.col("no") - F.row_number().over(Window.partitionBy("row").orderBy("no")))
     spans = (runs.groupBy("row", "run").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.sum("words").alias("words"), F.count(F.lit(1)).alias("n"))
@@ -112,7 +113,7 @@ def repeated_spans(docs: DataFrame, bits: int = 4, least: int = 28, most: int =
     out = out.select("doc_id", F.col("n_chars").cast("long").alias("n_chars"), "n_chunks", F.coalesce("n", F.lit(0)).cast("long").alias("n_repeated"),
                       F.coalesce("spans", none).alias("spans"), F.coalesce("cut", F.lit(0)).cast("long").alias("n_removed"))
     out = written(out, "spans")
-    discard(every, shared)
+    discard(every, shared, first)
     return out
 
 
