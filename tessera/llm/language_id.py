@@ -79,7 +79,7 @@ def likelihood_column(tables: np.ndarray, effective: int):
     def likelihood(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         return ts.tidy(work)(batches)
 
-    return likelihood
+    return likelihood.asNondeterministic()  # else the planner repeats it below a filter on its result
 
 
 def _count_batches(batches, languages):

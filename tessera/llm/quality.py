@@ -203,7 +203,7 @@ def score_column(spark, model: Model):
     def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         return ts.tidy(work)(batches)
 
-    return score
+    return score.asNondeterministic()  # else the planner may repeat it for each use of the score
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, max_fit_rows: int = 6000) -> DataFrame:
