@@ -143,7 +143,9 @@ def _open_pairs(member: DataFrame, classes: DataFrame, sets: DataFrame, label: D
     """
     tagged = member.join(label, F.col("rep") == F.col("node"), "left").select("mark", "band", "rep", "size", F.coalesce("component", "rep").alias("component"))
     mixed = tagged.groupBy("mark").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("n")).where("lo < hi AND n > 2").select("mark")
+    mixed = written(mixed, "mixed")
     open_ = written(tagged.join(mixed, "mark", "left_semi"), "open")
+    discard(mixed)
     ids = open_.select("rep").distinct()
     each = sets.join(ids, sets["id"] == ids["rep"], "left_semi").select("id", F.explode("shingles").alias("x"))
     common = each.groupBy("x").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("x")
@@ -182,7 +184,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85, width: int = 5, bands: i
     member = written(rows_.join(shared, "mark", "left_semi"), "members")
     # A leader per bucket, drawn by one of four orders, so that a large group is not tied to one leader.
     draw = F.xxhash64("rep", F.col("band") % 4)
-    leads = member.groupBy("mark").agg(F.min_by("rep", draw).alias("lead"), F.min_by("size", draw).alias("lead_size"))
+    # Written, so that the join reads both sides from shuffles and the rows of a very large bucket can be split.
+    leads = written(member.groupBy("mark").agg(F.min_by("rep", draw).alias("lead"), F.min_by("size", draw).alias("lead_size")), "leads")
     # |A| / |B| bounds the similarity: sizes too far apart need no comparison.
     fits = lambda x, y: F.lit(100) * F.least(x, y) >= F.lit(percent) * F.greatest(x, y)
     first = (member.join(leads, "mark").where((F.col("rep") != F.col("lead")) & fits(F.col("size"), F.col("lead_size")))
@@ -194,7 +197,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, width: int = 5, bands: i
     links = written(_verified(first, sets, percent), "links")
     rest = written(_open_pairs(member, classes, sets, components(links), fits, percent).join(first, ["a", "b"], "left_anti"), "rest")
     more = written(_verified(rest, sets, percent), "links")
-    discard(member, first, rest, sets)
+    discard(member, leads, first, rest, sets)
     label = components(links.union(more))
     named = classes.join(label, F.col("rep") == F.col("node"), "left").select("set_a", "set_b", F.coalesce("component", "rep").alias("component_id"))
     alone = F.col("n_shingles") == 0
