@@ -15,9 +15,11 @@ columns of these names.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import ordered, running_sum, with_position, written
@@ -53,12 +55,15 @@ def hilbert_index(coords: np.ndarray, bits: int) -> np.ndarray:
     return out
 
 
-def curve_column(cells: list[Column], bits: int) -> Column:
-    @F.pandas_udf("long")
-    def index(frame: pd.DataFrame) -> pd.Series:
-        return pd.Series(hilbert_index(frame.to_numpy().T, bits))
+def curve_table(cells: DataFrame, dimensions: int, bits: int) -> DataFrame:
+    """(_cell, curve) of distinct packed cells; 2**(dimensions * bits) rows at most, a few tasks."""
+    def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            packed = batch.column(0).to_numpy()
+            coords = np.stack([(packed >> (bits * (dimensions - 1 - i))) & ((1 << bits) - 1) for i in range(dimensions)])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(hilbert_index(coords, bits))], ["_cell", "curve"])
 
-    return index(F.struct(*[c.cast("long").alias(f"c{i}") for i, c in enumerate(cells)]))
+    return written(cells.distinct().coalesce(4).mapInArrow(index, "_cell long, curve long"), "curve")
 
 
 def value_cells(df: DataFrame, name: str, bits: int) -> DataFrame:
@@ -82,7 +87,13 @@ def hilbert_shards(docs: DataFrame, shards: int = 8, categories: tuple[str, ...]
         cells.append(F.col(f"_c{i}"))
     log = F.floor(F.log2(F.greatest(F.col(size), F.lit(1))) * F.lit((1 << bits) / 40.0))
     cells.append(F.least(F.greatest(log, F.lit(0)), F.lit((1 << bits) - 1)))
-    placed = docs.withColumn("curve", curve_column(cells, bits)).drop(*[f"_c{i}" for i in range(len(categories))])
+    packed = F.lit(0).cast("long")
+    for c in cells:
+        packed = F.shiftleft(packed, bits).bitwiseOR(c.cast("long"))
+    docs = docs.withColumn("_cell", packed).drop(*[f"_c{i}" for i in range(len(categories))])
+    # As many rows as cells are in use, at most 2**(dimensions * bits): of fixed size however many rows there are.
+    curve = curve_table(docs.select("_cell"), len(cells), bits)
+    placed = docs.join(F.broadcast(curve) if len(cells) * bits <= 20 else curve, "_cell").drop("_cell")
     srt = ordered(placed, ["curve", size, *ties])
     rows = with_position(srt, "_pos")
     total = srt.count()
