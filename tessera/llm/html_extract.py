@@ -6,7 +6,7 @@
    has becomes an optional group, and a block that one repeats and the other has once becomes a repeated group. The
    result is the host's wrapper, a regular expression without unions. A host's streams are dealt to salted groups
    first, whose wrappers are then aligned, so no task gets all pages of a host.
-3. Slots of the wrapper are judged by where they stand and by sums over all pages of the host: slots in menus, headers,
+3. All slots seen are judged by where they stand and by sums over all pages of the host: slots in menus, headers,
    footers, sidebars, notices, adverts, forms and comment sections are dropped; in hosts with an article or main
    element its slots are kept; elsewhere the slots of the container with the most unlinked, varying text.
 4. Each page's text is read through its host's slots. A page whose template has none of them (a rare template beside
@@ -135,8 +135,19 @@ def blocks(page: str) -> Iterator[tuple[str, str, int, list[str]]]:
 
 # A wrapper is a tuple of nodes: a token (str), ("+", nodes) for a repeated group, ("?", nodes) for an optional one.
 
+def _whole(nodes: list) -> bool:
+    """Whether every element of ``nodes`` is opened and closed in them."""
+    depth = 0
+    for n in nodes:
+        if isinstance(n, str) and n != "#":
+            depth += -1 if n.startswith("/") else 1
+            if depth < 0:
+                return False
+    return not depth
+
+
 def fold(nodes: tuple, longest: int = 48) -> tuple:
-    """Consecutive repetitions become repeated groups, short ones first, until nothing changes."""
+    """Consecutive repetitions of whole elements become repeated groups, short ones first, until nothing changes."""
     nodes = list(nodes)
     for width in range(1, longest + 1):
         if 2 * width > len(nodes):
@@ -147,6 +158,8 @@ def fold(nodes: tuple, longest: int = 48) -> tuple:
             j = i + width
             while len(unit) == width and nodes[j:j + width] == unit:
                 j += width
+            if j > i + width and not _whole(unit):
+                j = i + width
             if j > i + width and not (width == 1 and isinstance(unit[0], tuple)):
                 out.append(("+", tuple(unit)))
                 i = j
@@ -184,51 +197,79 @@ def _groups(nodes: tuple) -> set:
     return {n for n in nodes if isinstance(n, tuple) and n[0] == "+"}
 
 
-def align(a: tuple, b: tuple) -> tuple:
-    """The wrapper of two wrappers: common nodes stay, the rest becomes optional."""
-    groups = _groups(a) | _groups(b)
-    a, b = _with_groups(a, groups), _with_groups(b, groups)
+def _items(nodes: tuple) -> list[tuple[tuple, bool]]:
+    """(nodes, optional) of each item side by side: a whole element (open tag, content, close tag), a text slot or a
+    repeated group. The items of an optional group are optional each."""
+    out, i = [], 0
+    while i < len(nodes):
+        n, j, depth = nodes[i], i + 1, 1
+        if isinstance(n, tuple) and n[0] == "?":
+            out += [(x, True) for x, _ in _items(n[1])]
+        else:
+            if isinstance(n, str) and n != "#" and not n.startswith("/"):
+                while j < len(nodes) and depth:
+                    if isinstance(nodes[j], str) and nodes[j] != "#":
+                        depth += -1 if nodes[j].startswith("/") else 1
+                    j += 1
+            out.append((tuple(nodes[i:j]), False))
+        i = j
+    return out
+
+
+def _same(x: tuple, y: tuple) -> int:
+    """2 for equal items, 1 for elements with the same open tag, else 0."""
+    return 2 if x == y else int(len(x) > 1 and len(y) > 1 and x[0] == y[0] and x[-1] == y[-1])
+
+
+#: Elements this deep are not aligned inside: unequal ones stay whole, side by side.
+_DEEPEST = 200
+
+
+def _merged(a: tuple, b: tuple, depth: int = 0) -> tuple:
     if a == b:
         return a
-    bare = lambda n: n[1] if isinstance(n, tuple) and n[0] == "?" else (n,)
-    x, y = [bare(n) for n in a], [bare(n) for n in b]
+    x, y = _items(a), _items(b)
+    like = [[_same(p, q) if depth < _DEEPEST or p == q else 0 for q, _ in y] for p, _ in x]
     rows = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
     for i in range(len(x) - 1, -1, -1):
         for j in range(len(y) - 1, -1, -1):
-            rows[i][j] = rows[i + 1][j + 1] + 1 if x[i] == y[j] else max(rows[i + 1][j], rows[i][j + 1])
+            rows[i][j] = max(rows[i + 1][j], rows[i][j + 1], rows[i + 1][j + 1] + like[i][j])
     out: list = []
     i = j = 0
     gap: list = []
-    optional = lambda n: isinstance(n, tuple) and n[0] == "?"
 
-    def put_gap() -> None:
+    def put(nodes: tuple, optional: bool) -> None:
+        if optional:
+            gap.extend(nodes)
+            return
         if gap:
             out.append(("?", tuple(gap)))
             gap.clear()
+        out.extend(nodes)
 
     while i < len(x) or j < len(y):
-        if i < len(x) and j < len(y) and x[i] == y[j]:
-            put_gap()
-            out.append(("?", x[i]) if optional(a[i]) or optional(b[j]) else a[i])
+        if i < len(x) and j < len(y) and like[i][j] and rows[i][j] == rows[i + 1][j + 1] + like[i][j]:
+            p, q = x[i][0], y[j][0]
+            put(p if p == q else (p[0], *_merged(p[1:-1], q[1:-1], depth + 1), p[-1]), x[i][1] or y[j][1])
             i, j = i + 1, j + 1
         elif j >= len(y) or (i < len(x) and rows[i + 1][j] >= rows[i][j + 1]):
-            if optional(a[i]):
-                put_gap()
-            gap.extend(x[i])
-            if optional(a[i]):
-                put_gap()
+            put(x[i][0], True)
             i += 1
         else:
-            if optional(b[j]):
-                put_gap()
-            gap.extend(y[j])
-            if optional(b[j]):
-                put_gap()
+            put(y[j][0], True)
             j += 1
-    put_gap()
+    put((), False)
     return tuple(out)
 
 
+def align(a: tuple, b: tuple) -> tuple:
+    """The wrapper of two wrappers: common items stay, elements with the same open tag are aligned inside, and the whole
+    elements that only one has become optional (those of one optional group each for itself). No group crosses an
+    element, so the wrapper has the path of every slot of both."""
+    groups = _groups(a) | _groups(b)
+    return _merged(_with_groups(a, groups), _with_groups(b, groups))
+
+
 def pattern(nodes: tuple) -> str:
     """The wrapper written as a regular expression over tokens."""
     return " ".join(n if isinstance(n, str) else f"( {pattern(n[1])} ){n[0]}" for n in nodes)
@@ -390,15 +431,10 @@ def wrappers(pages: DataFrame, salts: int = 16) -> DataFrame:
         F.collect_list(F.struct("path", "pages", "chars", "linked", (F.col("lo") == F.col("hi")).alias("constant"))).alias("slots"))
 
     @F.pandas_udf("array<string>")
-    def judged(wrapper: pd.Series, slots: pd.Series) -> pd.Series:
-        out = []
-        for w, s in zip(wrapper, slots, strict=True):
-            in_wrapper = set(slot_paths(parsed(w)))
-            rows = [dict(x) for x in s] if s is not None else []
-            out.append(kept_slots(sorted((x for x in rows if x["path"] in in_wrapper), key=lambda x: x["path"])))
-        return pd.Series(out)
-
-    made = written(whole.join(slots, "host", "left").select("host", "n_pages", "wrapper", judged("wrapper", "slots").alias("paths")), "wrappers")
+    def judged(slots: pd.Series) -> pd.Series:
+        return pd.Series([kept_slots(sorted((dict(x) for x in s), key=lambda x: x["path"])) if s is not None else [] for s in slots])
+
+    made = written(whole.join(slots, "host", "left").select("host", "n_pages", "wrapper", judged("slots").alias("paths")), "wrappers")
     discard(seen)
     return made
 

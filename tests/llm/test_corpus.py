@@ -302,6 +302,36 @@ def test_wrapper_inference():
     assert html_extract.pattern(html_extract.align(parse("a # /a"), parse("b # /b"))) in ("( a # /a b # /b )?", "( b # /b a # /a )?", "( a )? # ( /a )?", "( a b )? # ( /a /b )?")
 
 
+def test_alignment_keeps_whole_elements():
+    rng = random.Random(4)
+    made = lambda d: "".join(f"<{t} class={rng.choice('xyz')}>{'t' if d > 2 or rng.random() < .4 else made(d + 1)}</{t}>" for t in rng.choices(["div", "p", "h2", "ul"], k=rng.randint(1, 4)))
+    pages = ["<main><h1>A</h1><p class=x>B</p></main>", "<main><h1>A</h1><p class=y>B</p></main>", "<div><div>A</div></div>", "<div>" * 3000 + "A"] + [made(0) for _ in range(150)]
+    whole, seen = None, set()
+    for p in pages:
+        found = list(html_extract.blocks(p))
+        seen |= {path for path, text, _, _ in found if text}
+        one = html_extract.fold(tuple(t for *_, tokens in found for t in tokens))
+        assert set(html_extract.slot_paths(one)) == {path for path, text, _, _ in found if text}
+        whole = one if whole is None else html_extract.align(whole, one)
+        assert set(html_extract.slot_paths(html_extract.parsed(html_extract.pattern(whole)))) == seen
+    parse = lambda s: tuple(s.split())
+    assert html_extract.pattern(html_extract.align(parse("main h1 # /h1 p.x # /p /main"), parse("main h1 # /h1 p.y # /p /main"))) == "main h1 # /h1 ( p.x # /p p.y # /p )? /main"
+
+
+def test_extraction_of_differing_blocks(spark):
+    """Two pages a host whose blocks differ in tag, class or id keep all their blocks."""
+    rng = random.Random(6)
+    blocks = ["p", "p class=lead", "p class=intro", "h2 id=overview", "h2 id=history", "blockquote", "div class=box", "div"]
+    made, want = [], {}
+    for i in range(120):
+        parts = [(rng.choice(blocks), f"Block {i} {k}") for k in range(rng.randint(1, 5))]
+        body = "".join(f"<{b}>{t}</{b.split()[0]}>" for b, t in parts)
+        made.append((i, f"http://h{i // 2}.org/", page(f"<nav>Menu</nav><main><h1>Title {i}</h1>{body}</main><footer>Foot</footer>")))
+        want[i] = "\n\n".join([f"Title {i}", *[t for _, t in parts]])
+    out = {r.page_id: r.text for r in html_extract.main_texts(spark.createDataFrame(made, "page_id long, url string, html string")).collect()}
+    assert out == want
+
+
 def test_extraction_with_article(spark):
     made = []
     for i in range(6):
