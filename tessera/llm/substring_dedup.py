@@ -1,15 +1,19 @@
 """Substring deduplication by content-defined chunking.
 
 A gear hash rolls over the bytes: h = 2h + G[byte] modulo 2^32, so it depends on the last 32 bytes only. A chunk ends
-where the top bits of the hash are zero, but not before ``least`` bytes, and at ``most`` bytes at the latest; cuts fall
-between characters. As cuts depend on content, an insertion moves only the chunks around it. Chunks are deduplicated by
-a 128-bit digest: the occurrence with the smallest (doc_id, start) stays, every later one is a repeat. Runs of
-consecutive repeats are one span. A span counts when it has at least ``least_words`` words. Repeats of a document's own
-chunks are no repeats across documents and stay. A passage of 51 words holds at least one run of that length but for
-rare cut patterns: up to one chunk at either edge of a passage also covers bytes beside it.
+where the hash is the smallest of the ``reach`` bytes on either side (the first of equals). Where there is no such place for
+3 * ``reach`` bytes it ends at the last of equals within them (so that chunks of a word said over and over are whole rounds
+of it), and without any after ``most`` bytes. Cuts fall between characters. Whether a byte is such a place depends on 32 + 2 * ``reach`` bytes
+around it and on no earlier cut, so in two copies of a passage the chunks fall into step at the first of them, and an
+insertion moves only the chunks around it. Chunks are deduplicated by a 128-bit digest: the occurrence with the smallest
+(doc_id, start) stays, every later one is a repeat. Runs of consecutive repeats are one span. A span counts when it has at
+least ``least_words`` words. Repeats of a document's own chunks are no repeats across documents and stay.
+
+A span ends at cuts: at either edge of a passage the chunk that also covers bytes beside it, or whose end depends on them,
+is not in the span. The README has the measured share of short passages that are found.
 
 Defined results: null and empty texts have no chunk; a repeated row's chunks repeat those of the first; a text shorter
-than the least chunk is one chunk (a whole copy of it is a repeat); null doc_ids are kept and come last in the order.
+than a chunk is one chunk; a whole copy of a document of fewer than ``least_words`` words is no span; null doc_ids are kept and come last in the order.
 """
 
 from __future__ import annotations
@@ -40,12 +44,40 @@ def gear_hashes(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def chunk_ends(data: np.ndarray, offsets: np.ndarray, bits: int, least: int, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """End (exclusive) of every chunk, and its document."""
-    h = gear_hashes(data, offsets)
-    after = np.ones(len(data), bool)  # no cut before a continuation byte
+    """End (exclusive) of every chunk, and its document; cuts where the top ``bits`` of the hash are zero."""
+    after = _between_characters(data)
+    cuts = np.flatnonzero(((gear_hashes(data, offsets) >> np.uint32(32 - bits)) == 0) & after) + 1
+    return _ends(cuts, np.flatnonzero(after), offsets, least, most)
+
+
+def local_ends(data: np.ndarray, offsets: np.ndarray, reach: int, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """End (exclusive) of every chunk, and its document; cuts where the hash is the smallest within ``reach`` bytes."""
+    after = _between_characters(data)
+    # Each document's hashes, then ``reach`` largest values, so that no document sees the next one's.
+    top = np.uint32(0xFFFFFFFF)
+    at = np.arange(len(data)) + reach * (1 + np.repeat(np.arange(len(offsets) - 1), np.diff(offsets)))
+    h = np.full(len(data) + reach * len(offsets), top)
+    h[at] = np.where(after, gear_hashes(data, offsets), top)
+    low, width = h, 1  # low[i]: smallest of h[i:i + width]
+    while width < reach:
+        step = min(width, reach - width)
+        low = np.concatenate([np.minimum(low[:-step], low[step:]), low[-step:]])
+        width += step
+    here = h[at]
+    before = low[at - reach]
+    equals = (here <= before) & (here <= low[np.minimum(at + 1, len(h) - 1)]) & (here < top)
+    return _ends(np.flatnonzero(equals & (here < before)) + 1, np.flatnonzero(after), offsets, 1, most, np.flatnonzero(equals) + 1, 3 * reach)
+
+
+def _between_characters(data: np.ndarray) -> np.ndarray:
+    """Whether a cut may follow each byte: none before a continuation byte."""
+    after = np.ones(len(data), bool)
     after[:-1] = (data[1:] & 0xC0) != 0x80
-    free = np.flatnonzero(after)
-    cuts = np.flatnonzero(((h >> np.uint32(32 - bits)) == 0) & after) + 1
+    return after
+
+
+def _ends(cuts: np.ndarray, free: np.ndarray, offsets: np.ndarray, least: int, most: int, spare: np.ndarray | None = None, some: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """The cuts taken; a chunk that would exceed ``some`` bytes ends at its last spare cut within them, if there is one."""
     ends, docs = [], []
     bound = np.searchsorted(cuts, offsets)
     cuts_list = cuts.tolist()
@@ -56,6 +88,8 @@ def chunk_ends(data: np.ndarray, offsets: np.ndarray, bits: int, least: int, mos
             while k < last and cuts_list[k] < at + least:
                 k += 1
             nxt = cuts_list[k] if k < last else stop
+            if spare is not None and nxt - at > some and (j := np.searchsorted(spare, at + some, "right")) and spare[j - 1] > at:
+                nxt = int(spare[j - 1])
             if nxt - at > most:
                 nxt = int(free[np.searchsorted(free, at + most - 1, "right") - 1]) + 1
             at = min(nxt, stop)
@@ -64,12 +98,12 @@ def chunk_ends(data: np.ndarray, offsets: np.ndarray, bits: int, least: int, mos
     return np.array(ends, np.int64), np.array(docs, np.int64)
 
 
-def chunk_batches(batches: Iterator[pa.RecordBatch], bits: int, least: int, most: int) -> Iterator[pa.RecordBatch]:
+def chunk_batches(batches: Iterator[pa.RecordBatch], reach: int, most: int) -> Iterator[pa.RecordBatch]:
     """One row per chunk, positions in characters; and per document a row with no = -1 and end = its characters."""
     for batch in batches:
         ids, row_keys = batch.column(0), batch.column(2)
         for lo, hi, data, offsets in ts.slices(batch.column(1)):
-            e, doc = chunk_ends(data, offsets, bits, least, most)
+            e, doc = local_ends(data, offsets, reach, most)
             s = np.concatenate([[0], e[:-1]]).astype(np.int64)[:len(e)]
             no = np.arange(len(doc)) - np.searchsorted(doc, doc, "left")
             a = ts.span_hash(data, s, e)
@@ -87,14 +121,14 @@ def chunk_batches(batches: Iterator[pa.RecordBatch], bits: int, least: int, most
                                              ["doc_id", "row", "no", "digest_a", "digest_b", "start", "end", "words"])
 
 
-def repeated_spans(docs: DataFrame, bits: int = 4, least: int = 28, most: int = 128, least_words: int = 16,
+def repeated_spans(docs: DataFrame, reach: int = 21, most: int = 128, least_words: int = 16,
                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, n_chars, n_chunks, n_repeated (chunks in spans), spans (start, end, words),
     n_removed (characters in spans)."""
     small_batches(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.monotonically_increasing_id().alias("row"))
     schema = "doc_id long, row long, no int, digest_a long, digest_b long, start int, end int, words int"
-    every = written(texts.mapInArrow(ts.tidy(lambda it: chunk_batches(it, bits, least, most)), schema), "chunks")
+    every = written(texts.mapInArrow(ts.tidy(lambda it: chunk_batches(it, reach, most)), schema), "chunks")
     chunks = every.where("no >= 0")
     key = ["digest_a", "digest_b"]
     twice = chunks.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")

@@ -208,6 +208,47 @@ def test_chunks_match_model(texts):
         assert mine == [e for _, e in model_chunks(raw, 3, 8, 40)]
 
 
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.text("abcé€ \n", max_size=300), min_size=1, max_size=4))
+def test_local_chunks_match_model(texts):
+    raws = [t.encode() for t in texts]
+    offsets = np.concatenate([[0], np.cumsum([len(r) for r in raws])])
+    ends, docs = substring_dedup.local_ends(np.frombuffer(b"".join(raws), np.uint8), offsets, 7, 40)
+    for d, raw in enumerate(raws):
+        h = [sum(int(substring_dedup._GEAR[raw[i - j]]) << j for j in range(min(32, i + 1))) & 0xFFFFFFFF for i in range(len(raw))]
+        free = [i + 1 == len(raw) or raw[i + 1] & 0xC0 != 0x80 for i in range(len(raw))]
+        h = [x if f else 1 << 32 for x, f in zip(h, free)]
+        equals = [i + 1 for i in range(len(raw)) if free[i] and all(h[i] <= x for x in h[max(0, i - 7):i + 8])]
+        cuts = [c for c in equals if all(h[c - 1] < x for x in h[max(0, c - 8):c - 1])]
+        want, at = [], 0
+        while at < len(raw):
+            end = next((c for c in cuts if c > at), len(raw))
+            if end - at > 21:
+                end = max([c for c in equals if at < c <= at + 21] or [end])
+            if end - at > 40:
+                end = max(i + 1 for i in range(at, at + 40) if free[i])
+            want.append(end)
+            at = end
+        assert [int(e - offsets[d]) for e, k in zip(ends, docs) if k == d] == want
+
+
+def test_short_passages_in_two_documents_are_found(spark):
+    """Passages of 51 words, each in two documents between unlike words."""
+    rng = random.Random(8)
+    words = sorted({w for r in spark.read.parquet(f"{SMALL}/documents.parquet").select("text").collect() for w in (r.text or "").split()})
+    prose = lambda n: " ".join(rng.choices(words, k=n))
+    docs, places = [], {}
+    for k in range(1000):
+        passage = prose(51)
+        for i in (2 * k, 2 * k + 1):
+            before = prose(rng.randint(5, 40))
+            docs.append((i, f"{before} {passage} {prose(30)}"))
+            places[i] = (len(before), len(before) + len(passage) + 2)
+    out = {r.doc_id: r.spans for r in substring_dedup.repeated_spans(spark.createDataFrame(docs, "doc_id long, text string").repartition(4)).collect()}
+    found = sum(any(s.start >= places[i][0] and s.end <= places[i][1] for s in out[i]) for i in range(1, 2000, 2))
+    assert found == 1000 and not any(out[i] for i in range(0, 2000, 2))
+
+
 def test_repeated_passages_are_found_and_clean_texts_left(spark):
     rng = random.Random(5)
     prose = lambda n: " ".join("".join(rng.choices("abcdefghij", k=rng.randint(2, 9))) for _ in range(n))
