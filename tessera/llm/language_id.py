@@ -1,19 +1,22 @@
 """Language identification by Bayesian fusion of evidence.
 
-For each language the log posterior of a document adds up
+For each language, and for none of them (an unknown language), the log posterior of a document adds up
 * the text likelihood: a byte-trigram model (hashed, additively smoothed), tempered so that a long text counts as
-  ``effective`` trigrams, since neighbouring trigrams are not independent;
+  ``effective`` trigrams, since neighbouring trigrams are not independent. The unknown language gives every trigram the
+  same likelihood, halfway (in logs) between the fit sample's mean trigram and one that the fit sample never had;
 * the declared markup language: correct with probability ``trust``;
 * the address suffix: a country suffix points to its languages;
 * the host prior: shares of languages among the host's documents, smoothed towards those of its parent domain, which
   are smoothed towards all documents' shares. The shares are sums of text posteriors by grouped aggregation, over all rows.
 
 The trigram models are fitted on at most ``fit_rows`` rows per language that declare it (a documented bound; the rows
-with the smallest hashes). A document is accepted if its text has a letter and its posterior reaches ``least``.
+with the smallest hashes). A document is accepted if its text has a letter and its language's posterior reaches ``least``;
+where an unknown language is likelier it is rejected, and ``language`` is the nearest known one. What a declaration or
+suffix says of an unknown language is the same for all languages.
 
 Defined results: null or empty text, and text without any letter, has no text evidence and is rejected; an unknown or
-null declaration, suffix or host is no evidence; repeated rows count in the priors as often as they come; with an empty
-table nothing is fitted and the result is empty. Ties go to the language that comes first.
+null declaration, suffix or host is no evidence; repeated rows count in the priors as often as they come; a language without fit rows
+takes every trigram as one never seen; with an empty table nothing is fitted and the result is empty. Ties go to the language that comes first.
 """
 
 from __future__ import annotations
@@ -53,7 +56,7 @@ def trigram_slots(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np
 
 
 def likelihood_column(tables: np.ndarray, effective: int):
-    """arrow function: text -> array<double>: tempered log-likelihood per language, then 1 if there is a letter else 0."""
+    """arrow function: text -> array<double>: tempered log-likelihood per row of ``tables``, then 1 if there is a letter else 0."""
     rows = np.ascontiguousarray(tables.T.astype(np.float32))  # the languages' values of a slot lie together
     width = len(tables) + 1
 
@@ -95,7 +98,8 @@ def _count_batches(batches, languages):
 
 
 def fit_trigrams(docs: DataFrame, text_col: str, declared_col: str, key_col: str, languages: tuple[str, ...], fit_rows: int) -> np.ndarray:
-    """(languages, slots) log probabilities from at most ``fit_rows`` rows per declared language."""
+    """(languages + 1, slots) log probabilities from at most ``fit_rows`` rows per declared language; the last row is the
+    unknown language's."""
     keyed = docs.select(F.lower(F.col(declared_col)).alias("l"), F.xxhash64(F.col(key_col), F.lit(3)).alias("k"))
     bounds = [keyed.where(F.col("l") == name).select("k").distinct().orderBy("k").limit(fit_rows) for name in languages]
     keys = bounds[0].withColumn("l", F.lit(languages[0]))
@@ -108,7 +112,19 @@ def fit_trigrams(docs: DataFrame, text_col: str, declared_col: str, key_col: str
     for r in rows.coalesce(8).mapInArrow(ts.tidy(lambda it: _count_batches(it, languages)), "sums binary").toLocalIterator():  # fixed size per task
         sums += np.frombuffer(r.sums, np.int64).reshape(sums.shape)
     discard(keys, rows)
-    return np.log((sums + 0.5) / (sums.sum(1, keepdims=True) + 0.5 * sums.shape[1]))
+    return with_unknown(sums)
+
+
+def with_unknown(sums: np.ndarray) -> np.ndarray:
+    """Smoothed log probabilities from trigram counts, and those of the unknown language as a last row."""
+    tables = np.log((sums + 0.5) / (sums.sum(1, keepdims=True) + 0.5 * sums.shape[1]))
+    fitted = sums.sum(1) > 0
+    if not fitted.any():
+        return np.vstack([tables, tables[:1]])
+    never = np.log(0.5 / (sums.sum(1) + 0.5 * sums.shape[1]))
+    seen = (sums * tables).sum(1)[fitted] / sums.sum(1)[fitted]
+    tables[~fitted] = never[fitted].min()
+    return np.vstack([tables, np.full(sums.shape[1], ((seen + never[fitted]) / 2).mean())])
 
 
 def _softmax(logs: list[Column]) -> list[Column]:
@@ -161,10 +177,10 @@ def language_columns(docs: DataFrame, text_col: str = "text", declared_col: str
     if not keep_text:
         with_ll = written(with_ll.drop(text_col), "evidence")
         docs = docs.drop(text_col)
-    text_post = _softmax([F.col(ll)[i] for i in range(k)])
-    has = F.col(ll)[k] > 0
+    text_post = _softmax([F.col(ll)[i] for i in range(k + 1)])
+    has = F.col(ll)[k + 1] > 0
     evidence = with_ll.where(has).select(F.col(hcol).alias("host"), *[p.alias(f"s{i}") for i, p in enumerate(text_post)])
-    priors, overall = host_priors(written(evidence, "evidence") if keep_text else evidence, [f"s{i}" for i in range(k)], strength)
+    priors, overall = host_priors(written(evidence, "evidence") if keep_text else evidence, [f"s{i}" for i in range(k + 1)], strength)
     priors = priors.select(F.col("host").alias("_h_"), F.col("prior").alias(pcol))
     if priors.count() <= broadcast_hosts:  # rows of fixed size; beyond that a shuffled join
         priors = F.broadcast(priors)
@@ -175,12 +191,15 @@ def language_columns(docs: DataFrame, text_col: str = "text", declared_col: str
         for s, name in SUFFIXES.items():
             points = F.when(F.lower(suffix) == s, F.lit(name)).otherwise(points)
     logs = []
-    for i, name in enumerate(languages):
-        says = lambda c, p: F.when(c.isin(*languages), F.log(F.when(c == name, F.lit(p)).otherwise(F.lit((1 - p) / max(k - 1, 1))))).otherwise(F.lit(0.0))  # noqa: E731, B023
+    for i, name in enumerate([*languages, None]):
+        match = lambda c, p: F.when(c == name, F.lit(p)).otherwise(F.lit((1 - p) / max(k - 1, 1))) if name else F.lit(1 / k)  # noqa: E731, B023
+        says = lambda c, p: F.when(c.isin(*languages), F.log(match(c, p))).otherwise(F.lit(0.0))  # noqa: E731, B023
         logs.append(F.col(ll)[i] + says(declared, trust) + says(points, 0.8) + F.log(F.coalesce(F.col(pcol)[i], F.lit(overall[i]))))
     pick = lambda arr: F.element_at(F.array(*[F.lit(x) for x in languages]), F.array_position(arr, F.array_max(arr)).cast("int"))
     rows = rows.withColumn(ccol, F.array(*logs))
-    # The largest posterior is 1 / sum(exp(log - largest log)).
-    best = 1 / F.aggregate(F.zip_with(F.col(ccol), F.array_repeat(F.array_max(ccol), k), lambda x, top: F.exp(x - top)), F.lit(0.0), lambda acc, x: acc + x)
-    return rows.select(*docs.columns, F.when(has, pick(F.col(ccol))).alias("language"), F.when(has, pick(F.slice(F.col(ll), 1, k))).alias("text_language"),
+    # The best known language's posterior is exp(its log - largest log) / sum(exp(log - largest log)).
+    known = F.slice(F.col(ccol), 1, k)
+    total = F.aggregate(F.zip_with(F.col(ccol), F.array_repeat(F.array_max(ccol), k + 1), lambda x, top: F.exp(x - top)), F.lit(0.0), lambda acc, x: acc + x)
+    best = F.exp(F.array_max(known) - F.array_max(ccol)) / total
+    return rows.select(*docs.columns, F.when(has, pick(known)).alias("language"), F.when(has, pick(F.slice(F.col(ll), 1, k))).alias("text_language"),
                        F.when(has, best).otherwise(F.lit(0.0)).alias("posterior"), (has & (best >= least)).alias("accepted"))

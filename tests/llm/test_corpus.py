@@ -261,6 +261,27 @@ def test_language_fuses_evidence(spark):
     assert language_id.language_columns(df.limit(0)).count() == 0
 
 
+def test_language_rejects_unknown_languages(spark):
+    """Other languages and gibberish go, whatever they declare; clean documents of some words stay."""
+    import corpus_pipeline
+
+    unknown = ["我们今天去北京的图书馆看书，然后回家吃饭。天气很好，大家都很高兴。", "Сегодня мы пошли в библиотеку, чтобы почитать книги, а потом вернулись домой.", "Σήμερα πήγαμε στη βιβλιοθήκη για να διαβάσουμε",
+               "Dzisiaj poszliśmy do biblioteki, aby poczytać książki, a potem wróciliśmy do domu na obiad.", "Oggi siamo andati in biblioteca per leggere dei libri e poi siamo tornati a casa per pranzo.",
+               "Bugün kitap okumak için kütüphaneye gittik ve sonra eve döndük.", "xqzj kkwv zzpq", "kjq wpx zvb qqq xkcd vvzw jjxq pwqz mmkx"]
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    short = docs.withColumn("text", F.array_join(F.slice(F.split("text", " "), 1, 6), " ")).withColumn("doc_id", F.col("doc_id") + 100_000)
+    rows = [(-1 - i, t, lang, "src0", len(t)) for i, (t, lang) in enumerate((t, lang) for t in unknown for lang in ("en", "es", "zh", None))]
+    every = docs.unionByName(short).unionByName(spark.createDataFrame(rows, docs.schema))
+    got = {r.doc_id: r for r in language_id.language_columns(every, host=F.col("source")).collect()}
+    assert [r[1] for r in rows if got[r[0]].accepted] == []
+    clean = [r for i, r in got.items() if i >= 0 and re.search("[A-Za-z]", r.text or "")]
+    assert sum(r.accepted for r in clean) >= 0.995 * len(clean) and len(clean) > 1900
+    kept = {r.doc_id for r in corpus_pipeline.identify_language(spark, every, SMALL).collect()}
+    assert kept == {i for i, r in got.items() if r.accepted}
+    tables = language_id.with_unknown(np.array([[4.0, 0, 0, 0], [0, 0, 0, 0]]))
+    assert tables[0, 0] > tables[2, 0] > tables[0, 1] == tables[1, 0]  # a language without fit rows beats nothing
+
+
 def test_language_of_pages(spark):
     pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").withColumn("lang", F.regexp_extract("html", '<html lang="([a-z]+)"', 1))
     host = html_extract.host_of(F.col("url"))
