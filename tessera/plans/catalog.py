@@ -209,9 +209,14 @@ def edit_similarity(spark, sf_dir):
 
 @query("SELECT doc_id, length(lang || ' before ' || source) + length(text) AS cut FROM documents")
 def cut_position(spark, sf_dir):
-    """The cut after a marker put behind each whole text, the marker's source misspelled by nothing and followed by a blank."""
-    d = table(spark, sf_dir, "documents").select("doc_id", "text", F.concat("lang", F.lit(" before "), "source").alias("m"))
-    return d.select("doc_id", (edit_distance.cut_position_of(F.col("m"), F.lit("zz"), F.concat("m", F.lit(" \n"))) + F.length("text")).cast("long").alias("cut"))
+    """The cut after a marker put behind each whole text, searched in all of it. A quarter of the markers looked for are
+    misspelled, and a third of the texts go on with the text that is to follow; the others end with a blank and newline."""
+    d = table(spark, sf_dir, "documents").select("doc_id", "text", "source", F.concat("lang", F.lit(" before "), "source").alias("m"))
+    follows = F.col("doc_id") % 3 == 0
+    before = F.when(F.col("doc_id") % 4 == 1, F.replace("m", F.lit(" before "), F.lit(" befoze "))).otherwise(F.col("m"))
+    after = F.when(follows, F.concat(F.lit("after "), "source")).otherwise("zz")
+    whole = F.concat("text", "m", F.when(follows, after).otherwise(" \n"))
+    return d.select("doc_id", edit_distance.cut_position_of(before, after, whole).cast("long").alias("cut"))
 
 
 @query("""SELECT doc_id, CASE WHEN doc_id % 6 < 4 THEN doc_id END AS id, CASE WHEN doc_id % 6 < 4 THEN source END AS source, CASE WHEN doc_id % 6 <> 4 THEN source END AS by_field FROM documents""")
