@@ -29,7 +29,8 @@ def word_count(text: Column) -> Column:
 
 def source_targets(sources: DataFrame, budget: int, repeats: int, max_rounds: int = 1000) -> DataFrame:
     """``sources`` (source, source_size, weight) with target: shares of the budget by weight, none above ``repeats``
-    times its size, the excess reshared until none is above. Each round is one aggregate of two numbers."""
+    times its size, the excess reshared until none is above. Each round is one aggregate of two numbers. ``max_rounds`` only guards
+    against an endless loop: it raises, nothing is cut."""
     cap = F.col("source_size") * repeats
     level = 0.0
     total_weight = sources.agg(F.sum("weight")).first()[0] or 1
@@ -43,6 +44,9 @@ def source_targets(sources: DataFrame, budget: int, repeats: int, max_rounds: in
         if not r.w:
             break
         nxt = (budget - (r.c or 0)) / r.w
+    else:
+        if nxt > level:
+            raise RuntimeError(f"source_targets did not settle in {max_rounds} rounds")
     return sources.withColumn("target", F.least(cap.cast("double"), F.lit(level) * F.col("weight")))
 
 

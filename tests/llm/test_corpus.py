@@ -204,6 +204,15 @@ def test_mixing_edge_cases(spark):
 # --- quality
 
 
+def test_mixing_targets_never_stop_early(spark):
+    sources = spark.createDataFrame([(str(i), 10 * 3 ** i, 1.0) for i in range(8)], "source string, source_size long, weight double")
+    got = mixing.source_targets(sources, 20_000, 1)
+    assert sum(r.target for r in got.collect()) == pytest.approx(20_000)
+    with pytest.raises(RuntimeError, match="settle"):
+        mixing.source_targets(sources, 20_000, 1, max_rounds=1)
+    assert mixing.source_targets(sources.limit(1), 5, 1, max_rounds=2).first().target == 5
+
+
 def test_quality_is_accurate_on_held_out_rows(spark):
     folder = "/root/testdata/sf0.01"
     rows = QUERIES["op7_quality_classifier"](spark, folder).collect()
