@@ -1,20 +1,31 @@
 """Main text of web pages by wrappers inferred per host (union-free regular expressions).
 
-1. Each page becomes a stream of block tags (with class and id) and text slots; inline tags belong to the text.
-2. Consecutive repetitions in a stream are folded into repeated groups, so pages of one template get one or a few
-   distinct streams. Distinct streams of a host are aligned one after the other: where two differ, what only one of them
-   has becomes an optional group, and a block that one repeats and the other has once becomes a repeated group. The
-   result is the host's wrapper, a regular expression without unions. A host's streams are dealt to salted groups
-   first, whose wrappers are then aligned, so no task gets all pages of a host.
-3. All slots seen are judged by where they stand and by sums over all pages of the host: slots in menus, headers,
-   footers, sidebars, notices, adverts, forms and comment sections are dropped; in hosts with an article or main
-   element its slots are kept; elsewhere the slots of the container with the most unlinked, varying text.
-4. Each page's text is read through its host's slots. A page whose template has none of them (a rare template beside
-   others) is judged by its own slots.
-
-Defined results: null or empty html gives the empty text; a null or malformed url is the host ""; pages of one host
-that repeat are counted as often as they come; a broken page is read as far as its tags can be matched. Text outside any
-tag counts as a block.
+1. A page becomes a tree of block elements (tag with class and id) and text slots; inline tags belong to the text. Neighbours of
+   one label are one repeated group, and so is a sequence of labels that follows itself (a heading and its paragraphs, say).
+   A page's tree written with its slots numbered is its skeleton; pages of one template share one or a few.
+2. Per skeleton and slot, sums over its pages say how much text there is, how much of it is linked and, by the smallest and
+   the largest text hash, whether the text is the same on all pages.
+3. A host's skeletons are aligned one after the other into its wrapper: what two have at the same place is merged, what only one has
+   becomes optional, what one repeats is repeated, and where texts meet that differ there is a text slot, where they
+   are equal a constant. Skeletons are dealt to groups of a bounded number, and the groups' wrappers to groups again, until there is
+   one wrapper per host: no task gets all pages or all skeletons of a host.
+4. A page is read through its host's wrapper: each of its slots is matched to one of the wrapper's, which tells constants
+   (template text) from data, menus (mostly linked text) from prose, and how much text a container holds over the host's pages.
+   The article or main element is the main text; without one it is the container with the most unlinked data.
+
+What decides: elements that the standard defines as no part of the text (nav, header, footer, aside, form, hidden ones, articles
+in an article, which are comments); constants on three or more pages, headings of the article apart; linked text outside
+an article. Class and id names are no more than a second witness: an element in the main text that is named like an advert
+or a comment section goes only if the wrapper has it short, mostly linked or made of a repeated group.
+
+Children of one element that are more than 48 after grouping are a repeated group of optional labels (of optional tags if
+there are more than 48 labels), and elements nested deeper than 200 belong to the 200th: so alignment needs bounded memory whatever a page looks
+like, and no text is lost by either.
+
+Defined results: null or empty html gives the empty text; a null or malformed url is the host ""; a page whose text is the same as
+all others' of its skeleton, or over 80 % of it, is counted once where constants are counted, so that copies make no template; where
+constants are over 80 % of the main text, they are text; a broken page is read as far as its tags can be matched.
+Text outside any tag counts as a block.
 """
 
 from __future__ import annotations
@@ -22,32 +33,56 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterator
+from functools import lru_cache
+from hashlib import blake2b
 
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import discard, small_batches, written
+from tessera.llm import textscan as ts
+from tessera.llm.common import discard, fresh, small_batches, written
 
 #: Element names.
-_RAW = "script|style|noscript|template|textarea|title|iframe|svg|math|object|select|button|canvas|audio|video"
+_RAW = "script|style|noscript|template|textarea|title|iframe|svg|object|select|button|canvas|audio|video|annotation|annotation-xml"
 _BLOCKS = set("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset "
               "h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul".split())
-_VOID = {"hr", "br"}
 _AUTO_CLOSED = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 _SCOPES = {"ul", "ol", "dl", "table", "menu", "body", "article", "section", "div"}
+_HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6", "hgroup"}
 _DROP_TAGS = {"nav", "header", "footer", "aside", "form", "menu", "dialog", "head", "search", "fieldset"}
 _DROP_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "menu", "menubar", "alertdialog"}
-_DROP_NAMES = re.compile(
-    r"(?:^|[-_\s])(?:ads?|adsby\w*|advert\w*|adbox|sponsor\w*|promo\w*|banner\w*|cookies?|consent|gdpr|notices?|alerts?|popups?|modal|overlay|newsletter|subscribe|"
-    r"signup|login|menus?|nav\w*|breadcrumbs?|sidebar\w*|aside|widget\w*|related|recommend\w*|share\w*|sharing|social\w*|comments?\w*|replies|reply|disqus|"
-    r"discussion|responses|header|masthead|footer|foot|copyright|disclaimer|pagination|pager|toolbar|tags|skip|hidden)(?:$|[-_\s])", re.I)
-_MAIN_NAMES = re.compile(r"(?:^|[-_\s])(?:article|content|main|post|entry|story|body)(?:$|[-_\s]|text|body|content)", re.I)
+#: Whole class or id names; witnesses only, see above.
+_NAMED = re.compile(r"(?:ads?|adsby\w*|advert\w*|sponsor\w*|cookies?|consent|newsletter|breadcrumbs?|sidebar|comments?|disqus\w*|related|recommended|share|sharing|social|menu|nav|navbar|"
+                    r"footer|pagination|reader-comments)(?:[-_](?:left|right|top|bottom|box|banner|notice|container|wrapper|wrap|list|section|area|posts|articles|links|buttons|widget|0+))*", re.I)
 _TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<({_RAW})\b(?:\"[^\"]*\"|'[^']*'|[^'\">])*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>|<[!?][^>]*>|<[a-zA-Z/][^<>]*\Z", re.S | re.I)
 _ATTR = re.compile(r"""\b(class|id|role|hidden|style|aria-hidden)\b\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+_HIDING = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _SPACE = re.compile(r"\s+")
 _DIGITS = re.compile(r"\d+")
+_RESERVED = re.compile(r"[\s/#,:()]")
+_WIDE = 48
+_DEEP = 200
+#: Distinct pages that must agree before a text counts as template.
+_ENOUGH = 3
+#: Pages with more than this share of their text in common are copies, not pages of one template.
+_ALIKE = 0.8
+
+
+class Node:
+    """An element (kids) or a text slot (kids is None) of a page or wrapper.
+
+    many: repeated. opt: optional. bag: 1 if the kids are a repeated group of optional labels, 2 of tags. n: pages with it. lo, hi: smallest
+    and largest hash of a block's text; first, last: of all a page's blocks in the slot. chars, linked: sums over pages. at: numbers of the page's blocks in a slot."""
+
+    __slots__ = ("label", "many", "opt", "bag", "kids", "n", "lo", "hi", "first", "last", "chars", "linked", "at")
+
+    def __init__(self, label: str, kids: list | None = None):
+        self.label, self.kids = label, kids
+        self.many = self.opt = False
+        self.bag, self.n, self.lo, self.hi, self.first, self.last, self.chars, self.linked = 0, 1, 0, 0, 0, 0, 0, 0
+        self.at: list[int] = []
 
 
 def _label(tag: str, attrs: str) -> str:
@@ -55,34 +90,54 @@ def _label(tag: str, attrs: str) -> str:
     if not attrs or attrs.isspace():
         return tag
     got = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTR.finditer(attrs)}
-    names = " ".join(got[k] for k in ("class", "id") if got.get(k))
-    hidden = "hidden" in got or got.get("aria-hidden", "").lower() == "true" or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", got.get("style", ""), re.I)
-    out = tag + ("." + ".".join(_DIGITS.sub("0", names).split()) if names else "") + (f"@{got['role'].lower()}" if got.get("role") else "")
-    return ("!" if hidden else "") + out.replace("/", "_").replace(" ", "_")
+    if not got:
+        return tag
+    names = _DIGITS.sub("0", " ".join(got[k] for k in ("class", "id") if got.get(k))).split()
+    hidden = "hidden" in got or got.get("aria-hidden", "").lower() == "true" or _HIDING.search(got.get("style", ""))
+    role = got.get("role", "").strip().lower()
+    return ("!" if hidden else "") + _RESERVED.sub("_", tag + "".join("." + x.replace("@", "_") for x in names) + (f"@{role}" if role else ""))
 
 
-def blocks(page: str) -> Iterator[tuple[str, str, int, list[str]]]:
-    """(path, text, linked characters, tokens since the last block) of each text block in page order, then a last
-    entry with the closing tokens. Text has its references decoded and white space made single."""
-    stack: list[str] = []
-    tokens: list[str] = []
+def _parts(label: str) -> tuple[str, list[str], str]:
+    rest, _, role = label.lstrip("!").partition("@")
+    tag, *names = rest.split(".")
+    return tag, names, role
+
+
+def read_page(page: str, folded: bool = True) -> tuple[Node, list[str], list[int]]:
+    """The page's tree (elements without text left out), and text and linked characters of each block in page order.
+    Text has its references decoded and white space made single."""
+    root = Node("")
+    root.kids = []
+    stack, tags = [root], [""]
+    buried: dict[str, int] = {}
+    texts: list[str] = []
+    links: list[int] = []
     parts: list[str] = []
-    linked, in_link, link_from = 0, False, 0
-    at = 0
+    linked, in_link, link_from, at = 0, False, 0, 0
 
-    def flush():
+    def flush() -> None:
         nonlocal linked, link_from
-        text = _SPACE.sub(" ", html.unescape("".join(parts))).strip()
         if in_link:
             linked += sum(map(len, parts[link_from:]))
-        out = ("/".join(stack), text, min(linked, len(text)), list(tokens)) if text else None
+        text = _SPACE.sub(" ", html.unescape("".join(parts))).strip()
+        if text:
+            leaf = Node("#")
+            leaf.at.append(len(texts))
+            stack[-1].kids.append(leaf)
+            texts.append(text)
+            links.append(min(linked, len(text)))
         parts.clear()
         linked, link_from = 0, 0
-        return out
 
     def close(upto: int) -> None:
         while len(stack) > upto:
-            tokens.append("/" + stack.pop().split(".")[0].lstrip("!").split("@")[0])
+            node = stack.pop()
+            tags.pop()
+            if node.kids:
+                if folded and len(node.kids) > 1:
+                    fold(node)
+                stack[-1].kids.append(node)
 
     for m in _TOKEN.finditer(page):
         if m.start() > at:
@@ -101,357 +156,534 @@ def blocks(page: str) -> Iterator[tuple[str, str, int, list[str]]]:
                     linked += sum(map(len, parts[link_from:]))
                 in_link, link_from = not m[2], len(parts)
             continue
-        if got := flush():
-            yield got
-            tokens = ["#"]
-        names = [s.lstrip("!").split(".")[0].split("@")[0] for s in stack]
+        if parts:
+            flush()
         if m[2]:
-            if tag in names:
-                close(len(names) - 1 - names[::-1].index(tag))
+            if buried.get(tag):
+                buried[tag] -= 1
+            elif tag in tags:
+                close(len(tags) - 1 - tags[::-1].index(tag))
             continue
-        if names and names[-1] == "p":
+        if tags[-1] == "p":
             close(len(stack) - 1)
-            names.pop()
-        for k in range(len(names) - 1, -1, -1):
-            if names[k] in _AUTO_CLOSED.get(tag, ()):
-                close(k)
-                break
-            if names[k] in _SCOPES:
-                break
-        label = _label(tag, m[4])
-        tokens.append(label)
-        if tag not in _VOID:
-            stack.append(label)
-        else:
-            tokens.append("/" + tag)
+        if tag in _AUTO_CLOSED:
+            for k in range(len(tags) - 1, 0, -1):
+                if tags[k] in _AUTO_CLOSED[tag]:
+                    close(k)
+                    break
+                if tags[k] in _SCOPES:
+                    break
+        if tag == "hr":
+            continue
+        if len(stack) > _DEEP:
+            buried[tag] = buried.get(tag, 0) + 1
+            continue
+        node = Node(_label(tag, m[4]))
+        node.kids = []
+        stack.append(node)
+        tags.append(tag)
     if at < len(page):
         parts.append(page[at:])
-    if got := flush():
-        yield got
-        tokens = ["#"]
-    close(0)
-    yield "", "", 0, tokens
-
-
-# A wrapper is a tuple of nodes: a token (str), ("+", nodes) for a repeated group, ("?", nodes) for an optional one.
-
-def _whole(nodes: list) -> bool:
-    """Whether every element of ``nodes`` is opened and closed in them."""
-    depth = 0
-    for n in nodes:
-        if isinstance(n, str) and n != "#":
-            depth += -1 if n.startswith("/") else 1
-            if depth < 0:
-                return False
-    return not depth
-
-
-def fold(nodes: tuple, longest: int = 48) -> tuple:
-    """Consecutive repetitions of whole elements become repeated groups, short ones first, until nothing changes."""
-    nodes = list(nodes)
-    for width in range(1, longest + 1):
-        if 2 * width > len(nodes):
-            break
-        out, i = [], 0
-        while i < len(nodes):
-            unit = nodes[i:i + width]
-            j = i + width
-            while len(unit) == width and nodes[j:j + width] == unit:
-                j += width
-            if j > i + width and not _whole(unit):
-                j = i + width
-            if j > i + width and not (width == 1 and isinstance(unit[0], tuple)):
-                out.append(("+", tuple(unit)))
-                i = j
-            elif j > i + width:
-                out.append(unit[0])
-                i = j
-            else:
-                out.append(nodes[i])
-                i += 1
-        nodes = out
-    return tuple(nodes)
-
-
-def _with_groups(nodes: tuple, groups: set) -> tuple:
-    """Where ``nodes`` have a block once that is a repeated group elsewhere, make it one too."""
-    for group in sorted(groups, key=lambda g: (-len(g[1]), repr(g))):
-        unit, out, i = list(group[1]), [], 0
-        nodes = list(nodes)
-        while i < len(nodes):
-            if nodes[i:i + len(unit)] == unit:
-                while nodes[i:i + len(unit)] == unit:
-                    i += len(unit)
-                if not (out and out[-1] == group):
-                    out.append(group)
-            elif nodes[i] == group and out and out[-1] == group:
+    if parts:
+        flush()
+    close(1)
+    if folded:
+        fold(root)
+    return root, texts, links
+
+
+def _merge(a: Node, b: Node, pages: bool) -> None:
+    """Merge ``b`` into ``a``: from other pages, or (not ``pages``) a neighbour of the same pages."""
+    a.many |= b.many
+    a.opt |= b.opt
+    a.n = a.n + b.n if pages else max(a.n, b.n)
+    if a.kids is None:
+        a.lo, a.hi = min(a.lo, b.lo), max(a.hi, b.hi)
+        a.first, a.last = min(a.first, b.first), max(a.last, b.last)
+        a.chars += b.chars
+        a.linked += b.linked
+        a.at += b.at
+        return
+    x, y = a.kids, b.kids
+    if a.bag or b.bag:
+        _into_bag(a, [*x, *y], max(a.bag, b.bag), pages)
+        return
+    if len(x) == len(y) and all(p.label == q.label for p, q in zip(x, y, strict=True)):
+        for p, q in zip(x, y, strict=True):
+            _merge(p, q, pages)
+        return
+    groups = {k.label: k for k in [*x, *y] if k.label[0] == "("}
+    if groups:
+        x, y = _with_groups(x, groups), _with_groups(y, groups)
+    out: list[Node] = []
+    for p, q in _aligned(x, y):
+        if p is not None and q is not None:
+            _merge(p, q, pages)
+        else:
+            p = p or q
+            p.opt = True
+        out.append(p)
+    a.kids = out
+    fold(a)
+
+
+def _joined(out: list[Node], k: Node) -> None:
+    """Add ``k`` to ``out``, as a repetition of the last item if that has its label."""
+    if not out or out[-1].label != k.label:
+        out.append(k)
+        return
+    opt = out[-1].opt and k.opt
+    _merge(out[-1], k, False)
+    out[-1].many, out[-1].opt = True, opt
+
+
+def _into_bag(node: Node, kids: list[Node], level: int, pages: bool) -> None:
+    have: dict[str, Node] = {}
+    todo = kids[::-1]
+    while todo:
+        k = todo.pop()
+        if k.label[0] == "(":
+            todo += k.kids[::-1]
+            continue
+        if level == 2 and k.kids is not None:
+            k.label = ("!" if k.label[0] == "!" else "") + _parts(k.label)[0]
+        if k.label in have:
+            _merge(have[k.label], k, pages)
+        else:
+            have[k.label] = k
+    node.kids, node.bag = list(have.values()), level
+    for k in node.kids:
+        k.opt = True
+    if level == 1 and len(have) > _WIDE:
+        _into_bag(node, node.kids, 2, pages)
+
+
+def fold(node: Node) -> None:
+    """Neighbours of one label become one repeated item, then sequences that follow themselves one repeated group."""
+    if node.bag:
+        return
+    out: list[Node] = []
+    for k in node.kids:
+        _joined(out, k)
+    width = 2
+    while 2 * width <= len(out) and width <= 6:
+        labels = [k.label for k in out]
+        i, made = 0, []
+        while i < len(out):
+            unit = labels[i:i + width]
+            if labels[i + width:i + 2 * width] != unit:
+                made.append(out[i])
                 i += 1
+                continue
+            group = Node("(" + ",".join(unit), out[i:i + width])
+            group.many, group.n = True, max(k.n for k in group.kids)
+            i += width
+            while labels[i:i + width] == unit:
+                for p, q in zip(group.kids, out[i:i + width], strict=True):
+                    _merge(p, q, False)
+                i += width
+            made.append(group)
+        out = made
+        width += 1
+    node.kids = out
+    if len(out) > _WIDE:
+        _into_bag(node, out, 1, False)
+
+
+def _with_groups(items: list[Node], groups: dict[str, Node]) -> list[Node]:
+    """Where ``items`` have a sequence once that is a repeated group elsewhere, make it that group."""
+    for label in sorted(groups, key=lambda g: (-len(groups[g].kids), g)):
+        unit = [k.label for k in groups[label].kids]
+        out, i = [], 0
+        while i < len(items):
+            k = items[i]
+            if k.label != label and len(unit) <= len(items) - i and all(u == p.label for u, p in zip(unit, items[i:i + len(unit)], strict=True)):
+                k = Node(label, items[i:i + len(unit)])
+                k.n, k.opt = max(x.n for x in k.kids), all(x.opt for x in k.kids)
+                i += len(unit)
             else:
-                out.append(nodes[i])
                 i += 1
-        nodes = out
-    return tuple(nodes)
+            _joined(out, k)
+        items = out
+    return items
+
+
+def _worth(p: Node, q: Node) -> int:
+    if p.label != q.label:
+        return 0
+    if p.kids is None:
+        return 1
+    return 4 if len(p.kids) == len(q.kids) and all(c.label == d.label for c, d in zip(p.kids, q.kids, strict=True)) else 3
+
+
+def _aligned(x: list[Node], y: list[Node]) -> list[tuple[Node | None, Node | None]]:
+    """Items of both lists in order, those of equal label paired so that the pairs weigh most: elements more than text, and
+    elements with the same content more than others."""
+    lo = 0
+    while lo < len(x) and lo < len(y) and x[lo].label == y[lo].label:
+        lo += 1
+    hi = 0
+    while hi < len(x) - lo and hi < len(y) - lo and x[-1 - hi].label == y[-1 - hi].label:
+        hi += 1
+    a, b = x[lo:len(x) - hi], y[lo:len(y) - hi]
+    like = [[_worth(p, q) for q in b] for p in a]
+    best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    for i in range(len(a) - 1, -1, -1):
+        row, below = best[i], best[i + 1]
+        for j in range(len(b) - 1, -1, -1):
+            row[j] = max(below[j], row[j + 1], below[j + 1] + like[i][j])
+    out: list = list(zip(x[:lo], y[:lo], strict=True))
+    i = j = 0
+    while i < len(a) or j < len(b):
+        if i < len(a) and j < len(b) and like[i][j] and best[i][j] == best[i + 1][j + 1] + like[i][j]:
+            out.append((a[i], b[j]))
+            i, j = i + 1, j + 1
+        elif j >= len(b) or (i < len(a) and best[i + 1][j] >= best[i][j + 1]):
+            out.append((a[i], None))
+            i += 1
+        else:
+            out.append((None, b[j]))
+            j += 1
+    return out + list(zip(x[len(x) - hi:], y[len(y) - hi:], strict=True))
 
 
-def _groups(nodes: tuple) -> set:
-    return {n for n in nodes if isinstance(n, tuple) and n[0] == "+"}
+def align(a: Node, b: Node) -> Node:
+    """The wrapper of two wrappers of other pages each; both are used up."""
+    _merge(a, b, True)
+    return a
 
 
-def _items(nodes: tuple) -> list[tuple[tuple, bool]]:
-    """(nodes, optional) of each item side by side: a whole element (open tag, content, close tag), a text slot or a
-    repeated group. The items of an optional group are optional each."""
-    out, i = [], 0
-    while i < len(nodes):
-        n, j, depth = nodes[i], i + 1, 1
-        if isinstance(n, tuple) and n[0] == "?":
-            out += [(x, True) for x, _ in _items(n[1])]
-        else:
-            if isinstance(n, str) and n != "#" and not n.startswith("/"):
-                while j < len(nodes) and depth:
-                    if isinstance(nodes[j], str) and nodes[j] != "#":
-                        depth += -1 if nodes[j].startswith("/") else 1
-                    j += 1
-            out.append((tuple(nodes[i:j]), False))
-        i = j
-    return out
+def pattern(node: Node) -> str:
+    """The wrapper as a regular expression over tokens: labels, text slots (#) and close tags; no unions."""
+    def items(kids: list[Node]) -> str:
+        return " ".join(one(k) for k in kids)
 
+    def one(k: Node) -> str:
+        if k.kids is None:
+            body = "#"
+        elif k.label[0] == "(":
+            body = inner(k)
+        else:
+            body = f"{k.label} {inner(k)} /{_parts(k.label)[0]}"
+        mark = "*" if k.many and k.opt else "+" if k.many else "?" if k.opt else ""
+        return f"( {body} ){mark}" if mark else body
 
-def _same(x: tuple, y: tuple) -> int:
-    """2 for equal items, 1 for elements with the same open tag, else 0."""
-    return 2 if x == y else int(len(x) > 1 and len(y) > 1 and x[0] == y[0] and x[-1] == y[-1])
-
+    def inner(k: Node) -> str:
+        return f"( {items(k.kids)} )+" if k.bag else items(k.kids)
 
-#: Elements this deep are not aligned inside: unequal ones stay whole, side by side.
-_DEEPEST = 200
+    return inner(node)
 
 
-def _merged(a: tuple, b: tuple, depth: int = 0) -> tuple:
-    if a == b:
-        return a
-    x, y = _items(a), _items(b)
-    like = [[_same(p, q) if depth < _DEEPEST or p == q else 0 for q, _ in y] for p, _ in x]
-    rows = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
-    for i in range(len(x) - 1, -1, -1):
-        for j in range(len(y) - 1, -1, -1):
-            rows[i][j] = max(rows[i + 1][j], rows[i][j + 1], rows[i + 1][j + 1] + like[i][j])
-    out: list = []
-    i = j = 0
-    gap: list = []
+def dump(node: Node, stats: bool) -> str:
+    """The tree as text, with the slots' numbers over pages or without."""
+    out: list[str] = []
 
-    def put(nodes: tuple, optional: bool) -> None:
-        if optional:
-            gap.extend(nodes)
+    def walk(k: Node) -> None:
+        flags = ("+" if k.many else "") + ("?" if k.opt else "")
+        if k.kids is None:
+            out.append(f"{flags}#{k.n},{k.lo},{k.hi},{k.first},{k.last},{k.chars},{k.linked}" if stats else flags + "#")
             return
-        if gap:
-            out.append(("?", tuple(gap)))
-            gap.clear()
-        out.extend(nodes)
-
-    while i < len(x) or j < len(y):
-        if i < len(x) and j < len(y) and like[i][j] and rows[i][j] == rows[i + 1][j + 1] + like[i][j]:
-            p, q = x[i][0], y[j][0]
-            put(p if p == q else (p[0], *_merged(p[1:-1], q[1:-1], depth + 1), p[-1]), x[i][1] or y[j][1])
-            i, j = i + 1, j + 1
-        elif j >= len(y) or (i < len(x) and rows[i + 1][j] >= rows[i][j + 1]):
-            put(x[i][0], True)
-            i += 1
+        out.append(f"{flags}{('', 'b', 'B')[k.bag]}:{k.label.replace('(', '[')}" + (f":{k.n}" if stats else ""))
+        for c in k.kids:
+            walk(c)
+        out.append("/")
+
+    walk(node)
+    return " ".join(out)
+
+
+def parsed(text: str) -> tuple[Node, list[Node]]:
+    """The inverse of :func:`dump`, and the tree's slots in its order."""
+    stack = [Node("", [])]
+    slots: list[Node] = []
+    for t in text.split(" "):
+        if t == "/":
+            stack.pop()
+            continue
+        at = t.find(":")
+        if at < 0:
+            flags, _, rest = t.partition("#")
+            k = Node("#")
+            k.at.append(len(slots))
+            if rest:
+                k.n, k.lo, k.hi, k.first, k.last, k.chars, k.linked = map(int, rest.split(","))
+            slots.append(k)
         else:
-            put(y[j][0], True)
-            j += 1
-    put((), False)
-    return tuple(out)
+            flags = t[:at]
+            label, _, n = t[at + 1:].partition(":")
+            k = Node(label.replace("[", "("), [])
+            k.n = int(n) if n else 1
+            k.bag = 1 if "b" in flags else 2 if "B" in flags else 0
+        k.many, k.opt = "+" in flags, "?" in flags
+        stack[-1].kids.append(k)
+        if at >= 0:
+            stack.append(k)
+    return stack[0].kids[0], slots
+
+
+def _matched(page: Node, wrapper: Node, out: dict[int, Node]) -> None:
+    """Which slot of the wrapper each slot (by number) of a page's tree is read through. Regroups the page's tree."""
+    if page.kids is None:
+        out.update((i, wrapper) for i in page.at)
+        return
+    x, y = page.kids, wrapper.kids
+    pairs: list = []
+    if not wrapper.bag and not page.bag:
+        groups = {k.label: k for k in y if k.label[0] == "("}
+        pairs = _aligned(_with_groups(x, groups) if groups else x, y)
+        if all(p is None or q is not None for p, q in pairs):
+            for p, q in pairs:
+                if p is not None:
+                    _matched(p, q, out)
+            return
+    have: dict[str, list[Node]] = {}
+    todo = y[::-1]
+    while todo:
+        k = todo.pop()
+        todo += k.kids[::-1] if k.label[0] == "(" else []
+        have.setdefault(k.label, []).append(k)
+        if k.kids is not None:
+            have.setdefault(("!" if k.label[0] == "!" else "") + _parts(k.label)[0], []).append(k)
+    todo = [p for p, q in pairs if p is not None and q is None] if pairs else list(x)
+    for p, q in pairs:
+        if p is not None and q is not None:
+            _matched(p, q, out)
+    while todo:
+        k = todo.pop()
+        tag = k.label if k.kids is None else ("!" if k.label[0] == "!" else "") + _parts(k.label)[0]
+        near = [q for q in have.get(k.label) or have.get(tag) or () if (q.kids is None) == (k.kids is None)]
+        if near:
+            inner = {c.label for c in k.kids or ()}
+            _matched(k, max(near, key=lambda q: len(inner & {c.label for c in q.kids or ()})), out)
+        elif k.label[0] == "(":
+            todo += k.kids
+
+
+#: A slot that the wrapper has at no like place: data.
+_UNSEEN = Node("#")
+_UNSEEN.hi = _UNSEEN.last = _UNSEEN.chars = 1
+
+
+def kept_slots(wrapper: str, skeleton: str) -> tuple[bool, ...]:
+    """Whether each slot of a skeleton is main text, by the slots of the host's wrapper it is read through."""
+    page, slots = parsed(skeleton)
+    through: dict[int, Node] = {}
+    if wrapper:
+        _matched(parsed(skeleton)[0], parsed(wrapper)[0], through)
+    place: dict[int, tuple] = {}  # slot -> (elements above it, in an article or main element, a heading)
+
+    def walk(k: Node, above: tuple, article: int) -> None:
+        if k.kids is None:
+            place[id(k)] = (above, article, any(_parts(a.label)[0] in _HEADINGS for a in above[-2:]))
+            return
+        tag, _, role = _parts(k.label)
+        if k.label[:1] == "!" or tag in _DROP_TAGS or role in _DROP_ROLES:
+            return
+        if tag == "article" or role == "article":
+            if article == 2:
+                return  # an article in an article is a comment on it
+            article = 2
+        elif tag == "main" or role == "main":
+            article = max(article, 1)
+        for c in k.kids:
+            walk(c, (*above, k) if k.label[:1] != "(" else above, article)
+
+    walk(page, (), 0)
+    usable = [s for s in slots if wrapper and id(s) in place]
+    stat = {id(s): through.get(s.at[0], _UNSEEN) for s in usable}
+    prose = lambda s: stat[id(s)].chars - stat[id(s)].linked
+    fixed = {i for i, k in stat.items() if (k.lo == k.hi or k.first == k.last) and k.n >= _ENOUGH}
+    main = [s for s in usable if place[id(s)][1]]
+    if not main or not sum(prose(s) for s in main):
+        free = [s for s in usable if stat[id(s)].linked <= 0.5 * stat[id(s)].chars]
+        data = [s for s in free if id(s) not in fixed]
+        free = data if sum(map(prose, data)) or len(data) == len(free) else free
+        weight: dict[int, float] = {}
+        depth: dict[int, int] = {}
+        for s in free:
+            above = place[id(s)][0]
+            for k, e in enumerate(reversed(above)):
+                if any(_NAMED.fullmatch(x) for x in _parts(e.label)[1]):
+                    break  # what is named so vouches for nothing above it
+                if k:  # the block itself is no container
+                    weight[id(e)] = weight.get(id(e), 0.0) + prose(s) * 0.8 ** k
+                    depth[id(e)] = len(above) - k
+        if weight:
+            best = max(weight, key=lambda e: (weight[e], depth[e]))
+            main = [s for s in usable if s in free and any(id(e) == best for e in place[id(s)][0])]
+        else:
+            main = free
+    total = sum(map(prose, main))
 
+    def witnessed(s: Node) -> bool:
+        for e in place[id(s)][0]:
+            tag, names, _ = _parts(e.label)
+            if tag not in ("html", "body", "article", "main") and any(_NAMED.fullmatch(x) for x in names):
+                inside = [x for x in main if e in place[id(x)][0]]
+                if sum(map(prose, inside)) <= 0.25 * total or 2 * sum(stat[id(x)].linked for x in inside) > sum(stat[id(x)].chars for x in inside) or _repeats(e):
+                    return True
+        return False
 
-def align(a: tuple, b: tuple) -> tuple:
-    """The wrapper of two wrappers: common items stay, elements with the same open tag are aligned inside, and the whole
-    elements that only one has become optional (those of one optional group each for itself). No group crosses an
-    element, so the wrapper has the path of every slot of both."""
-    groups = _groups(a) | _groups(b)
-    return _merged(_with_groups(a, groups), _with_groups(b, groups))
+    main = [s for s in main if not witnessed(s)]
+    same = [s for s in main if id(s) in fixed and not place[id(s)][2]]
+    if sum(stat[id(s)].chars for s in same) <= _ALIKE * sum(stat[id(s)].chars for s in main):
+        gone = set(map(id, same))
+        main = [s for s in main if id(s) not in gone]
+    taken = set(map(id, main))
+    return tuple(id(s) in taken for s in slots)
 
 
-def pattern(nodes: tuple) -> str:
-    """The wrapper written as a regular expression over tokens."""
-    return " ".join(n if isinstance(n, str) else f"( {pattern(n[1])} ){n[0]}" for n in nodes)
+def _repeats(e: Node) -> bool:
+    return bool(e.kids) and (bool(e.bag) or any((k.many and k.label != "#" and _parts(k.label)[0] != "p") or _repeats(k) for k in e.kids))
 
 
-def parsed(text: str) -> tuple:
-    """The inverse of :func:`pattern`."""
-    levels: list[list] = [[]]
-    for t in text.split(" ") if text else []:
-        if t == "(":
-            levels.append([])
-        elif t in (")+", ")?"):
-            group = (t[1], tuple(levels.pop()))
-            levels[-1].append(group)
-        else:
-            levels[-1].append(t)
-    return tuple(levels[0])
-
-
-def slot_paths(nodes: tuple) -> list[str]:
-    """Paths of the text slots of a wrapper, in its order."""
-    out: dict[str, None] = {}
-    stack: list[str] = []
-
-    def walk(items: tuple) -> None:
-        for n in items:
-            if isinstance(n, tuple):
-                walk(n[1])
-            elif n == "#":
-                out["/".join(stack)] = None
-            elif n.startswith("/"):
-                for k in range(len(stack) - 1, -1, -1):
-                    if stack[k].lstrip("!").split(".")[0].split("@")[0] == n[1:]:
-                        del stack[k:]
-                        break
-            else:
-                stack.append(n)
+_kept = lru_cache(maxsize=4096)(kept_slots)
 
-    walk(nodes)
-    return list(out)
 
+def _slots(root: Node) -> list[Node]:
+    out, todo = [], [root]
+    while todo:
+        k = todo.pop()
+        if k.kids is None:
+            out.append(k)
+        else:
+            todo += k.kids[::-1]
+    return out
 
-def _parts(label: str) -> tuple[str, str, str]:
-    rest, _, role = label.lstrip("!").partition("@")
-    tag, _, names = rest.partition(".")
-    return tag, names.replace(".", " "), role
-
-
-def dropped(path: str) -> bool:
-    for label in path.split("/") if path else []:
-        tag, names, role = _parts(label)
-        if label.startswith("!") or tag in _DROP_TAGS or role in _DROP_ROLES:
-            return True
-        if names and tag not in ("html", "body", "article", "main") and _DROP_NAMES.search(names):
-            return True
-    return False
-
-
-def main_depth(path: str) -> int:
-    """2 in an article or main element, 1 in an element named like one, else 0."""
-    depth = 0
-    for label in path.split("/") if path else []:
-        tag, names, role = _parts(label)
-        if tag in ("article", "main") or role in ("main", "article"):
-            return 2
-        if names and tag not in ("html", "body") and _MAIN_NAMES.search(names):
-            depth = 1
-    return depth
-
-
-def kept_slots(slots: list[dict]) -> list[str]:
-    """Paths whose text is main text, from the sums of a host's slots (path, pages, chars, linked, constant)."""
-    usable = [s for s in slots if not dropped(s["path"])]
-    level = max((main_depth(s["path"]) for s in usable), default=0)
-    if level:
-        return [s["path"] for s in usable if main_depth(s["path"]) == level]
-    usable = [s for s in usable if not (s["constant"] and s["pages"] > 2) and s["linked"] <= 0.5 * s["chars"]]
-    if not usable:
-        return []
-    weight: dict[str, float] = {}
-    for s in usable:
-        free = s["chars"] - s["linked"]
-        labels = s["path"].split("/")
-        for k in range(len(labels)):  # each container gets its slots' text, less for depth above them
-            above = "/".join(labels[:len(labels) - 1 - k])
-            weight[above] = weight.get(above, 0) + free * 0.8 ** k
-    best = max(weight, key=lambda p: (weight[p], len(p)))
-    return [s["path"] for s in usable if s["path"] == best or s["path"].startswith(best + "/") or not best]
-
-
-def main_text(page: str, paths: set[str]) -> str:
-    """Text of the host's slots; of the page's own best slots where its template has none of them."""
-    found = [(path, text, linked) for path, text, linked, _ in blocks(page) if text]
-    if found and not any(path in paths for path, _, _ in found):
-        own: dict[str, dict] = {}
-        for path, text, linked in found:
-            s = own.setdefault(path, {"path": path, "pages": 1, "chars": 0, "linked": 0, "constant": False})
-            s["chars"] += len(text)
-            s["linked"] += linked
-        paths = set(kept_slots(list(own.values())))
-    return "\n\n".join(text for path, text, _ in found if path in paths)
+
+def main_text(page: str, wrapper: str) -> str:
+    """Text of the blocks in the slots of main text, in page order."""
+    root, texts, _ = read_page(page)
+    if not texts:
+        return ""
+    flags = _kept(wrapper, dump(root, False))
+    blocks = sorted(i for s, keep in zip(_slots(root), flags, strict=True) if keep for i in s.at)
+    return "\n\n".join(texts[i] for i in blocks)
 
 
 def host_of(url: Column) -> Column:
     return F.lower(F.coalesce(F.regexp_extract(url, "^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/@]*@)?([^/:?#]*)", 1), F.lit("")))
 
 
-def _streams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(host, stream, path, chars, linked, lo, hi): a row per page with its folded stream, and a row per page and slot."""
-    kinds = [pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
-    names = ["host", "stream", "path", "chars", "linked", "lo", "hi"]
-    for batch in batches:
-        rows: list[tuple] = []
-        for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            stream: list[str] = []
-            slots: dict[str, list[int]] = {}
-            for path, text, linked, tokens in blocks(page or ""):
-                stream += tokens
-                if text:
-                    s = slots.setdefault(path, [0, 0, 0])
-                    s[0] += len(text)
-                    s[1] += linked
-                    s[2] = (s[2] * 1_000_003 + int.from_bytes(_short(text), "big")) & 0x7FFFFFFFFFFFFFFF
-            rows.append((host, pattern(fold(tuple(stream))), None, 0, 0, 0, 0))
-            rows += [(host, None, path, c, k, h, h) for path, (c, k, h) in slots.items()]
-            if len(rows) > 20_000:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names)
-                rows = []
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names)
-
+def _hash(text: str) -> int:
+    return int.from_bytes(blake2b(text.encode("utf-8", "surrogatepass"), digest_size=7).digest(), "big")
 
-def _short(text: str) -> bytes:
-    from hashlib import blake2b
 
-    return blake2b(text.encode("utf-8", "surrogatepass"), digest_size=7).digest()
+_SEEN = "host string, skeleton string, key string, slot int, n long, lo long, hi long, first long, last long, chars long, linked long"
 
 
-def _aligned(frame: pd.DataFrame) -> str:
-    whole: tuple | None = None
-    for text in sorted(frame["stream"], key=lambda s: (len(s), s)):
-        whole = parsed(text) if whole is None else align(whole, parsed(text))
-    return pattern(whole or ())
+_SLOT = ("slot", "lo", "hi", "first", "last", "chars", "linked")
 
 
-def wrappers(pages: DataFrame, salts: int = 16) -> DataFrame:
-    """One row per host: host, n_pages, wrapper (regular expression over tokens), paths (slots of main text)."""
-    seen = pages.select(host_of(F.col("url")).alias("host"), F.col("html").alias("html")).mapInArrow(
-        _streams, "host string, stream string, path string, chars long, linked long, lo long, hi long")
-    seen = (seen.groupBy("host", "stream", "path").agg(F.count(F.lit(1)).alias("pages"), F.sum("chars").alias("chars"), F.sum("linked").alias("linked"), F.min("lo").alias("lo"), F.max("hi").alias("hi")))
-    seen = written(seen, "streams")
-    streams = seen.where("stream IS NOT NULL").select("host", "stream", "pages")
-    salted = streams.withColumn("salt", F.pmod(F.xxhash64("stream"), F.lit(salts)).cast("int"))
-    first = salted.groupBy("host", "salt").applyInPandas(
-        lambda f: pd.DataFrame({"host": [f["host"].iloc[0]], "stream": [_aligned(f)], "pages": [int(f["pages"].sum())]}), "host string, stream string, pages long")
-    whole = first.groupBy("host").applyInPandas(
-        lambda f: pd.DataFrame({"host": [f["host"].iloc[0]], "wrapper": [_aligned(f)], "n_pages": [int(f["pages"].sum())]}), "host string, wrapper string, n_pages long")
-    slots = seen.where("path IS NOT NULL").groupBy("host").agg(
-        F.collect_list(F.struct("path", "pages", "chars", "linked", (F.col("lo") == F.col("hi")).alias("constant"))).alias("slots"))
+def _skeletons(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (host, skeleton, key, slot, n, lo, hi, first, last, chars, linked): per skeleton and slot, and per skeleton with slot -1
+    and hashes of whole pages' texts. Pages of a batch are summed."""
+    kinds = [pa.string(), pa.string(), pa.string(), pa.int32(), *[pa.int64()] * 7]
+    names = [x.split()[0] for x in _SEEN.split(", ")]
+    for batch in batches:
+        seen: dict[tuple[str, str], list[list[int]]] = {}
+        for host, page in zip(batch.column(0), batch.column(1), strict=True):
+            root, texts, links = read_page(page.as_py() or "")
+            if not texts:
+                continue
+            hashes = [_hash(t) for t in texts]
+            slots = _slots(root)
+            sums = seen.setdefault((host.as_py(), dump(root, False)), [])
+            whole = _hash(repr(hashes))
+            mine = [[1, whole, whole, whole, whole, 0, 0]]
+            for s in slots:
+                got = [hashes[i] for i in s.at]
+                both = got[0] if len(got) == 1 else _hash(repr(got))
+                mine.append([1, min(got), max(got), both, both, sum(len(texts[i]) for i in s.at), sum(links[i] for i in s.at)])
+            if not sums:
+                sums += mine
+            else:
+                for old, new in zip(sums, mine, strict=True):
+                    old[0] += 1
+                    old[1], old[2], old[3], old[4] = min(old[1], new[1]), max(old[2], new[2]), min(old[3], new[3]), max(old[4], new[4])
+                    old[5] += new[5]
+                    old[6] += new[6]
+        rows = []
+        for (host, skeleton), sums in seen.items():
+            key = blake2b(skeleton.encode("utf-8", "surrogatepass"), digest_size=12).hexdigest()
+            rows += [(host, None if i else skeleton, key, i - 1, *x) for i, x in enumerate(sums)]
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
-    @F.pandas_udf("array<string>")
-    def judged(slots: pd.Series) -> pd.Series:
-        return pd.Series([kept_slots(sorted((dict(x) for x in s), key=lambda x: x["path"])) if s is not None else [] for s in slots])
 
-    made = written(whole.join(slots, "host", "left").select("host", "n_pages", "wrapper", judged("slots").alias("paths")), "wrappers")
+def annotated(skeleton: str, slots: list[tuple[int, ...]], pages: int, alike: bool) -> str:
+    """A skeleton with its slots' numbers (slot, lo, hi, first, last, chars, linked). Pages that are all alike, or in most of their text,
+    count as one."""
+    root, leaves = parsed(skeleton)
+    fixed = sum(s[5] for s in slots if s[1] == s[2] or s[3] == s[4])
+    n = 1 if alike or fixed > _ALIKE * sum(s[5] for s in slots) else pages
+    for leaf, s in zip(leaves, slots, strict=True):
+        leaf.n, leaf.lo, leaf.hi, leaf.first, leaf.last, leaf.chars, leaf.linked = n, *s[1:]
+
+    def count(k: Node) -> None:
+        k.n = n
+        for c in k.kids or ():
+            count(c)
+
+    count(root)
+    return dump(root, True)
+
+
+def wrapper_of(trees: list[str]) -> str:
+    whole: Node | None = None
+    for text in sorted(trees, key=lambda s: (len(s), s)):
+        one, _ = parsed(text)
+        whole = one if whole is None else align(whole, one)
+    return dump(whole, True) if whole else ""
+
+
+def wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html", group: int = 128) -> DataFrame:
+    """One row per host: host, n_pages, wrapper (as :func:`dump` writes it). ``group``: skeletons or wrappers aligned in one task
+    on average."""
+    seen = pages.select(host_of(F.col(url_col)).alias("host"), F.col(html_col).alias("html")).mapInArrow(ts.tidy(_skeletons), _SEEN)
+    seen = seen.groupBy("host", "key", "slot").agg(F.max("skeleton").alias("skeleton"), F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi"),
+                                                   F.min("first").alias("first"), F.max("last").alias("last"), F.sum("chars").alias("chars"), F.sum("linked").alias("linked"))
+    seen = written(seen, "slots")
+    one = seen.groupBy("host", "key").agg(F.max("skeleton").alias("skeleton"), F.max(F.when(F.col("slot") < 0, F.col("n"))).alias("n_pages"),
+                                          F.max(F.when(F.col("slot") < 0, F.col("lo") == F.col("hi"))).alias("alike"),
+                                          F.array_sort(F.collect_list(F.when(F.col("slot") >= 0, F.struct(*_SLOT)))).alias("slots"))
+
+    @F.pandas_udf("string")
+    def tree(skeleton: pd.Series, slots: pd.Series, pages: pd.Series, alike: pd.Series) -> pd.Series:
+        rows = zip(skeleton, slots, pages, alike, strict=True)
+        return pd.Series([annotated(s, [tuple(x[c] for c in _SLOT) for x in xs], int(n), bool(a)) for s, xs, n, a in rows])
+
+    level = written(one.select("host", "key", "n_pages", tree("skeleton", "slots", "n_pages", "alike").alias("wrapper")), "skeletons")
     discard(seen)
-    return made
+    while True:
+        # Hosts with several trees left; each round leaves about 1/group of them.
+        counts = written(level.groupBy("host").agg(F.count(F.lit(1)).alias("c")), "counts")
+        most = counts.agg(F.max("c")).first()[0] or 1
+        if most == 1:
+            discard(counts)
+            return level.select("host", "n_pages", "wrapper")
+        dealt = level.join(counts, "host").withColumn("bucket", F.pmod(F.xxhash64("key"), F.ceil(F.col("c") / group)).cast("int"))
+        made = dealt.groupBy("host", "bucket").applyInPandas(
+            lambda f: pd.DataFrame({"host": [f["host"].iloc[0]], "key": [min(f["key"])], "n_pages": [int(f["n_pages"].sum())], "wrapper": [wrapper_of(list(f["wrapper"]))]}),
+            "host string, key string, n_pages long, wrapper string")
+        last, level = level, written(made, "wrappers")
+        discard(last, counts)
 
 
 def _texts(batches: Iterator[pa.RecordBatch], keep: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        made = [main_text(page or "", set(paths or ())) for page, paths in zip(batch.column(keep).to_pylist(), batch.column(keep + 1).to_pylist(), strict=True)]
+        made = [main_text(page.as_py() or "", wrapper.as_py() or "") for page, wrapper in zip(batch.column(keep), batch.column(keep + 1), strict=True)]
         cols = [batch.column(i) for i in range(keep)]
         yield pa.RecordBatch.from_arrays([*cols, pa.array(made, pa.string())], [*batch.schema.names[:keep], "text"])
 
 
 def main_texts(pages: DataFrame, broadcast_bytes: int = 8_000_000) -> DataFrame:
-    """page_id, url, text, n_chars for every row of ``pages``."""
+    """page_id, url, text, n_chars for every row of ``pages``; extra columns are passed over."""
     small_batches(pages.sparkSession)
-    made = wrappers(pages).select(F.col("host").alias("_h"), "paths")
-    size = made.agg(F.sum(F.length("_h") + F.length(F.to_json("paths")))).first()[0] or 0
-    rows = pages.select("page_id", "url", "html")
-    rows = rows.join(F.broadcast(made) if size <= broadcast_bytes else made, host_of(F.col("url")) == F.col("_h"), "left")
-    rows = rows.select("page_id", "url", "html", "paths").mapInArrow(lambda it: _texts(it, 2), "page_id long, url string, text string")
+    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
+    host, wrapper = fresh(rows, "_host", "_wrapper")
+    made = wrappers(rows).select(F.col("host").alias(host), F.col("wrapper").alias(wrapper))
+    size = made.agg(F.sum(F.octet_length(host) + F.octet_length(wrapper))).first()[0] or 0
+    rows = rows.join(F.broadcast(made) if size <= broadcast_bytes else made, host_of(F.col("url")) == F.col(host), "left")
+    rows = rows.select("page_id", "url", "html", wrapper).mapInArrow(ts.tidy(lambda it: _texts(it, 2)), "page_id long, url string, text string")
     return rows.withColumn("n_chars", F.length("text").cast("long"))
