@@ -10,13 +10,17 @@ Banding: ``bands`` groups of ``rows`` coordinates. At similarity 0.85 a pair sha
 probability (1 - 0.85^5)^40, below 1e-10. Documents of equal sets are one class first, so thousands of copies count once.
 
 Linking: in each bucket of a band, a leader is compared with the other members (a bucket of m gives m - 1 pairs).
-Then, in every bucket that still holds several components, the pairs between different components which exact bounds
-don't rule out are compared, so no link that any bucket offers is lost. Every link is confirmed on the full sets of
-64-bit shingle hashes.
+Then the documents of every bucket that still holds several components are joined by prefix: two sets that reach the similarity share
+one of the rarest shingles of each (as many as may be missing, and one more). Only shingles that documents of different components have
+make pairs, so a bucket's members are never all paired, and no link that any bucket offers is lost. Every link is
+confirmed on the full sets of 64-bit shingle hashes.
+
+Everything is keyed by the set (128 bits), not by doc_id: rows that repeat a doc_id with another text are documents of their own.
 
 Defined results: null or blank text has an empty set, links with nothing and stays. A text of fewer words than a
-shingle is one shingle. Rows that repeat a doc_id belong to one document class per set. A null doc_id stays, linked
-with nothing. Extra columns are passed over.
+shingle is one shingle. Rows of equal sets are one class, so rows that repeat get equal results. A null doc_id stays and links
+nothing; it shows the component of its set, if rows with a doc_id have that. Extra columns are passed over. Reruns agree. Arrow batches hold 1000 rows at most
+from here on in the session.
 """
 
 from __future__ import annotations
@@ -25,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm import textscan as ts
@@ -100,8 +104,8 @@ def band_hashes(coords: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 def sketch_batches(batches: Iterator[pa.RecordBatch], width: int, bands: int, rows: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ids = batch.column(0)
-        for lo, hi, data, offsets in ts.slices(batch.column(1), 1_000_000):
+        ids, prints = batch.column(0), batch.column(1)
+        for lo, hi, data, offsets in ts.slices(batch.column(2), 1_000_000):
             sets, counts = shingle_sets(data, offsets, width)
             doc = np.repeat(np.arange(hi - lo), counts)
             sums = np.zeros((2, hi - lo), np.uint64)
@@ -112,8 +116,8 @@ def sketch_batches(batches: Iterator[pa.RecordBatch], width: int, bands: int, ro
             per = np.zeros(hi - lo, np.int64)
             per[full] = bands
             yield pa.RecordBatch.from_arrays(
-                [ids.slice(lo, hi - lo), pa.array(counts), pa.array(sums[0].view(np.int64)), pa.array(sums[1].view(np.int64)), ts.long_array(marks.ravel(), per)],
-                ["doc_id", "n_shingles", "set_a", "set_b", "marks"])
+                [ids.slice(lo, hi - lo), prints.slice(lo, hi - lo), pa.array(counts), pa.array(sums[0].view(np.int64)), pa.array(sums[1].view(np.int64)), ts.long_array(marks.ravel(), per)],
+                ["doc_id", "print", "n_shingles", "set_a", "set_b", "marks"])
 
 
 def set_batches(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
@@ -134,75 +138,85 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(F.lit(100) * F.col("common") >= F.lit(percent) * F.col("union")).select("a", "b")
 
 
-def _open_pairs(member: DataFrame, classes: DataFrame, sets: DataFrame, label: DataFrame, fits, percent: int) -> DataFrame:
-    """Pairs that share a bucket, lie in different components and can still reach the similarity.
+def _open_pairs(member: DataFrame, sets: DataFrame, label: DataFrame, fits, percent: int) -> DataFrame:
+    """Pairs of documents from buckets that hold several components, in different components, that can still reach the similarity.
 
-    Exact bounds keep the number low: a shingle that only one document in these buckets has cannot be common to any
-    two, so the rest of a document's set (its core) bounds each overlap, and so do the sums of the smaller core counts over
-    parts of the hash range. A pair is made in its first shared band only.
+    A pair at the similarity shares one of the n - ceil(percent * n / 100) + 1 rarest shingles of each set of n. Exact bounds keep
+    the number low: a shingle that only one of these documents has cannot be common to any two, so the rest of a document's set (its
+    core) bounds each overlap, and so do the sums of the smaller core counts over parts of the hash range. Two documents that both have many
+    shingles of their own (heavy ones) cannot reach the similarity, so at least one of a pair is light.
     """
-    tagged = member.join(label, F.col("rep") == F.col("node"), "left").select("mark", "band", "rep", "size", F.coalesce("component", "rep").alias("component"))
+    tagged = member.join(label, F.col("id") == F.col("node"), "left").select("mark", "id", "size", F.coalesce("component", "id").alias("component"))
     mixed = tagged.groupBy("mark").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("n")).where("lo < hi AND n > 2").select("mark")
-    mixed = written(mixed, "mixed")
-    open_ = written(tagged.join(mixed, "mark", "left_semi"), "open")
-    discard(mixed)
-    ids = open_.select("rep").distinct()
-    each = sets.join(ids, sets["id"] == ids["rep"], "left_semi").select("id", F.explode("shingles").alias("x"))
-    common = each.groupBy("x").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("x")
+    open_ = written(tagged.join(mixed, "mark", "left_semi").select("id", "size", "component").distinct(), "open")
+    each = sets.join(open_, "id").select("id", "size", "component", F.explode("shingles").alias("x"))
+    each = written(each.join(each.groupBy("x").agg(F.count(F.lit(1)).alias("df")), "x"), "each")
     part = F.pmod("x", F.lit(_PARTS)).cast("int")
-    core = each.join(common, "x", "left_semi").groupBy("id", part.alias("part")).agg(F.count(F.lit(1)).cast("int").alias("n"))
+    core = each.where("df > 1").groupBy("id", part.alias("part")).agg(F.count(F.lit(1)).cast("int").alias("n"))
     core = core.groupBy("id").agg(F.sum("n").alias("core"), F.map_from_entries(F.collect_list(F.struct("part", "n"))).alias("by"))
     core = core.select("id", "core", F.transform(F.sequence(F.lit(0), F.lit(_PARTS - 1)), lambda k: F.coalesce(F.try_element_at("by", k), F.lit(0))).alias("parts"))
-    core = core.join(classes.select("rep", "size", "marks"), F.col("id") == F.col("rep")).where(F.lit(100) * F.col("core") >= F.lit(percent) * F.col("size"))
-    full = open_.drop("size").join(core.drop("id"), "rep")
-    u = full.select("mark", "band", F.col("rep").alias("a"), F.col("size").alias("na"), F.col("core").alias("ka"), F.col("component").alias("ca"), F.col("marks").alias("ma"), F.col("parts").alias("pa"))
-    v = full.select("mark", F.col("rep").alias("b"), F.col("size").alias("nb"), F.col("core").alias("kb"), F.col("component").alias("cb"), F.col("marks").alias("mb"), F.col("parts").alias("pb"))
+    # Rarest shingles first; those that no other document has fill places of the prefix, but make no pair.
+    rank = F.row_number().over(Window.partitionBy("id").orderBy("df", "x"))
+    prefix = each.withColumn("rank", rank).where(F.col("rank") <= F.col("size") - F.ceil(F.lit(percent) * F.col("size") / F.lit(100)) + 1).where("df > 1")
+    across = prefix.groupBy("x").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("x")
+    posts = prefix.join(across, "x", "left_semi").join(core, "id").where(F.lit(100) * F.col("core") >= F.lit(percent) * F.col("size"))
+    heavy = F.lit(2 * percent) * (F.col("size") - F.col("core")) > F.lit(100 - percent) * F.col("size")
+    # Written, so that the join reads both sides from shuffles and the rows of a very common shingle can be split.
+    posts = written(posts.select("x", "id", "size", "component", "core", "parts", heavy.alias("heavy")), "posts")
+    u = posts.where("NOT heavy").select("x", F.col("id").alias("a"), F.col("size").alias("na"), F.col("core").alias("ka"), F.col("component").alias("ca"), F.col("parts").alias("pa"))
+    v = posts.select("x", F.col("id").alias("b"), F.col("size").alias("nb"), F.col("core").alias("kb"), F.col("component").alias("cb"), F.col("parts").alias("pb"), "heavy")
     enough = lambda overlap: F.lit(100 + percent) * overlap >= F.lit(percent) * (F.col("na") + F.col("nb"))
     reach = enough(F.least("ka", "kb"))
     reach_by_part = enough(F.aggregate(F.zip_with("pa", "pb", lambda x, y: F.least(x, y)), F.lit(0), lambda acc, x: acc + x))
-    first_band = F.array_position(F.zip_with("ma", "mb", lambda x, y: x == y), True) == F.col("band") + 1
-    on = (u["mark"] == v["mark"]) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & fits(F.col("na"), F.col("nb")) & reach & first_band & reach_by_part
-    return u.join(v, on).select("a", "b")
+    on = (u["x"] == v["x"]) & (F.col("ca") != F.col("cb")) & (F.col("heavy") | (F.col("a") < F.col("b"))) & fits(F.col("na"), F.col("nb")) & reach & reach_by_part
+    out = written(u.join(v, on).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "rest")
+    discard(open_, each, posts)
+    return out
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85, width: int = 5, bands: int = 40, rows: int = 5,
-                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, component_id, kept.
+                    id_col: str = "doc_id", text_col: str = "text", prints: bool = False) -> DataFrame:
+    """One row per row of ``docs``: doc_id, n_shingles, component_id, kept; with ``prints`` also print, a hash of the text.
 
     ``percent``: least similarity of a link, in hundredths. ``kept`` marks the smallest doc_id of each component.
     """
     small_batches(docs.sparkSession)
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    schema = "doc_id long, n_shingles long, set_a long, set_b long, marks array<long>"
-    drawn = written(texts.mapInArrow(ts.tidy(lambda it: sketch_batches(it, width, bands, rows)), schema), "sketch")
-    # One class per distinct set; it stands for its copies under the smallest doc_id.
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    schema = "doc_id long, print long, n_shingles long, set_a long, set_b long, marks array<long>"
+    printed = texts.select("doc_id", F.xxhash64("text").alias("print"), "text")
+    drawn = written(printed.mapInArrow(ts.tidy(lambda it: sketch_batches(it, width, bands, rows)), schema), "sketch")
+    # One class per distinct set, with a number of its own; it has the smallest doc_id of its rows.
     classes = (drawn.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("set_a", "set_b")
-               .agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("size"), F.min(F.struct("doc_id", "marks")).alias("m")))
-    classes = written(classes.select("set_a", "set_b", "rep", "size", F.col("m.marks").alias("marks")), "classes")
-    rows_ = classes.select("rep", "size", F.posexplode("marks").alias("band", "mark"))
+               .agg(F.max("n_shingles").alias("size"), F.min(F.struct("doc_id", "print", "marks")).alias("m")))
+    classes = classes.select("set_a", "set_b", "size", F.col("m.doc_id").alias("rep"), F.col("m.print").alias("print"), F.col("m.marks").alias("marks"))
+    classes = written(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
+    rows_ = classes.select("id", "set_a", "set_b", "size", F.posexplode("marks").alias("band", "mark"))
     shared = rows_.groupBy("mark").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("mark")
     member = written(rows_.join(shared, "mark", "left_semi"), "members")
     # A leader per bucket, drawn by one of four orders, so that a large group is not tied to one leader.
-    draw = F.xxhash64("rep", F.col("band") % 4)
+    draw = F.struct(F.xxhash64("set_a", "set_b", F.col("band") % 4), "set_a", "set_b")
     # Written, so that the join reads both sides from shuffles and the rows of a very large bucket can be split.
-    leads = written(member.groupBy("mark").agg(F.min_by("rep", draw).alias("lead"), F.min_by("size", draw).alias("lead_size")), "leads")
+    leads = written(member.groupBy("mark").agg(F.min_by("id", draw).alias("lead"), F.min_by("size", draw).alias("lead_size")), "leads")
     # |A| / |B| bounds the similarity: sizes too far apart need no comparison.
     fits = lambda x, y: F.lit(100) * F.least(x, y) >= F.lit(percent) * F.greatest(x, y)
-    first = (member.join(leads, "mark").where((F.col("rep") != F.col("lead")) & fits(F.col("size"), F.col("lead_size")))
-             .select(F.least("rep", "lead").alias("a"), F.greatest("rep", "lead").alias("b")).distinct())
+    first = (member.join(leads, "mark").where((F.col("id") != F.col("lead")) & fits(F.col("size"), F.col("lead_size")))
+             .select(F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b")).distinct())
     first = written(first, "pairs")
-    wanted = member.select(F.col("rep").alias("doc_id")).distinct()
-    picked = texts.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    # One text per class that shares a bucket, found by doc_id and a hash of the text.
+    wanted = written(classes.join(member.select("id").distinct(), "id", "left_semi").select("id", F.col("rep").alias("doc_id"), "print"), "wanted")
+    picked = printed.join(wanted, ["doc_id", "print"]).select("id", "text").dropDuplicates(["id"])
     sets = written(picked.mapInArrow(ts.tidy(lambda it: set_batches(it, width)), "id long, shingles array<long>"), "sets")
     links = written(_verified(first, sets, percent), "links")
-    rest = written(_open_pairs(member, classes, sets, components(links), fits, percent).join(first, ["a", "b"], "left_anti"), "rest")
-    more = written(_verified(rest, sets, percent), "links")
-    discard(member, leads, first, rest, sets)
+    rest = _open_pairs(member, sets, components(links), fits, percent)
+    more = written(_verified(rest.join(first, ["a", "b"], "left_anti"), sets, percent), "links")
+    discard(member, leads, wanted, first, rest, sets)
     label = components(links.union(more))
-    named = classes.join(label, F.col("rep") == F.col("node"), "left").select("set_a", "set_b", F.coalesce("component", "rep").alias("component_id"))
-    alone = F.col("n_shingles") == 0
-    out = drawn.drop("marks").join(named, ["set_a", "set_b"], "left")
-    out = out.withColumn("component_id", F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")))
-    out = written(out.select("doc_id", "n_shingles", "component_id", (F.col("doc_id").isNull() | (F.col("doc_id") == F.col("component_id"))).alias("kept")), "components")
+    named = classes.join(label, F.col("id") == F.col("node"), "left").select("set_a", "set_b", "rep", F.coalesce("component", "id").alias("component"))
+    smallest = named.groupBy("component").agg(F.min("rep").alias("component_id"))
+    named = named.join(smallest, "component").select("set_a", "set_b", "component_id")
+    out = drawn.select("doc_id", "print", "n_shingles", "set_a", "set_b").join(named, ["set_a", "set_b"], "left")
+    out = out.withColumn("component_id", F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id")))
+    kept = (F.col("doc_id").isNull() | (F.col("doc_id") == F.col("component_id"))).alias("kept")
+    out = written(out.select("doc_id", "n_shingles", "component_id", kept, *(["print"] if prints else [])), "components")
     discard(drawn, classes, links, more)
     return out

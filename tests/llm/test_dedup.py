@@ -89,6 +89,34 @@ def test_near_duplicates_dense_cloud_of_edits(spark):
     assert got == brute_components(docs)
 
 
+def test_near_duplicates_of_repeated_ids(spark):
+    """A doc_id that repeats with another text: both texts link."""
+    words = lambda c: " ".join(f"{c}{i}" for i in range(40))
+    rows = [(5, words("a")), (5, words("b")), (9, words("b") + " more"), (11, words("a") + " more"), (3, words("c"))]
+    for order in (rows, rows[::-1]):
+        out = minhash_dedup.near_duplicates(spark.createDataFrame(order, "doc_id long, text string").repartition(4)).collect()
+        assert sorted((r.doc_id, r.component_id, r.kept) for r in out) == [(3, 3, True), (5, 5, True), (5, 5, True), (9, 5, False), (11, 5, False)]
+    import corpus_pipeline
+
+    docs = spark.createDataFrame([*rows, (9, words("d"))], "doc_id long, text string")
+    assert sorted((r.doc_id, r.text[0]) for r in corpus_pipeline.drop_near_duplicates(spark, docs, SMALL).collect()) == [(3, "c"), (5, "a"), (5, "b"), (9, "d")]
+
+
+def test_near_duplicates_of_groups_just_apart(spark):
+    """Two large groups of edited copies whose texts are nearly, but not quite, similar enough across, with a few links between them."""
+    rng = random.Random(9)
+    base = [f"w{i}" for i in range(100)]
+    other = base[:94] + [f"v{i}" for i in range(6)]
+    docs = []
+    for i in range(160):
+        words = list(base if i % 2 else other)
+        for k in rng.sample(range(90), rng.randint(0, 3)):
+            words[k] = f"e{rng.randint(0, 3)}x{k}"
+        docs.append((i, " ".join(words)))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash_dedup.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == brute_components(docs)
+
+
 def test_near_duplicates_edge_cases(spark):
     schema = "doc_id long, text string, label string, n string"
     rows = [(1, "a b c d e f", "x", None), (1, "a b c d e f", "x", None), (None, "a b c d e f", None, None), (2, None, None, None), (3, "", None, None)]
