@@ -27,8 +27,9 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The smallest doc_id of each component of similar documents (0.85 or more on five-word shingles)."""
-    gone = written(near_duplicates(docs).where("NOT kept").select(F.col("doc_id").alias("_gone")).distinct(), "gone")
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    # A doc_id that repeats with another text is another document, so both name what goes.
+    gone = written(near_duplicates(docs, prints=True).where("NOT kept").select("doc_id", "print").distinct(), "gone")
+    return docs.join(gone, (docs["doc_id"] == gone["doc_id"]) & (F.xxhash64(docs["text"].cast("string")) == gone["print"]), "left_anti")
 
 
 def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
