@@ -141,10 +141,10 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def _open_pairs(member: DataFrame, sets: DataFrame, label: DataFrame, fits, percent: int) -> DataFrame:
     """Pairs of documents from buckets that hold several components, in different components, that can still reach the similarity.
 
-    A pair at the similarity shares one of the n - ceil(percent * n / 100) + 1 rarest shingles of each set of n. Exact bounds keep
-    the number low: a shingle that only one of these documents has cannot be common to any two, so the rest of a document's set (its
-    core) bounds each overlap, and so do the sums of the smaller core counts over parts of the hash range. Two documents that both have many
-    shingles of their own (heavy ones) cannot reach the similarity, so at least one of a pair is light.
+    A pair at the similarity shares one of the n - ceil(percent * n / 100) + 1 rarest shingles of each set of n; of the smaller set
+    even one of the n - ceil(2 * percent * n / (100 + percent)) + 1 rarest. Exact bounds keep the number low: a shingle that only one of these documents has cannot be common to any two, so the rest of a document's set (its
+    core) bounds each overlap, and so do the sums of the smaller core counts over parts of the hash range. A document with so many
+    shingles of its own that it reaches the similarity with smaller sets only (a heavy one) makes no pair with another such one.
     """
     tagged = member.join(label, F.col("id") == F.col("node"), "left").select("mark", "id", "size", F.coalesce("component", "id").alias("component"))
     mixed = tagged.groupBy("mark").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("n")).where("lo < hi AND n > 2").select("mark")
@@ -157,19 +157,30 @@ def _open_pairs(member: DataFrame, sets: DataFrame, label: DataFrame, fits, perc
     core = core.select("id", "core", F.transform(F.sequence(F.lit(0), F.lit(_PARTS - 1)), lambda k: F.coalesce(F.try_element_at("by", k), F.lit(0))).alias("parts"))
     # Rarest shingles first; those that no other document has fill places of the prefix, but make no pair.
     rank = F.row_number().over(Window.partitionBy("id").orderBy("df", "x"))
-    prefix = each.withColumn("rank", rank).where(F.col("rank") <= F.col("size") - F.ceil(F.lit(percent) * F.col("size") / F.lit(100)) + 1).where("df > 1")
-    across = prefix.groupBy("x").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("x")
-    posts = prefix.join(across, "x", "left_semi").join(core, "id").where(F.lit(100) * F.col("core") >= F.lit(percent) * F.col("size"))
-    heavy = F.lit(2 * percent) * (F.col("size") - F.col("core")) > F.lit(100 - percent) * F.col("size")
-    # Written, so that the join reads both sides from shuffles and the rows of a very common shingle can be split.
-    posts = written(posts.select("x", "id", "size", "component", "core", "parts", heavy.alias("heavy")), "posts")
-    u = posts.where("NOT heavy").select("x", F.col("id").alias("a"), F.col("size").alias("na"), F.col("core").alias("ka"), F.col("component").alias("ca"), F.col("parts").alias("pa"))
-    v = posts.select("x", F.col("id").alias("b"), F.col("size").alias("nb"), F.col("core").alias("kb"), F.col("component").alias("cb"), F.col("parts").alias("pb"), "heavy")
+    n = F.col("size")
+    prefix = each.withColumn("rank", rank).where(F.col("rank") <= n - F.ceil(F.lit(percent) * n / F.lit(100)) + 1).where("df > 1")
+    # The smaller of a pair (or both of equal size) needs the overlap of two sets of its own size at least: a shorter prefix.
+    short = F.col("rank") <= n - F.ceil(F.lit(2 * percent) * n / F.lit(100 + percent)) + 1
+    heavy = F.lit(100 + percent) * F.col("core") < F.lit(2 * percent) * n
+    posts = prefix.withColumn("short", short).join(core, "id").where(F.lit(100) * F.col("core") >= F.lit(percent) * n)
+    posts = posts.select("x", "id", "size", "component", "core", "parts", heavy.alias("heavy"), "short")
+    of_x = posts.groupBy("x").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min(F.when(F.col("short"), n)).alias("least"), F.max("size").alias("most"))
+    # Written, so that the joins read both sides from shuffles and the rows of a very common shingle can be split.
+    posts = written(posts.join(of_x.where("lo < hi").select("x", "least", "most"), "x"), "posts")
+    names = {"id": "", "size": "n", "component": "c", "core": "k", "parts": "p", "heavy": "h"}
+    side = lambda rows, s: rows.select("x", *[F.col(c).alias(p + s) for c, p in names.items()])
+    short = side(posts.where("short"), "b")
     enough = lambda overlap: F.lit(100 + percent) * overlap >= F.lit(percent) * (F.col("na") + F.col("nb"))
-    reach = enough(F.least("ka", "kb"))
-    reach_by_part = enough(F.aggregate(F.zip_with("pa", "pb", lambda x, y: F.least(x, y)), F.lit(0), lambda acc, x: acc + x))
-    on = (u["x"] == v["x"]) & (F.col("ca") != F.col("cb")) & (F.col("heavy") | (F.col("a") < F.col("b"))) & fits(F.col("na"), F.col("nb")) & reach & reach_by_part
-    out = written(u.join(v, on).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "rest")
+    shares = enough(F.aggregate(F.zip_with("pa", "pb", lambda x, y: F.least(x, y)), F.lit(0), lambda acc, x: acc + x))
+    reach = (F.col("ca") != F.col("cb")) & fits(F.col("na"), F.col("nb")) & enough(F.least("ka", "kb")) & shares
+    larger = (F.col("na") < F.col("nb")) & reach
+    some = side(posts.where("short AND size < most"), "a")
+    more = side(posts.where("size > least"), "b")
+    pairs = [side(posts.where("short AND NOT heavy"), "a").join(short.withColumnRenamed("x", "y"), (F.col("x") == F.col("y")) & (F.col("na") == F.col("nb")) & (F.col("hb") | (F.col("a") < F.col("b"))) & reach),
+             some.where("NOT ha").join(more.withColumnRenamed("x", "y"), (F.col("x") == F.col("y")) & larger),
+             some.where("ha").join(more.where("NOT hb").withColumnRenamed("x", "y"), (F.col("x") == F.col("y")) & larger)]
+    pairs = [p.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")) for p in pairs]
+    out = written(pairs[0].union(pairs[1]).union(pairs[2]).distinct(), "rest")
     discard(open_, each, posts)
     return out
 
@@ -191,10 +202,15 @@ def near_duplicates(docs: DataFrame, percent: int = 85, width: int = 5, bands: i
     classes = classes.select("set_a", "set_b", "size", F.col("m.doc_id").alias("rep"), F.col("m.print").alias("print"), F.col("m.marks").alias("marks"))
     classes = written(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
     rows_ = classes.select("id", "set_a", "set_b", "size", F.posexplode("marks").alias("band", "mark"))
-    shared = rows_.groupBy("mark").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("mark")
-    member = written(rows_.join(shared, "mark", "left_semi"), "members")
-    # A leader per bucket, drawn by one of four orders, so that a large group is not tied to one leader.
-    draw = F.struct(F.xxhash64("set_a", "set_b", F.col("band") % 4), "set_a", "set_b")
+    shared = rows_.groupBy("mark").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    member = drawn_members = written(rows_.join(shared, "mark"), "members")
+    # A leader per bucket: in half of the bands the member whose buckets are the largest, which is the most central of a group of
+    # edited copies; in the others one drawn by one of two orders, so that a large group is not tied to one leader.
+    weigh = member.groupBy("id").agg(F.sum("n").alias("weight"))
+    member = written(member.join(weigh, "id"), "members")
+    discard(drawn_members)
+    chance = F.xxhash64("set_a", "set_b", F.col("band") % 4)
+    draw = F.struct(F.when(F.col("band") % 2 == 0, -F.col("weight")).otherwise(F.lit(0)), chance, "set_a", "set_b")
     # Written, so that the join reads both sides from shuffles and the rows of a very large bucket can be split.
     leads = written(member.groupBy("mark").agg(F.min_by("id", draw).alias("lead"), F.min_by("size", draw).alias("lead_size")), "leads")
     # |A| / |B| bounds the similarity: sizes too far apart need no comparison.
