@@ -4,25 +4,30 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share (spark.checkpoint.dir); one is set only where none is, as in tests."""
+    """The folder all executors share (spark.checkpoint.dir). Without one a cluster raises; a single machine gets one, as in tests."""
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not path:
         current = spark.sparkContext._jsc.sc().getCheckpointDir()
         if current.isDefined():
             return current.get()
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="tessera-")
         spark.sparkContext.setCheckpointDir(path)
     return path
 
 
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Arrow batches of at most ``rows`` rows in this session, so that a Python worker holds few texts at once."""
+    """Arrow batches of at most ``rows`` rows from here on in this session (the setting stays, as plans run later), so that a Python
+    worker holds few texts at once."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(key, "10000")) <= rows:
         spark.conf.set(key, str(rows))
@@ -35,9 +40,48 @@ def written(df: DataFrame, label: str = "t") -> DataFrame:
     df.write.parquet(path)
     out = df.sparkSession.read.schema(schema).parquet(path)
     out._written_at = path
+    for tables in _open:
+        tables.append(out)
     return out
 
 
+_open: list[list[DataFrame]] = []
+
+
+@contextmanager
+def scratch():
+    """Gives a function that marks a table from :func:`written` as kept; the other tables written inside are deleted at the end. For
+    callers that write a result within, so that no plan needs the tables any more."""
+    tables: list[DataFrame] = []
+    kept: list[DataFrame] = []
+    _open.append(tables)
+
+    def keep(df: DataFrame) -> DataFrame:
+        kept.append(df)
+        return df
+
+    try:
+        yield keep
+    finally:
+        _open.remove(tables)
+        discard(*[t for t in tables if all(t is not k for k in kept)])
+
+
+def packed(df: DataFrame, names: list[str]) -> tuple[DataFrame, Callable[[DataFrame, list], DataFrame]]:
+    """``df`` with columns ``names`` and all others in one struct, so that no step meets a clashing name; and a function that selects the
+    original columns and some new ones (a new one replaces one of its name) from a frame made of that."""
+    others = [c for c in df.columns if c not in names]
+    here = lambda c: F.col("`" + c.replace("`", "``") + "`")
+    box = F.struct(*[here(c) for c in others]) if others else F.lit(None).cast("string")
+    rows = df.select(*[here(c) for c in names], box.alias("_others"))
+
+    def opened(made: DataFrame, new: list[str]) -> DataFrame:
+        fields = [here(c) if c in names else F.col("_others").getField(c).alias(c) for c in df.columns if c.lower() not in {n.lower() for n in new}]
+        return made.select(*fields, *[here(n) for n in new])
+
+    return rows, opened
+
+
 def discard(*frames: DataFrame) -> None:
     """Delete tables from :func:`written` that no plan needs any more."""
     for df in frames:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import ordered, running_sum, with_position, written
+from tessera.llm.common import ordered, packed, running_sum, with_position, written
 
 
 def hilbert_index(coords: np.ndarray, bits: int) -> np.ndarray:
@@ -78,7 +78,7 @@ def value_cells(df: DataFrame, name: str, bits: int) -> DataFrame:
 def hilbert_shards(docs: DataFrame, shards: int = 8, categories: tuple[str, ...] = ("lang", "source"), size: str = "size",
                    ties: tuple[str, ...] = ("text_crc32", "doc_id"), bits: int = 6) -> DataFrame:
     """``docs`` with curve (long), shard (int) and slot (long). ``size`` and ``ties`` name columns of ``docs``."""
-    docs = docs.drop("curve", "shard", "slot")
+    docs, opened = packed(docs, list(dict.fromkeys([*categories, size, *ties])))
     cells = []
     for i, name in enumerate(categories):
         v = value_cells(docs, name, bits).select(F.col("v").alias(f"_v{i}"), F.col("cell").alias(f"_c{i}"))
@@ -87,10 +87,10 @@ def hilbert_shards(docs: DataFrame, shards: int = 8, categories: tuple[str, ...]
         cells.append(F.col(f"_c{i}"))
     log = F.floor(F.log2(F.greatest(F.col(size), F.lit(1))) * F.lit((1 << bits) / 40.0))
     cells.append(F.least(F.greatest(log, F.lit(0)), F.lit((1 << bits) - 1)))
-    packed = F.lit(0).cast("long")
+    cell = F.lit(0).cast("long")
     for c in cells:
-        packed = F.shiftleft(packed, bits).bitwiseOR(c.cast("long"))
-    docs = docs.withColumn("_cell", packed).drop(*[f"_c{i}" for i in range(len(categories))])
+        cell = F.shiftleft(cell, bits).bitwiseOR(c.cast("long"))
+    docs = docs.withColumn("_cell", cell).drop(*[f"_c{i}" for i in range(len(categories))])
     # As many rows as cells are in use, at most 2**(dimensions * bits): of fixed size however many rows there are.
     curve = curve_table(docs.select("_cell"), len(cells), bits)
     placed = docs.join(F.broadcast(curve) if len(cells) * bits <= 20 else curve, "_cell").drop("_cell")
@@ -98,12 +98,12 @@ def hilbert_shards(docs: DataFrame, shards: int = 8, categories: tuple[str, ...]
     rows = with_position(srt, "_pos")
     total = srt.count()
     first = F.floor((F.col("shard").cast("long") * F.lit(total) + F.lit(shards - 1)) / F.lit(shards))
-    return (rows.withColumn("shard", F.floor(F.col("_pos") * F.lit(shards) / F.lit(max(total, 1))).cast("int"))
-            .withColumn("slot", F.col("_pos") - first).drop("_pos", "_mid"))
+    out = rows.withColumn("shard", F.floor(F.col("_pos") * F.lit(shards) / F.lit(max(total, 1))).cast("int")).withColumn("slot", F.col("_pos") - first)
+    return opened(out, ["curve", "shard", "slot"])
 
 
 def measured(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` with size (UTF-8 bytes of the text plus 1) and text_crc32 (unsigned)."""
+    """``docs`` with size (UTF-8 bytes of the text plus 1) and text_crc32 (unsigned), in place of columns of these names."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     return docs.withColumn("size", F.octet_length(text).cast("long") + 1).withColumn("text_crc32", F.crc32(text.cast("binary")))
 

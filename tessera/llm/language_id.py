@@ -163,28 +163,28 @@ def language_columns(docs: DataFrame, text_col: str = "text", declared_col: str
                      strength: float = 20.0, least: float = 0.5, broadcast_hosts: int = 100_000, keep_text: bool = True) -> DataFrame:
     """``docs`` with language, text_language, posterior, accepted added (replacing columns of these names).
 
-    ``host`` and ``suffix`` are columns over ``docs``: the host name, and the address's last label. Without ``keep_text`` the
-    result lacks the text and the texts are scanned once; else twice, for the priors and for the result.
+    ``host`` and ``suffix`` are columns over ``docs``: the host name, and the address's last label. Texts are scanned
+    once and written with their likelihoods; without ``keep_text`` neither that table nor the result has the text.
     """
     small_batches(docs.sparkSession)
     docs = docs.drop("language", "text_language", "posterior", "accepted")
     k = len(languages)
     tables = fit_trigrams(docs, text_col, declared_col, key_col, languages, fit_rows)
     seen = likelihood_column(tables, effective)
-    ll, hcol, pcol, ccol = fresh(docs, "_ll", "_host", "_prior", "_post")
+    ll, hcol, pcol, ccol, known_host = fresh(docs, "_ll", "_host", "_prior", "_post", "_known_host")
     host = F.lower(host) if host is not None else F.lit(None).cast("string")
     with_ll = docs.withColumn(hcol, host).withColumn(ll, seen(F.col(text_col)))
     if not keep_text:
-        with_ll = written(with_ll.drop(text_col), "evidence")
-        docs = docs.drop(text_col)
+        with_ll, docs = with_ll.drop(text_col), docs.drop(text_col)
+    with_ll = written(with_ll, "evidence")  # the texts are scanned once, for the priors and for the result
     text_post = _softmax([F.col(ll)[i] for i in range(k + 1)])
     has = F.col(ll)[k + 1] > 0
     evidence = with_ll.where(has).select(F.col(hcol).alias("host"), *[p.alias(f"s{i}") for i, p in enumerate(text_post)])
-    priors, overall = host_priors(written(evidence, "evidence") if keep_text else evidence, [f"s{i}" for i in range(k + 1)], strength)
-    priors = priors.select(F.col("host").alias("_h_"), F.col("prior").alias(pcol))
+    priors, overall = host_priors(evidence, [f"s{i}" for i in range(k + 1)], strength)
+    priors = priors.select(F.col("host").alias(known_host), F.col("prior").alias(pcol))
     if priors.count() <= broadcast_hosts:  # rows of fixed size; beyond that a shuffled join
         priors = F.broadcast(priors)
-    rows = with_ll.join(priors, F.col(hcol) == F.col("_h_"), "left").drop("_h_")
+    rows = with_ll.join(priors, F.col(hcol) == F.col(known_host), "left").drop(known_host)
     declared = F.lower(F.col(declared_col))
     points = F.lit(None).cast("string")
     if suffix is not None:

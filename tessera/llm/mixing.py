@@ -11,7 +11,7 @@ all rows is spread over many tasks.
 
 Defined results: null or blank text has size 0 and is taken with 0 words; null is a source of its own and the last;
 rows that repeat are queued one by one; an empty table gives an empty mix; reruns agree, as places depend on doc_id
-and seed only.
+and seed only. Other columns are carried along.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import discard, ordered, running_sum, with_position, written
+from tessera.llm.common import discard, ordered, packed, running_sum, with_position, written
 
 
 def word_count(text: Column) -> Column:
@@ -27,36 +27,36 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit("[^\\x20\\x09-\\x0D]+")), F.lit(0)).cast("long")
 
 
-def source_targets(sources: DataFrame, budget: int, repeats: int, max_rounds: int = 1000) -> DataFrame:
-    """``sources`` (source, source_size, weight) with target: shares of the budget by weight, none above ``repeats``
-    times its size, the excess reshared until none is above. Each round is one aggregate of two numbers. ``max_rounds`` only guards
-    against an endless loop: it raises, nothing is cut."""
-    cap = F.col("source_size") * repeats
-    level = 0.0
-    total_weight = sources.agg(F.sum("weight")).first()[0] or 1
-    nxt = budget / total_weight
-    for _ in range(max_rounds):
-        if nxt <= level:
-            break
-        level = nxt
-        full = cap <= F.lit(level) * F.col("weight")
-        r = sources.agg(F.sum(F.when(full, cap)).alias("c"), F.sum(F.when(~full, F.col("weight"))).alias("w")).first()
-        if not r.w:
-            break
-        nxt = (budget - (r.c or 0)) / r.w
-    else:
-        if nxt > level:
-            raise RuntimeError(f"source_targets did not settle in {max_rounds} rounds")
-    return sources.withColumn("target", F.least(cap.cast("double"), F.lit(level) * F.col("weight")))
+def source_targets(sources: DataFrame, budget: int, repeats: int) -> DataFrame:
+    """``sources`` (source, source_size, weight, ...) with target: shares of the budget by weight, none above ``repeats`` times its
+    size, the excess reshared until none is above.
+
+    In closed form: targets are min(cap, level * weight) for the level at which they add up to the budget. With the sources sorted
+    by cap / weight, those below the level are full, so running sums of caps and weights give the level.
+    """
+    cap = (F.col("source_size") * repeats).cast("double")
+    srt = ordered(sources.select("source", cap.alias("cap"), F.col("weight").cast("double").alias("weight"), (cap / F.col("weight")).alias("ratio")), ["ratio", F.col("source").asc_nulls_last()])
+    total = srt.agg(F.sum("weight")).first()[0] or 1.0
+    run = running_sum(running_sum(srt, "cap", "caps"), "weight", "weights")
+    filled = F.col("caps") + F.col("ratio") * (F.lit(total) - F.col("weights"))
+    level = (F.lit(float(budget)) - (F.col("caps") - F.col("cap"))) / (F.lit(total) - (F.col("weights") - F.col("weight")))
+    first = run.where(filled >= F.lit(float(budget))).agg(F.min(F.struct("ratio", "caps", level.alias("level")))).first()[0]  # one row
+    discard(srt)
+    target = F.least(cap, F.lit(first["level"]) * F.col("weight")) if first else cap
+    return sources.withColumn("target", target)
 
 
 def fair_mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), repeats: int = 3, share: float = 1.0, seed: int = 17) -> DataFrame:
-    """``docs`` must have doc_id, source, size. Adds source_size, target, runs (times taken) and taken (words).
+    """``docs`` must have doc_id, source, size. Adds source_size, target, runs (times taken) and taken (words), in place of columns
+    of these names.
 
     ``weights`` repeat over the sources in code point order, null last; ``share`` of all tokens is the budget.
     """
+    docs, opened = packed(docs, ["doc_id", "source", "size"])
     place = F.xxhash64(F.coalesce(F.col("doc_id"), F.lit(-1)), F.lit(seed))
-    srt = ordered(docs.withColumn("_place", place), [F.col("source").asc_nulls_last(), "_place", "doc_id", "size"])
+    sized = written(docs.withColumn("_place", place), "sizes")  # else the range sort's sampling counts the words a second time
+    srt = ordered(sized, [F.col("source").asc_nulls_last(), "_place", "doc_id", "size"])
+    discard(sized)
     by = srt.groupBy("source").agg(F.sum("size").alias("source_size"))
     ranked = with_position(ordered(by, [F.col("source").asc_nulls_last()]), "rank")
     weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("rank") % len(weights) + 1).cast("int"))
@@ -76,4 +76,5 @@ def fair_mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), repeats: i
     out = out.join(ranked, out["source"].eqNullSafe(ranked["_src"]))
     runs = F.coalesce(F.col("runs"), F.lit(0))
     keep = [out[c] for c in docs.columns]
-    return out.select(*keep, "source_size", "target", runs.alias("runs"), (runs * out["size"]).cast("long").alias("taken"))
+    out = out.select(*keep, "source_size", "target", runs.alias("runs"), (runs * out["size"]).cast("long").alias("taken"))
+    return opened(out, ["source_size", "target", "runs", "taken"])

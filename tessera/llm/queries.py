@@ -93,11 +93,11 @@ WITH d AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '{WHITE}', '
 SELECT doc_id, min(doc_id) OVER (PARTITION BY h) AS keep_id, count(*) OVER (PARTITION BY h) AS group_size,
        doc_id = min(doc_id) OVER (PARTITION BY h) AS kept, h AS text_sha256
 FROM d""",
-    "op9_chat_perspectives": """
-WITH base AS (SELECT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text FROM conversations),
+    "op9_chat_perspectives": r"""
+WITH base AS (SELECT conv_id, turn, coalesce(role, 'unknown') AS role, replace(coalesce(text, ''), '<|', '< |') AS text FROM conversations),
 sp AS (SELECT DISTINCT conv_id, role AS perspective FROM base WHERE role <> 'system'),
 r AS (SELECT base.*, perspective,
-        '<|im_start|>' || CASE WHEN role = 'system' THEN 'system' WHEN role = perspective THEN 'assistant' ELSE 'user name=' || role END || chr(10) AS head
+        '<|im_start|>' || CASE WHEN role = 'system' THEN 'system' WHEN role = perspective THEN 'assistant' ELSE 'user name=' || replace(regexp_replace(role, '[\x00-\x1F]+', ' ', 'g'), '<|', '< |') END || chr(10) AS head
       FROM base JOIN sp ON base.conv_id IS NOT DISTINCT FROM sp.conv_id),
 s AS (SELECT *, head || text || '<|im_end|>' || chr(10) AS segment FROM r),
 o AS (SELECT *, sum(length(segment)) OVER (PARTITION BY conv_id, perspective ORDER BY turn, role, text ROWS UNBOUNDED PRECEDING)::BIGINT AS char_end FROM s)

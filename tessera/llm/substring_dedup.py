@@ -6,7 +6,7 @@ where the hash is the smallest of the ``reach`` bytes on either side (the first
 of it), and without any after ``most`` bytes. Cuts fall between characters. Whether a byte is such a place depends on 32 + 2 * ``reach`` bytes
 around it and on no earlier cut, so in two copies of a passage the chunks fall into step at the first of them, and an
 insertion moves only the chunks around it. Chunks are deduplicated by a 128-bit digest: the occurrence with the smallest
-(doc_id, start) stays, every later one is a repeat. Runs of consecutive repeats are one span. A span counts when it has at
+(doc_id, text hash) stays, every later one is a repeat. Runs of consecutive repeats are one span. A span counts when it has at
 least ``least_words`` words. Repeats of a document's own chunks are no repeats across documents and stay.
 
 A span ends at cuts: at either edge of a passage the chunk that also covers bytes beside it, or whose end depends on them,
@@ -99,9 +99,10 @@ def _ends(cuts: np.ndarray, free: np.ndarray, offsets: np.ndarray, least: int, m
 
 
 def chunk_batches(batches: Iterator[pa.RecordBatch], reach: int, most: int) -> Iterator[pa.RecordBatch]:
-    """One row per chunk, positions in characters; and per document a row with no = -1 and end = its characters."""
+    """One row per chunk: place = its number in the document * 2**24 + its words, span = start * 2**32 + end in characters; and per
+    document a row with place = -1 and its characters as the span's end."""
     for batch in batches:
-        ids, row_keys = batch.column(0), batch.column(2)
+        ids, row_keys, prints = batch.column(0), batch.column(2), batch.column(3)
         for lo, hi, data, offsets in ts.slices(batch.column(1)):
             e, doc = local_ends(data, offsets, reach, most)
             s = np.concatenate([[0], e[:-1]]).astype(np.int64)[:len(e)]
@@ -115,10 +116,9 @@ def chunk_batches(batches: Iterator[pa.RecordBatch], reach: int, most: int) -> I
             n = hi - lo
             none = np.zeros(n, np.int64)
             at = pa.array(lo + np.concatenate([np.arange(n), doc]))
-            cols = [(none - 1, no), (none, a.view(np.int64)), (none, b.view(np.int64)), (none, chars[s] - base), (np.diff(chars[offsets]), chars[e] - base), (none, words)]
-            kinds = (np.int32, np.int64, np.int64, np.int32, np.int32, np.int32)
-            yield pa.RecordBatch.from_arrays([ids.take(at), row_keys.take(at), *(pa.array(np.concatenate(c).astype(k)) for c, k in zip(cols, kinds, strict=True))],
-                                             ["doc_id", "row", "no", "digest_a", "digest_b", "start", "end", "words"])
+            cols = [(none, a.view(np.int64)), (none, b.view(np.int64)), (none - 1, (no << 24) + words), (np.diff(chars[offsets]), ((chars[s] - base) << 32) + chars[e] - base)]
+            yield pa.RecordBatch.from_arrays([ids.take(at), row_keys.take(at), prints.take(at), *(pa.array(np.concatenate(c).astype(np.int64)) for c in cols)],
+                                             ["doc_id", "row", "print", "digest_a", "digest_b", "place", "span"])
 
 
 def repeated_spans(docs: DataFrame, reach: int = 21, most: int = 128, least_words: int = 16,
@@ -126,28 +126,32 @@ def repeated_spans(docs: DataFrame, reach: int = 21, most: int = 128, least_word
     """One row per row of ``docs``: doc_id, n_chars, n_chunks, n_repeated (chunks in spans), spans (start, end, words),
     n_removed (characters in spans)."""
     small_batches(docs.sparkSession)
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.monotonically_increasing_id().alias("row"))
-    schema = "doc_id long, row long, no int, digest_a long, digest_b long, start int, end int, words int"
+    text = F.col(text_col).cast("string")
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.monotonically_increasing_id().alias("row"), F.xxhash64(text).alias("print"))
+    schema = "doc_id long, row long, print long, digest_a long, digest_b long, place long, span long"
     every = written(texts.mapInArrow(ts.tidy(lambda it: chunk_batches(it, reach, most)), schema), "chunks")
-    chunks = every.where("no >= 0")
+    chunks = every.where("place >= 0")
     key = ["digest_a", "digest_b"]
-    twice = chunks.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    # Both written, so that the joins read both sides from shuffles and the rows of a very common chunk can be split.
+    twice = written(chunks.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "twice")
     shared = written(chunks.join(twice, key, "left_semi"), "shared")
-    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row")
-    # Written, so that the join below reads both sides from shuffles and a very common chunk's rows can be split.
+    # By content: among rows of one doc_id the text decides, so that reruns on other files mark the same texts.
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "print", "row")
     first = written(shared.groupBy(*key).agg(F.min(order).alias("first")), "first")
-    again = shared.join(first, key).where(F.col("row") != F.col("first.row")).select("row", "no", "start", "end", "words")
+    again = shared.join(first, key).where(F.col("row") != F.col("first.row"))
+    again = again.select("row", F.shiftright("place", 24).alias("no"), F.col("place").bitwiseAND((1 << 24) - 1).alias("words"),
+                         F.shiftright("span", 32).cast("int").alias("start"), F.col("span").bitwiseAND((1 << 32) - 1).cast("int").alias("end"))
     runs = again.withColumn("run", F.col("no") - F.row_number().over(Window.partitionBy("row").orderBy("no")))
     spans = (runs.groupBy("row", "run").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.sum("words").alias("words"), F.count(F.lit(1)).alias("n"))
              .where(F.col("words") >= least_words))
     spans = spans.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "end", "words"))).alias("spans"), F.sum("n").alias("n"), F.sum(F.col("end") - F.col("start")).alias("cut"))
-    whole = every.groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.max(F.when(F.col("no") < 0, F.col("end"))).alias("n_chars"), F.count_if(F.col("no") >= 0).alias("n_chunks"))
+    whole = every.groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.max(F.when(F.col("place") < 0, F.col("span"))).alias("n_chars"), F.count_if(F.col("place") >= 0).alias("n_chunks"))
     out = whole.join(spans, "row", "left")
     none = F.expr("cast(array() as array<struct<start:int,end:int,words:bigint>>)")
     out = out.select("doc_id", F.col("n_chars").cast("long").alias("n_chars"), "n_chunks", F.coalesce("n", F.lit(0)).cast("long").alias("n_repeated"),
                       F.coalesce("spans", none).alias("spans"), F.coalesce("cut", F.lit(0)).cast("long").alias("n_removed"))
     out = written(out, "spans")
-    discard(every, shared, first)
+    discard(every, twice, shared, first)
     return out
 
 

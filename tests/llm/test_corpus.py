@@ -265,9 +265,18 @@ def test_mixing_targets_never_stop_early(spark):
     sources = spark.createDataFrame([(str(i), 10 * 3 ** i, 1.0) for i in range(8)], "source string, source_size long, weight double")
     got = mixing.source_targets(sources, 20_000, 1)
     assert sum(r.target for r in got.collect()) == pytest.approx(20_000)
-    with pytest.raises(RuntimeError, match="settle"):
-        mixing.source_targets(sources, 20_000, 1, max_rounds=1)
-    assert mixing.source_targets(sources.limit(1), 5, 1, max_rounds=2).first().target == 5
+    for budget, repeats in ((20_000, 1), (60_000, 3), (7, 3), (10 ** 9, 2)):
+        got = {r.source: r.target for r in mixing.source_targets(sources, budget, repeats).collect()}
+        rows = {r.source: (r.source_size, r.weight) for r in sources.collect()}
+        left, free, want = float(budget), set(rows), {}
+        while free:  # one source after the other is full: as many rounds as sources here
+            unit = left / sum(rows[x][1] for x in free)
+            full = {x for x in free if unit * rows[x][1] > repeats * rows[x][0]}
+            want |= {x: repeats * rows[x][0] for x in full} if full else {x: unit * rows[x][1] for x in free}
+            left -= sum(want[x] for x in full)
+            free = free - full if full else set()
+        assert all(abs(got[x] - want[x]) <= 1e-6 * max(1, want[x]) for x in rows)
+    assert mixing.source_targets(sources.limit(1), 5, 1).first().target == 5
 
 
 def test_quality_is_accurate_on_held_out_rows(spark):
