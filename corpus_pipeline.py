@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import written
+from tessera.llm.common import discard, fresh, scratch, written
 from tessera.llm.decontamination import decontaminated
 from tessera.llm.hilbert_sharding import hilbert_shards, measured
 from tessera.llm.language_id import language_columns
@@ -41,13 +41,14 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it (0 to 3 times), weights 5, 2, 1 repeating over the sources."""
     mark = F.xxhash64("source", "text")
     sizes = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), mark.alias("mark"))
-    runs = fair_mix(sizes).where("runs > 0").groupBy(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark")).agg(F.max("runs").alias("_runs"))
-    rows = docs.join(written(runs, "runs"), docs["doc_id"].eqNullSafe(F.col("_id")) & (mark == F.col("_mark")))
-    return rows.withColumn("_run", F.explode(F.sequence(F.lit(1), F.col("_runs")))).select(*[docs[c] for c in docs.columns])
+    key, marked, times, run = fresh(docs, "_id", "_mark", "_runs", "_run")
+    runs = fair_mix(sizes).where("runs > 0").groupBy(F.col("doc_id").alias(key), F.col("mark").alias(marked)).agg(F.max("runs").alias(times))
+    rows = docs.join(written(runs, "runs"), docs["doc_id"].eqNullSafe(F.col(key)) & (mark == F.col(marked)))
+    return rows.withColumn(run, F.explode(F.sequence(F.lit(1), F.col(times)))).select(*[docs[c] for c in docs.columns])
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The rows with their place: curve, shard (0 to 7) and slot; plus size and text_crc32."""
+    """The rows with their place: curve, shard (0 to 7) and slot; plus size and text_crc32. These replace columns of their names."""
     return hilbert_shards(measured(docs), shards=8)
 
 
@@ -62,6 +63,11 @@ STAGES = [
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    last = None
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), name.split()[0])
+        with scratch() as keep:  # a stage's own tables go when its result is written, and so does what it read
+            docs = keep(written(stage(spark, docs, sf_dir), name.split()[0]))
+        if last is not None:
+            discard(last)
+        last = docs
     return STAGES[-1][1](spark, docs, sf_dir)
