@@ -57,23 +57,26 @@ def locate(needle: str, haystack: str, floor: float = 0.7, block: int = 4096) ->
     return where if best is not None and 1 - best / n > floor else None
 
 
-def cut_position(before: str, after: str, text: str, gap: int = 50, floor: float = 0.7) -> int | None:
-    """The end of the best match of ``before``; blanks are skipped where ``after`` follows within ``gap`` characters."""
-    at = locate(before, text, floor)
-    if at is None:
-        return None
-    cut = at + len(before)
-    follow = locate(after, text[cut:cut + len(after) + 100], floor)
-    if follow is None or follow > gap:
-        return cut
-    rest = text[cut:]
-    return cut + len(rest) - len(rest.lstrip(" \t"))
+def located(needle: Column, haystack: Column, floor: float = 0.7) -> Column:
+    """:func:`locate` as a column; null where either is null or nothing is similar enough."""
+    @F.arrow_udf("int")
+    def at(needle: pa.Array, haystack: pa.Array) -> pa.Array:
+        return pa.array([locate(n, h, floor) for n, h in zip(needle.to_pylist(), haystack.to_pylist(), strict=True)], pa.int32())
+
+    return at(needle, haystack)
+
+
+#: A text that is to follow a cut starts at most so many characters behind it, and is looked for in so many more than its own length.
+_FOLLOWS_WITHIN, _LOOK_AHEAD = 50, 100
 
 
 def cut_position_of(before: Column, after: Column, text: Column) -> Column:
-    @F.arrow_udf("int")
-    def cut(before: pa.Array, after: pa.Array, text: pa.Array) -> pa.Array:
-        rows = zip(before.to_pylist(), after.to_pylist(), text.to_pylist(), strict=True)
-        return pa.array([cut_position(b or "", a or "", t or "") for b, a, t in rows], pa.int32())
+    """Where a text is cut: behind the place most like ``before``, null without such a place. Where ``after`` follows closely, the cut
+    also leaves the blanks and tabs between to the first part.
 
-    return cut(before, after, text)
+    Only the two searches run in Python; each is a column of its own, the rest are built-in expressions.
+    """
+    cut = located(before, text) + F.length(before)
+    window = F.substr(text, cut + 1, F.length(after) + _LOOK_AHEAD)
+    blanks = F.length(F.regexp_extract(F.substr(text, cut + 1), r"^[ \t]*", 0))
+    return cut + F.when(located(after, window) <= _FOLLOWS_WITHIN, blanks).otherwise(0)

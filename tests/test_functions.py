@@ -69,6 +69,10 @@ def test_fields_and_blocks(spark):
     assert one(spark, responses.field_value(F.col("t"), "other"), t='{"name": "x"}') is None
     assert responses.json_blocks('a {"x": 1} b {"y": {"z": 2}} {} {bad') == ['{"x": 1}', '{"y": {"z": 2}}']
     assert responses.json_blocks(None) == []
+    assert responses.json_blocks("{'a': 1} {\"b\": \"}{\"} {broken {\"c\": 2}") == ['{"a": 1}', '{"b": "}{"}', '{"c": 2}']
+    assert one(spark, responses.field_value(F.col("t"), "name"), t="{name: 'it is \\'so\\'', \"name\": \"late\"") == "it is 'so'"
+    assert one(spark, responses.field_value(F.col("t"), "name"), t='{"surname": "x", "name": "a \\"b\\"\\nc", ') == 'a "b"\nc'
+    assert one(spark, responses.field_value(F.col("t"), "name"), t='{"name": "' + "x\\n" * 5000 + '",') == "x\n" * 5000
 
 
 def distance(a, b):
@@ -103,10 +107,15 @@ def test_best_match_column(spark):
     assert all(r.at == model_match(r.n, r.h) for r in got)
 
 
-def test_cut_position():
-    assert edit_distance.cut_position("end of a", "Start", "x end of a   Start b") == 13
-    assert edit_distance.cut_position("end of a", "nowhere at all", "x end of a   Start b") == 10
-    assert edit_distance.cut_position("zzzzzz", "a", "x end of a") is None
+def test_cut_position(spark):
+    def cut(before, after, text):
+        return one(spark, edit_distance.cut_position_of(F.col("b"), F.col("a"), F.col("t")), b=before, a=after, t=text)
+
+    assert cut("end of a", "Start", "x end of a   Start b") == 13
+    assert cut("end of a", "nowhere at all", "x end of a   Start b") == 10
+    assert cut("zzzzzz", "a", "x end of a") is None
+    assert cut("end of a", "Start", "x end of a" + " " * 60 + "Start b") == 10
+    assert cut("", "a", "x") is None
 
 
 @settings(max_examples=40, deadline=None)
