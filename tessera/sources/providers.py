@@ -173,15 +173,28 @@ def parsed_files(files: DataFrame, converters: dict[str, Callable[[bytes], str]]
     return files.select("path", "parser", "status", "message", "content").mapInPandas(parse, schema)
 
 
+#: How PDF, zipped (office, EPUB) and old office files begin.
+BINARY_STARTS = (b"%PDF", b"PK\x03\x04", b"\xd0\xcf\x11\xe0")
+
+
 def text_converters() -> dict[str, Callable[[bytes], str]]:
-    """Converters for what needs no extra library: plain text, Markdown and HTML by content."""
+    """Converters for what needs no extra library: plain text, Markdown and HTML by content, and tables as JSON records. A binary
+    document is an error here, as it needs a converter of its own; so is a workbook where no library reads it."""
     from tessera.sources.markup import markdown_of
 
     def plain(content: bytes) -> str:
+        if content.startswith(BINARY_STARTS) or b"\0" in content[:8192]:
+            raise ValueError("binary document: give a converter for it")
         text = content.decode("utf-8", "replace")
         return markdown_of(text) if text.lstrip()[:200].lower().startswith(("<!doctype html", "<html")) else text
 
-    return {"markitdown": plain}
+    def records(content: bytes) -> str:
+        import io
+
+        read = pd.read_excel if content.startswith(BINARY_STARTS) else pd.read_csv
+        return read(io.BytesIO(content)).to_json(orient="records", indent=2, force_ascii=False)
+
+    return {"markitdown": plain, "tabular": records}
 
 
 def web_results_text(results: F.Column) -> F.Column:

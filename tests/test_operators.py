@@ -1,5 +1,6 @@
 """Segmentation, graph, clustering, resolution, workspace, sources and incremental runs on small inputs and plain models."""
 
+import json
 import random
 import re
 
@@ -248,7 +249,8 @@ def test_readers(spark, tmp_path):
     assert [r.record for r in readers.read_csv_records(spark, root + "/t.csv").collect()] == ['{"a":1,"b":"x"}', '{"a":null,"b":"y"}']
     files = routing.routed_files(readers.list_files(spark, root, content=True))
     got = {r.source_path.rsplit("/", 1)[1]: (r.status, r.text) for r in providers.parsed_files(files, providers.text_converters()).collect()}
-    assert got["a.md"] == ("success", "# A") and got["t.csv"][0] == "failed"
+    assert got["a.md"] == ("success", "# A") and got["t.csv"][0] == "success"
+    assert json.loads(got["t.csv"][1]) == [{"a": 1, "b": "x"}, {"a": None, "b": "y"}]
     broken = spark.createDataFrame([("x.xlsx", b"no workbook")], "path string, content binary")
     assert readers.read_excel_records(spark, broken).first().error
 

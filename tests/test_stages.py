@@ -61,3 +61,16 @@ def test_command_line(spark, tmp_path, capsys):
     assert cli.main(["assemble", str(tmp_path / "skus"), str(tmp_path / "work")]) == 0
     assert (tmp_path / "work" / "mapping.md").read_text() == "in skus/factual/sku_001" and (tmp_path / "work" / "README.md").exists()
     assert "Total SKUs: 1" in capsys.readouterr().out
+
+
+def test_binary_documents_fail_and_tables_become_records(spark, tmp_path):
+    import json
+
+    (tmp_path / "a.pdf").write_bytes(b"%PDF-1.7 \x00\x01")
+    (tmp_path / "b.docx").write_bytes(b"PK\x03\x04rest")
+    (tmp_path / "c.csv").write_text("name,n\nä,1\n,2\n", encoding="utf-8")
+    (tmp_path / "d.md").write_text("# Title", encoding="utf-8")
+    got = {r.source_path.rsplit("/", 1)[1]: r for r in stages.parse(spark, str(tmp_path)).collect()}
+    assert [got[n].status for n in ("a.pdf", "b.docx", "c.csv", "d.md")] == ["failed", "failed", "success", "success"]
+    assert "converter" in got["a.pdf"].error_message and got["a.pdf"].text is None
+    assert json.loads(got["c.csv"].text) == [{"name": "ä", "n": 1}, {"name": None, "n": 2}]
