@@ -59,6 +59,13 @@ def truncate_tokens(text: Column, n: int) -> Column:
     return F.left(text, F.lit(4 * n))
 
 
+class Estimate:
+    """Tokens by the estimate, with the methods of :class:`tessera.functions.bpe.Tokens` that chunking asks for."""
+
+    count = staticmethod(tokens)
+    truncated = staticmethod(truncate_tokens)
+
+
 def token_window(text: Column, start: int, n: int) -> Column:
     """Tokens [start, start + n) of the estimate's tokens of four characters; out of range is clamped."""
     return F.substring(text, 4 * max(start, 0) + 1, 4 * max(n, 0))

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.operators.components import connected
+
 #: The predicates an edge may have.
 PREDICATES = ("is-a", "has-a", "part-of", "causes", "caused-by", "requires", "enables", "contradicts", "related-to", "depends-on", "regulates", "implements", "example-of")
 
@@ -90,54 +94,76 @@ def glossary_upsert(terms: DataFrame) -> DataFrame:
     return out.withColumn("aliases", kept).drop("_k")
 
 
-def alias_components(terms: DataFrame, rounds: int = 40) -> DataFrame:
-    """(name, component): lower-cased terms and aliases that hang together, by label propagation over (term, alias) pairs."""
-    pairs = terms.select(F.lower("term").alias("t"), F.explode(F.array_distinct(F.concat(F.array("term"), F.coalesce("aliases", F.expr("cast(array() as array<string>)"))))).alias("a"))
-    pairs = pairs.select("t", F.lower("a").alias("a")).distinct()
-    both = pairs.select(F.col("t").alias("x"), F.col("a").alias("y")).union(pairs.select("a", "t")).distinct().persist()
-    labels = both.groupBy(F.col("x").alias("name")).agg(F.min("y").alias("component")).persist()
-    try:
-        for _ in range(rounds):
-            near = both.join(labels, both["y"] == labels["name"]).groupBy("x").agg(F.min("component").alias("near"))
-            step = labels.join(near, labels["name"] == near["x"]).select("name", F.least("component", "near").alias("component"), (F.col("near") < F.col("component")).alias("moved"))
-            step = step.checkpoint() if step.sparkSession.sparkContext._jsc.sc().getCheckpointDir().isDefined() else step.persist()
-            if not step.where("moved").limit(1).count():
-                return step.select("name", "component")
-            labels = step.drop("moved")
-    finally:
-        both.unpersist()
-    raise RuntimeError("alias components did not settle")
+def alias_components(terms: DataFrame) -> DataFrame:
+    """``terms`` with ``component``, equal for entries whose terms and aliases hang together, ignoring case.
+
+    Names meet as 64-bit hashes. Two names of one hash would only put two components into one, and a fold compares the names themselves.
+    """
+    name = F.xxhash64(F.lower("term"))
+    links = terms.select(name.alias("a"), F.explode("aliases").alias("alias")).select("a", F.xxhash64(F.lower("alias")).alias("b"))
+    found = connected(links)
+    return terms.withColumn("_name", name).join(found, F.col("_name") == F.col("node"), "left").withColumn("component", F.coalesce("component", "_name")).drop("_name", "node")
 
 
 _ENTRY = "ord long, term string, definition string, labels array<string>, source_chunks array<string>, aliases array<string>, related_terms array<string>"
+_LISTS = ("labels", "source_chunks", "aliases", "related_terms")
+
+
+class _Fold:
+    """The entries of one component so far, found by any of their names."""
+
+    def __init__(self):
+        self.kept: list[dict] = []
+        self.names: dict[str, int] = {}  # the first entry that has a name
+
+    def add(self, e: dict) -> None:
+        name = e["term"].lower()
+        lists = {k: list(e[k]) if e[k] is not None else [] for k in _LISTS}
+        at = self.names.get(name)
+        if at is None:
+            at = len(self.kept)
+            self.kept.append({"ord": e["ord"], "term": e["term"], "definition": e["definition"] or "", **lists, "_low": {a.lower() for a in lists["aliases"]}, "_seen": {k: set(lists[k]) for k in _LISTS}})
+            for n in (name, *(a.lower() for a in lists["aliases"])):
+                self.names.setdefault(n, at)
+            return
+        hit = self.kept[at]
+        if len(e["definition"] or "") > len(hit["definition"]):
+            hit["definition"] = e["definition"]
+        for k in ("labels", "source_chunks", "related_terms"):
+            new = [x for x in dict.fromkeys(lists[k]) if x not in hit["_seen"][k]]
+            hit[k] += new
+            hit["_seen"][k].update(new)
+        for a in lists["aliases"]:
+            if a and a.lower() != hit["term"].lower() and a.lower() not in hit["_low"]:
+                hit["aliases"].append(a)
+                hit["_low"].add(a.lower())
+                self.names[a.lower()] = min(at, self.names.get(a.lower(), at))
 
 
 def glossary_fold(terms: DataFrame) -> DataFrame:
-    """Like :func:`glossary_upsert`, also when a term is an alias of an earlier entry: an order-dependent fold, run per
-    connected component of terms and aliases."""
-    comp = alias_components(terms)
-    rows = terms.join(comp, F.lower("term") == F.col("name")).drop("name")
-
-    def fold(frame: pd.DataFrame) -> pd.DataFrame:
-        kept: list[dict] = []
-        for e in frame.sort_values("ord").to_dict("records"):
-            name = e["term"].lower()
-            lists = {k: list(e[k]) if e[k] is not None else [] for k in ("labels", "source_chunks", "aliases", "related_terms")}
-            hit = next((k for k in kept if k["term"].lower() == name or name in {a.lower() for a in k["aliases"]}), None)
-            if hit is None:
-                kept.append({"ord": e["ord"], "term": e["term"], "definition": e["definition"] or "", **lists})
-                continue
-            if len(e["definition"] or "") > len(hit["definition"]):
-                hit["definition"] = e["definition"]
-            for k in ("labels", "source_chunks", "related_terms"):
-                hit[k] += [x for x in dict.fromkeys(lists[k]) if x not in hit[k]]
-            for a in lists["aliases"]:
-                if a and a.lower() != hit["term"].lower() and a.lower() not in {x.lower() for x in hit["aliases"]}:
-                    hit["aliases"].append(a)
-        return pd.DataFrame(kept, columns=["ord", "term", "definition", "labels", "source_chunks", "aliases", "related_terms"])
-
-    cols = ["ord", "term", "definition", "labels", "source_chunks", "aliases", "related_terms"]
-    return rows.select("component", *cols).groupBy("component").applyInPandas(lambda f: fold(f), _ENTRY)
+    """Like :func:`glossary_upsert`, also when a term is an alias of an earlier entry: an order-dependent fold within each connected component of terms and aliases.
+
+    A task folds many components one after another, from rows sorted by component and order; it holds the entries of one component at a time.
+    """
+    names = [c.split()[0] for c in _ENTRY.split(", ")]
+
+    def fold(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        now, state, out = None, _Fold(), []
+        frame_of = lambda rows: pd.DataFrame(rows, columns=names)
+        for frame in frames:
+            for e in frame.to_dict("records"):
+                if e["component"] != now:
+                    out += state.kept
+                    now, state = e["component"], _Fold()
+                state.add(e)
+            if len(out) >= 1000:
+                yield frame_of(out)
+                out = []
+        if out or state.kept:
+            yield frame_of(out + state.kept)
+
+    rows = alias_components(terms).select("component", *names)
+    return rows.repartition("component").sortWithinPartitions("component", "ord").mapInPandas(fold, _ENTRY)
 
 
 def glossary_lookup(glossary: DataFrame, name: str) -> DataFrame:

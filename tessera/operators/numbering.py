@@ -2,19 +2,34 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.durable import new_folder, table_at, written
+
 
 def numbered_globally(rows: DataFrame, order: list[str | Column], out: str, start: int = 1) -> DataFrame:
     """``rows`` with ``out`` = start, start + 1, ... in the given order.
 
-    The rows are range-partitioned and sorted once, and kept on disk; only one count per partition meets in one place.
+    The rows are range-partitioned, sorted and written once to the shared folder; only one count per partition meets in one place.
     """
-    srt = rows.orderBy(*order).withColumn("_mid", F.monotonically_increasing_id()).persist(StorageLevel.DISK_ONLY)
+    srt = written(rows.orderBy(*order).withColumn("_mid", F.monotonically_increasing_id()), "numbered")
     counts = srt.groupBy(F.shiftright("_mid", 33).alias("_pid")).agg(F.count(F.lit(1)).alias("_n"))
     before = F.coalesce(F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     offsets = counts.select("_pid", before.alias("_before"))
     joined = srt.join(F.broadcast(offsets), F.shiftright("_mid", 33) == F.col("_pid"))  # as many rows as partitions
     return joined.withColumn(out, F.col("_before") + F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1)) + start).drop("_mid", "_pid", "_before")
+
+
+def in_batches(rows: DataFrame, order: list[str | Column], work: Callable[[DataFrame], DataFrame], folder: str, size: int, tasks: int) -> None:
+    """``work`` over ``rows`` in batches of ``size`` for each of ``tasks`` parallel tasks, each batch's result a table below ``folder``.
+
+    A run that ends in the middle loses the batch it was at; what it finished is there for the next run, which is given the rows that are still open.
+    """
+    run = new_folder(rows.sparkSession, "batches").rsplit("-", 1)[1]
+    numbered = written(numbered_globally(rows, order, "_no", 0), "open")
+    for first in range(0, numbered.count(), size * tasks):
+        part = numbered.where((F.col("_no") >= first) & (F.col("_no") < first + size * tasks)).repartition(tasks, "_no").drop("_no")
+        table_at(work(part), f"{folder}/{run}-{first:012d}")

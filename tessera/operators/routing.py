@@ -82,9 +82,9 @@ def has_headers(text: Column) -> Column:
     return F.regexp_like(text, F.lit("(?md)^#{1,6}\\s+.+$"))
 
 
-def chunk_method(text: Column, budget: int) -> Column:
-    """single, header or window, as the text's size and headers decide."""
-    return F.when(tokens(text) <= budget, "single").when(has_headers(text), "header").otherwise("window")
+def chunk_method(text: Column, budget: int, count=tokens) -> Column:
+    """single, header or window, as the text's size (tokens by ``count``) and headers decide."""
+    return F.when(count(text) <= budget, "single").when(has_headers(text), "header").otherwise("window")
 
 
 def pdf_split(pages: Column, mb: Column, most_pages: int = 400, most_mb: float = 2.0) -> Column:

@@ -310,24 +310,28 @@ m AS (SELECT lower(subject) AS s, predicate, lower(object) AS o, min(ord) AS ord
 SELECT ord, subject, predicate, object, source_chunks FROM m JOIN cl USING (s, predicate, o)"""
 
 
+def _valid_edges(spark, sf_dir):
+    return graph.valid_edges(inputs.edges(spark, sf_dir)).drop("chunk_id")
+
+
 @query(_EDGE_MERGED)
 def edge_upsert(spark, sf_dir):
-    return graph.edge_upsert(graph.valid_edges(inputs.edges(spark, sf_dir)).drop("chunk_id"))
+    return graph.edge_upsert(_valid_edges(spark, sf_dir))
 
 
 @query(f"SELECT * FROM ({_EDGE_MERGED}) WHERE lower(subject) = 'small ring'")
 def edges_by_subject(spark, sf_dir):
-    return graph.edges_by(edge_upsert(spark, sf_dir), subject="Small RING")
+    return graph.edge_upsert(graph.edges_by(_valid_edges(spark, sf_dir), subject="Small RING"))
 
 
 @query(f"SELECT * FROM ({_EDGE_MERGED}) WHERE lower(object) = 'supplier#000000003'")
 def edges_by_object(spark, sf_dir):
-    return graph.edges_by(edge_upsert(spark, sf_dir), object="SUPPLIER#000000003")
+    return graph.edge_upsert(graph.edges_by(_valid_edges(spark, sf_dir), object="SUPPLIER#000000003"))
 
 
 @query(f"SELECT * FROM ({_EDGE_MERGED}) WHERE predicate = 'related-to'")
 def edges_by_predicate(spark, sf_dir):
-    return graph.edges_by(edge_upsert(spark, sf_dir), predicate="related-to")
+    return graph.edge_upsert(graph.edges_by(_valid_edges(spark, sf_dir), predicate="related-to"))
 
 
 _GLOSSARY = f"WITH {TERMS} SELECT ord, term, definition, labels, source_chunks, related_terms FROM gloss JOIN lists USING (k) JOIN chunks USING (k) JOIN rel USING (k)"

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.config import DEFAULTS, Settings
-from tessera.functions.text import flatten_path, hyphen_case, needs_ocr, rough_tokens, suffix
+from tessera.durable import complete, new_folder, table_at
+from tessera.functions.text import flatten_path, hyphen_case, needs_ocr, rough_tokens, suffix, url_to_name
 from tessera.operators import clustering, graph, resolution, routing, segmentation, similarity, workspace
 from tessera.operators.numbering import numbered_globally
 from tessera.sources import providers, readers
@@ -30,6 +31,32 @@ def parse(spark: SparkSession, root: str, converters: dict[str, Callable[[bytes]
     return rows.withColumn("output_name", flatten_path(F.col("source_path"), root)).withColumn("needs_ocr", low)
 
 
+def parse_urls(urls: DataFrame, parsers: dict[str, Callable[[str], str | None]], settings: Settings = DEFAULTS, pause: float = 0.6, tasks: int = 8) -> DataFrame:
+    """Parse results of an address list (url), with the columns of :func:`parse`: routed by address, read by the plug-in of the parser's name, paced over all tasks, tried again as files are."""
+    routed = urls.select("url", routing.url_parser(F.col("url")).alias("parser"))
+    rows = providers.parsed_urls(routed, parsers, settings.retry_count, pause, tasks).drop("asked_at")
+    return rows.withColumn("output_name", url_to_name(F.col("source_path"))).withColumn("needs_ocr", F.lit(False))
+
+
+def parse_all(spark: SparkSession, root: str, converters: dict[str, Callable[[bytes], str]] | None = None, parsers: dict[str, Callable[[str], str | None]] | None = None, settings: Settings = DEFAULTS, pause: float = 0.6) -> DataFrame:
+    """Files below ``root``, then the addresses of its ``urls.txt``, as one table of results. Every result counts, failed ones too."""
+    lines = readers.read_url_list(spark, f"{root.rstrip('/')}/urls.txt")
+    return parse(spark, root, converters, settings=settings).unionByName(parse_urls(lines, parsers or {}, settings, pause))
+
+
+#: A post-processing step: units in, units out.
+Step = Callable[[DataFrame], DataFrame]
+
+
+def postprocess(units: DataFrame, steps: list[tuple[str, Step]], folder: str | None = None) -> DataFrame:
+    """``units`` after all plug-in steps in turn. Each step's result is a table of the run's folder, so a run started again goes on behind the last one that is whole."""
+    folder = folder or new_folder(units.sparkSession, "post")
+    for n, (name, step) in enumerate(steps):
+        path = f"{folder}/{n:03d}-{name}"
+        units = units.sparkSession.read.parquet(path) if complete(units.sparkSession, path) else table_at(step(units), path)
+    return units
+
+
 def chunk(results: DataFrame, settings: Settings = DEFAULTS, finder: segmentation.CutFinder | None = None) -> DataFrame:
     """Chunks of parsed texts with ids; ids that would collide get a suffix from their full path."""
     docs = results.where("status = 'success' AND text IS NOT NULL").select(F.col("source_path").alias("doc_id"), "text", F.element_at(F.split("output_name", "/"), -1).alias("name"), "output_name")

@@ -5,6 +5,8 @@ A provider is any object with the methods below; it is pickled to the workers. E
 
 from __future__ import annotations
 
+import json
+import math
 import time
 import urllib.request
 from collections.abc import Callable, Iterator
@@ -12,9 +14,12 @@ from dataclasses import dataclass, field
 from typing import Protocol
 
 import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.durable import exists
 from tessera.functions.responses import parse_response
 
 
@@ -89,7 +94,7 @@ class HttpProvider(NullProvider):
         try:
             with urllib.request.urlopen(url, timeout=self.timeout) as r:  # noqa: S310
                 return r.read().decode("utf-8", "replace")
-        except OSError:
+        except (OSError, ValueError):  # ValueError: a malformed address
             return None
 
 
@@ -127,16 +132,132 @@ def retried(call: Callable, retries: int = 1, pause: float = 0.0, fatal: tuple[t
 
 def answers(rows: DataFrame, provider: Provider, key: str, prompt: str, batch: int = 64, **options) -> DataFrame:
     """(key, answer): a JSON text per row, null where the provider fails."""
-    import json
+    kind = rows.schema[key].dataType.simpleString()
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows_ in batches:
+            got = [complete_json(provider, p, **options) for p in rows_.column(1).to_pylist()]
+            texts = [json.dumps(v, ensure_ascii=False) if v is not None else None for v in got]
+            yield pa.RecordBatch.from_arrays([rows_.column(0), pa.array(texts, pa.string())], [key, "answer"])
+
+    return rows.select(key, prompt).mapInArrow(ask, f"{key} {kind}, answer string")
+
 
+def completions(rows: DataFrame, provider: Provider, key: str, prompt: str, **options) -> DataFrame:
+    """(key, answer): the answer as it came, null where the provider fails or nothing is asked (a null prompt)."""
     kind = rows.schema[key].dataType.simpleString()
 
-    def ask(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            got = [complete_json(provider, p, **options) for p in frame[prompt]]
-            yield pd.DataFrame({key: frame[key], "answer": [json.dumps(v, ensure_ascii=False) if v is not None else None for v in got]})
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows_ in batches:
+            got = [None if p is None else provider.complete(p, **options) for p in rows_.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([rows_.column(0), pa.array(got, pa.string())], [key, "answer"])
+
+    return rows.select(key, prompt).mapInArrow(ask, f"{key} {kind}, answer string")
+
+
+#: Search results as a column.
+RESULTS = "array<struct<title:string,url:string,snippet:string>>"
+
+
+def searched(rows: DataFrame, provider: Provider, key: str, query: str, limit: int = 5, longest: int = 1000) -> DataFrame:
+    """(key, results): web search results with snippets cut to ``longest`` characters; null where the search fails."""
+    kind = rows.schema[key].dataType.simpleString()
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows_ in batches:
+            out = []
+            for text in rows_.column(1).to_pylist():
+                got = provider.search(text, limit)
+                out.append(None if got is None else [{"title": r.get("title"), "url": r.get("url"), "snippet": (r.get("snippet") or "")[:longest]} for r in got[:limit]])
+            result = pa.array(out, pa.list_(pa.struct([(n, pa.string()) for n in ("title", "url", "snippet")])))
+            yield pa.RecordBatch.from_arrays([rows_.column(0), result], [key, "results"])
 
-    return rows.select(key, prompt).mapInPandas(ask, f"{key} {kind}, answer string")
+    return rows.select(key, query).mapInArrow(ask, f"{key} {kind}, results {RESULTS}")
+
+
+class Pace:
+    """Requests of all tasks together never closer than ``pause`` seconds: task k of n owns the moments start + (k + n * j) * pause and waits for its next one, so no task needs to know what the others do.
+
+    The clocks of the machines have to agree to less than the pause.
+    """
+
+    def __init__(self, pause: float, tasks: int):
+        self.pause, self.tasks, self.start, self.last = pause, tasks, time.time(), -1
+
+    def wait(self, task: int) -> float:
+        """Sleeps until the task's next moment and returns it."""
+        rounds = max(math.ceil(((time.time() - self.start) / self.pause - task) / self.tasks), self.last + 1)
+        self.last = rounds
+        moment = self.start + (task + self.tasks * rounds) * self.pause
+        time.sleep(max(0.0, moment - time.time()))
+        return moment
+
+
+#: How address results look, as file results do.
+_URL_RESULT = "source_path string, parser_used string, status string, text string, character_count long, error_message string, retry_count int, asked_at double"
+
+
+def parsed_urls(urls: DataFrame, parsers: dict[str, Callable[[str], str | None]], retries: int = 1, pause: float = 0.6, tasks: int = 8, delay: float = 0.0) -> DataFrame:
+    """Parse results of routed addresses (url, parser): a plug-in per parser name, called with the address and paced over all tasks; ``retries`` more attempts. A plug-in that is missing, raises, or gives
+    nothing makes a failed row. Rows as of :func:`parsed_files`, and ``asked_at``, when the last attempt was due."""
+    pace = Pace(pause, tasks)
+
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task = TaskContext.get().partitionId()
+
+        def call(parser: str, url: str) -> str:
+            if parser not in parsers:
+                raise LookupError(f"no parser plug-in for {parser}")
+            moments.append(pace.wait(task))
+            text = parsers[parser](url)
+            if text is None:
+                raise ValueError("no content")
+            return text
+
+        for batch in batches:
+            out = []
+            for url, parser in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                moments: list[float] = []
+                text, error, used = retried(lambda p=parser, u=url: call(p, u), retries, delay, (LookupError,))
+                out.append({"source_path": url, "parser_used": parser, "status": "failed" if error is not None else "success", "text": text, "character_count": len(text or ""), "error_message": error,
+                            "retry_count": used, "asked_at": moments[-1] if moments else None})
+            yield pa.RecordBatch.from_pylist(out, schema=kinds)
+
+    names = [c.split() for c in _URL_RESULT.split(", ")]
+    kinds = pa.schema([(n, {"string": pa.string(), "long": pa.int64(), "int": pa.int32(), "double": pa.float64()}[t]) for n, t in names])
+    return urls.select("url", "parser").repartition(tasks, "url").mapInArrow(parse, _URL_RESULT)
+
+
+def page_ledger(pages: DataFrame, provider: Provider, folder: str, attempts: int = 2, batch: int = 10, tasks: int = 64) -> DataFrame:
+    """The ledger (doc_id, page, text, attempts) of recognised pages (doc_id, page, image) in ``folder``: text is null where all attempts failed or gave nothing.
+
+    A page with an entry is never asked for again, whatever the run that wrote it came to; a page whose entry is there twice counts once. Batches are written as a whole.
+    """
+    from tessera.operators.numbering import in_batches
+
+    spark = pages.sparkSession
+    schema = f"doc_id {pages.schema['doc_id'].dataType.simpleString()}, page {pages.schema['page'].dataType.simpleString()}, text string, attempts int"
+
+    def entries() -> DataFrame:
+        if not exists(spark, folder):
+            return spark.createDataFrame([], schema)
+        return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(folder).dropDuplicates(["doc_id", "page"])
+
+    def recognise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            texts, tried = [], []
+            for image in rows.column(2).to_pylist():
+                text, n = None, 0
+                while text is None and n < attempts:
+                    text, n = retried(lambda i=image: provider.ocr(i), 0)[0] or None, n + 1
+                texts.append(text)
+                tried.append(n)
+            yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.array(texts, pa.string()), pa.array(tried, pa.int32())], ["doc_id", "page", "text", "attempts"])
+
+    done = entries().select("doc_id", "page")
+    todo = pages.select("doc_id", "page", "image").join(done, ["doc_id", "page"], "left_anti").dropDuplicates(["doc_id", "page"])
+    in_batches(todo, ["doc_id", "page"], lambda part: part.mapInArrow(recognise, schema), folder, batch, tasks)
+    return entries()
 
 
 def embeddings(rows: DataFrame, provider: Provider, key: str, text: str, batch: int = 64) -> DataFrame:

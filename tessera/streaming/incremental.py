@@ -10,37 +10,49 @@ from pyspark.sql import functions as F
 from tessera.operators import graph
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+class Deltas:
+    """Keyed rows as a log of changes: each batch is a part of its own, so what a batch writes depends on its own rows only.
 
+    The rows are the merge over the latest base and the parts after it, made when they are read. Every ``compact`` parts the merge is written as a new base. A part or base counts once it is whole
+    (its ``_SUCCESS`` is the last file written), so a crash at any point leaves what was there before, and a batch that is run again replaces its own part. Parts and bases that a newer base covers are deleted after it.
+    """
 
-class KeyedTable:
-    """A table that is replaced as a whole by each merge: versions lie side by side, and a small pointer file, written
-    last, names the current one. A merge that is run again after a failure replaces its own version."""
+    def __init__(self, spark: SparkSession, folder: str, merge: Callable[[DataFrame], DataFrame], compact: int = 16):
+        self.spark, self.folder, self.merge, self.compact = spark, folder.rstrip("/"), merge, compact
 
-    def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, folder.rstrip("/")
+    def _whole(self, kind: str) -> list[int]:
+        """Numbers of the parts or bases that were written to their end."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{kind}-*/_SUCCESS")
+        found = path.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(path)
+        return sorted(int(f.getPath().getParent().getName().rsplit("-", 1)[1]) for f in found or [])
 
-    def version(self) -> int:
-        path = f"{self.folder}/current"
-        return int(self.spark.read.text(path).first()[0]) if _exists(self.spark, path) else -1
-
-    def read(self) -> DataFrame | None:
-        v = self.version()
-        return self.spark.read.parquet(f"{self.folder}/v{v}") if v >= 0 else None
+    def _path(self, kind: str, number: int) -> str:
+        return f"{self.folder}/{kind}-{number:012d}"
 
-    def replace(self, rows: DataFrame, version: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{self.folder}/v{version}")
-        self.spark.createDataFrame([(str(version),)], "value string").coalesce(1).write.mode("overwrite").text(f"{self.folder}/current")
+    def version(self) -> int:
+        """The number of the last batch, -1 before the first."""
+        return max(self._whole("base") + self._whole("part"), default=-1)
 
+    def _current(self) -> list[str]:
+        base = max(self._whole("base"), default=-1)
+        return ([self._path("base", base)] if base >= 0 else []) + [self._path("part", k) for k in self._whole("part") if k > base]
 
-def merged(table: KeyedTable, new: DataFrame, merge: Callable[[DataFrame], DataFrame], version: int) -> None:
-    """Upsert ``new`` into the table: old rows first, then the merge over both. A version that is there already is skipped."""
-    if table.version() >= version:
-        return
-    old = table.read()
-    table.replace(merge(new if old is None else old.unionByName(new, allowMissingColumns=True)), version)
+    def read(self) -> DataFrame | None:
+        paths = self._current()
+        return self.merge(self.spark.read.parquet(*paths)) if paths else None
+
+    def append(self, rows: DataFrame, version: int) -> None:
+        """The rows of batch ``version``; nothing where it is there already."""
+        if self.version() >= version:
+            return
+        self.merge(rows).write.mode("overwrite").parquet(self._path("part", version))
+        if len(self._current()) > self.compact:
+            self.read().write.mode("overwrite").parquet(self._path("base", version))
+            for kind in ("part", "base"):
+                for k in self._whole(kind):
+                    if k < version or kind == "part":
+                        path = self.spark._jvm.org.apache.hadoop.fs.Path(self._path(kind, k))
+                        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def run_available(stream: DataFrame, checkpoint: str, step: Callable[[DataFrame, int], None]) -> None:
@@ -50,13 +62,12 @@ def run_available(stream: DataFrame, checkpoint: str, step: Callable[[DataFrame,
 
 def accumulate_graph(spark: SparkSession, chunk_edges: str, schema: str, folder: str, checkpoint: str, files_per_batch: int = 100) -> DataFrame:
     """Merge edges (ord, subject, predicate, object, source_chunks, chunk_id) that arrive as parquet files into one edge table."""
-    table = KeyedTable(spark, folder)
+    table = Deltas(spark, folder, graph.edge_upsert)
     start = table.version() + 1
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(chunk_edges)
 
     def step(batch: DataFrame, number: int) -> None:
-        rows = graph.valid_edges(batch).select("ord", "subject", "predicate", "object", "source_chunks")
-        merged(table, rows, graph.edge_upsert, start + number)
+        table.append(graph.valid_edges(batch).select("ord", "subject", "predicate", "object", "source_chunks"), start + number)
 
     run_available(stream, checkpoint, step)
     return table.read()
