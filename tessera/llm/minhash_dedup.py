@@ -37,6 +37,7 @@ from tessera.llm.common import components, discard, small_batches, written
 
 _U = np.uint64
 _PARTS = 64
+_WORD_BITS = 19
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -187,7 +188,8 @@ def _open_pairs(member: DataFrame, sets: DataFrame, label: DataFrame, fits, perc
 
 def near_duplicates(docs: DataFrame, percent: int = 85, width: int = 5, bands: int = 40, rows: int = 5,
                     id_col: str = "doc_id", text_col: str = "text", prints: bool = False) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, component_id, kept; with ``prints`` also print, a hash of the text.
+    """One row per row of ``docs``: doc_id, n_shingles, component_id, kept; with ``prints`` also print, a hash of the text, and component, which tells components apart
+    where rows of one doc_id lie in several (null for an empty set).
 
     ``percent``: least similarity of a link, in hundredths. ``kept`` marks the smallest doc_id of each component.
     """
@@ -220,7 +222,11 @@ def near_duplicates(docs: DataFrame, percent: int = 85, width: int = 5, bands: i
     first = written(first, "pairs")
     # One text per class that shares a bucket, found by doc_id and a hash of the text.
     wanted = written(classes.join(member.select("id").distinct(), "id", "left_semi").select("id", F.col("rep").alias("doc_id"), "print"), "wanted")
-    picked = printed.join(wanted, ["doc_id", "print"]).select("id", "text").dropDuplicates(["id"])
+    # Only texts whose hash may be wanted are dealt out: a bitmap of wanted hashes, of at most 2 ** _WORD_BITS rows, comes first. The join is the same at every size.
+    word, bit = F.shiftrightunsigned("print", 64 - _WORD_BITS), F.expr("shiftleft(1L, cast(print & 63 AS int))")
+    bitmap = wanted.groupBy(word.alias("word")).agg(F.bit_or(bit).alias("bits"))
+    likely = printed.withColumn("word", word).join(F.broadcast(bitmap), "word").where(F.col("bits").bitwiseAND(bit) != 0)
+    picked = likely.join(wanted.hint("merge"), ["doc_id", "print"]).select("id", "text").dropDuplicates(["id"])
     sets = written(picked.mapInArrow(ts.tidy(lambda it: set_batches(it, width)), "id long, shingles array<long>"), "sets")
     links = written(_verified(first, sets, percent), "links")
     rest = _open_pairs(member, sets, components(links), fits, percent)
@@ -229,10 +235,10 @@ def near_duplicates(docs: DataFrame, percent: int = 85, width: int = 5, bands: i
     label = components(links.union(more))
     named = classes.join(label, F.col("id") == F.col("node"), "left").select("set_a", "set_b", "rep", F.coalesce("component", "id").alias("component"))
     smallest = named.groupBy("component").agg(F.min("rep").alias("component_id"))
-    named = named.join(smallest, "component").select("set_a", "set_b", "component_id")
+    named = named.join(smallest, "component").select("set_a", "set_b", "component_id", "component")
     out = drawn.select("doc_id", "print", "n_shingles", "set_a", "set_b").join(named, ["set_a", "set_b"], "left")
     out = out.withColumn("component_id", F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id")))
     kept = (F.col("doc_id").isNull() | (F.col("doc_id") == F.col("component_id"))).alias("kept")
-    out = written(out.select("doc_id", "n_shingles", "component_id", kept, *(["print"] if prints else [])), "components")
+    out = written(out.select("doc_id", "n_shingles", "component_id", kept, *(["print", "component"] if prints else [])), "components")
     discard(drawn, classes, links, more)
     return out
