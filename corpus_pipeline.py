@@ -25,11 +25,33 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return language_columns(docs, host=F.col("source")).where("accepted").select(*docs.columns)
 
 
+def _one_of_each(docs: DataFrame, keys: list[F.Column], wanted: DataFrame, times: str | None = None) -> DataFrame:
+    """One row (the least) of ``docs`` for each key of ``wanted`` (its first columns), ``times`` over where given. For keys that several rows share: a hot key is one row a task."""
+    names = fresh(docs, *[f"_k{i}" for i in range(len(keys))], "_row", "_times", "_copy")
+    ids, row, many, copy = names[:-3], *names[-3:]
+    rows = docs.withColumns(dict(zip(ids, keys, strict=True)))
+    sought = wanted.select(*[F.col(c).alias(k) for c, k in zip(wanted.columns, ids, strict=False)], F.col(times).cast("int").alias(many) if times else F.lit(1).alias(many))
+    on = [rows[k].eqNullSafe(sought[k]) for k in ids]
+    found = rows.join(sought, on).groupBy(*[rows[k] for k in ids]).agg(F.min(F.struct(*[rows[c] for c in docs.columns])).alias(row), F.max(many).alias(many))
+    return found.where(F.col(many) > 0).select(F.col(row), F.explode(F.sequence(F.lit(1), F.col(many))).alias(copy)).select(F.col(row + ".*"))
+
+
+def _without(docs: DataFrame, keys: list[F.Column], gone: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose keys are in ``gone``."""
+    return docs.join(gone, [k.eqNullSafe(gone[c]) for k, c in zip(keys, gone.columns, strict=False)], "left_anti")
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest doc_id of each component of similar documents (0.85 or more on five-word shingles)."""
-    # A doc_id that repeats with another text is another document, so both name what goes.
-    gone = written(near_duplicates(docs, prints=True).where("NOT kept").select("doc_id", "print").distinct(), "gone")
-    return docs.join(gone, (docs["doc_id"] == gone["doc_id"]) & (F.xxhash64(docs["text"].cast("string")) == gone["print"]), "left_anti")
+    """One document of each component of similar documents (0.85 or more on five-word shingles): the smallest doc_id. Where several rows have it, that of the smallest text hash stays, once."""
+    found = written(near_duplicates(docs, prints=True).where("doc_id IS NOT NULL"), "near")
+    stays = found.where("kept AND component IS NOT NULL").groupBy("component", "doc_id").agg(F.min("print").alias("first"), F.count(F.lit(1)).alias("n"))
+    shared = written(stays.where("n > 1").select("doc_id", "first", "component"), "shared")  # components in which several rows stay
+    others = found.where("kept").join(shared, ["component", "doc_id"]).where("print <> first").select("doc_id", "print")
+    shared = shared.select("doc_id", "first")
+    gone = written(found.where("NOT kept").select("doc_id", "print").union(others).distinct(), "gone")
+    keys = [docs["doc_id"], F.xxhash64(docs["text"].cast("string"))]
+    left = _without(_without(docs, keys, gone), keys, shared)
+    return left.unionByName(_one_of_each(docs, keys, shared))
 
 
 def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,12 +61,15 @@ def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it (0 to 3 times), weights 5, 2, 1 repeating over the sources."""
-    mark = F.xxhash64("source", "text")
+    mark = F.xxhash64(*[docs[c] for c in docs.columns])  # rows that are equal throughout are taken together
     sizes = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), mark.alias("mark"))
+    took = fair_mix(sizes).groupBy("doc_id", "mark").agg(F.sum("runs").alias("runs"), F.count(F.lit(1)).alias("rows"))
+    took = written(took.where("runs > 0"), "runs")
     key, marked, times, run = fresh(docs, "_id", "_mark", "_runs", "_run")
-    runs = fair_mix(sizes).where("runs > 0").groupBy(F.col("doc_id").alias(key), F.col("mark").alias(marked)).agg(F.max("runs").alias(times))
-    rows = docs.join(written(runs, "runs"), docs["doc_id"].eqNullSafe(F.col(key)) & (mark == F.col(marked)))
-    return rows.withColumn(run, F.explode(F.sequence(F.lit(1), F.col(times)))).select(*[docs[c] for c in docs.columns])
+    once = took.where("rows = 1").select(F.col("doc_id").alias(key), F.col("mark").alias(marked), F.col("runs").cast("int").alias(times))
+    rows = docs.join(once, docs["doc_id"].eqNullSafe(F.col(key)) & (mark == F.col(marked)))
+    rows = rows.withColumn(run, F.explode(F.sequence(F.lit(1), F.col(times)))).select(*[docs[c] for c in docs.columns])
+    return rows.unionByName(_one_of_each(docs, [docs["doc_id"], mark], took.where("rows > 1").select("doc_id", "mark", "runs"), "runs"))
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -611,3 +611,22 @@ def test_pipeline_on_empty_tables(spark, tmp_path):
     spark.read.parquet(f"{SMALL}/documents.parquet").limit(0).write.parquet(str(tmp_path / "documents.parquet"))
     spark.read.parquet(f"{SMALL}/benchmark.parquet").write.parquet(str(tmp_path / "benchmark.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_pipeline_counts_repeated_rows_once(spark):
+    """Equal rows, and rows that share a doc_id with other texts, in near-dedup and mixing."""
+    import corpus_pipeline
+
+    base = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon"
+    rows = [(1, base, "en", "a", 1), (1, base, "en", "a", 1), (1, base + " phi", "en", "a", 1), (2, base, "en", "a", 1), (1, "quite another text of some words here", "en", "b", 1), (3, "one more that stands alone in here", "en", "b", 1),
+            (3, "one more that stands alone in here", "en", "c", 1), (None, "no id at all but words", "en", None, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int")
+    left = corpus_pipeline.drop_near_duplicates(spark, docs, SMALL)
+    assert left.columns == docs.columns
+    left = left.collect()
+    ours = [r for r in left if r.doc_id == 1 and r.text.startswith("alpha")]
+    assert len(ours) == 1 and sum(r.doc_id == 1 and r.text.startswith("quite") for r in left) == 1  # another text is another document
+    assert sum(r.doc_id == 3 for r in left) == 1 and sum(r.doc_id is None for r in left) == 1 and not any(r.doc_id == 2 for r in left)
+    twice = spark.createDataFrame([(1, "x y z", "en", "a", 5), (1, "x y z", "en", "a", 5), (2, "p q r s", "en", "b", 7)], docs.schema)
+    mixed = corpus_pipeline.mix_sources(spark, twice, SMALL).collect()
+    assert sum(len(r.text.split()) for r in mixed) <= 10 and mixed
