@@ -13,8 +13,8 @@
    (template text) from data, menus (mostly linked text) from prose, and how much text a container holds over the host's pages.
    The article or main element is the main text; without one it is the container with the most unlinked data.
 
-What decides: elements that the standard defines as no part of the text (nav, header, footer, aside, form, hidden ones, articles
-in an article, which are comments); constants on three or more pages, headings of the article apart; linked text outside
+What decides: elements that the standard defines as no part of the text (nav, header, footer, aside, form, hidden ones, inline ones too, articles
+in an article that has text of its own, which are comments); constants on three or more pages, headings of the article apart; linked text outside
 an article. Class and id names are no more than a second witness: an element in the main text that is named like an advert
 or a comment section goes only if the wrapper has it short, mostly linked or made of a repeated group.
 
@@ -56,12 +56,14 @@ _DROP_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search",
 #: Whole class or id names; witnesses only, see above.
 _NAMED = re.compile(r"(?:ads?|adsby\w*|advert\w*|sponsor\w*|cookies?|consent|newsletter|breadcrumbs?|sidebar|comments?|disqus\w*|related|recommended|share|sharing|social|menu|nav|navbar|"
                     r"footer|pagination|reader-comments)(?:[-_](?:left|right|top|bottom|box|banner|notice|container|wrapper|wrap|list|section|area|posts|articles|links|buttons|widget|0+))*", re.I)
-_TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<({_RAW})\b(?:\"[^\"]*\"|'[^']*'|[^'\">])*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>|<[!?][^>]*>|<[a-zA-Z/][^<>]*\Z", re.S | re.I)
+#: A tag ends before the next ``<`` outside quotes, closed or not, so that every character is looked at a bounded number of times however broken a page is.
+_TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<({_RAW})\b(?:\"[^\"]*\"|'[^']*'|[^'\"<>])*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^'\"<>])*)>|<[!?][^<>]*>|<[a-zA-Z/][^<>]*(?=<|\Z)", re.S | re.I)
 _ATTR = re.compile(r"""\b(class|id|role|hidden|style|aria-hidden)\b\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 _HIDING = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _SPACE = re.compile(r"\s+")
 _DIGITS = re.compile(r"\d+")
 _RESERVED = re.compile(r"[\s/#,:()]")
+_VOID = {"area", "embed", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 _WIDE = 48
 _DEEP = 200
 #: Distinct pages that must agree before a text counts as template.
@@ -85,6 +87,12 @@ class Node:
         self.at: list[int] = []
 
 
+def _hidden(attrs: str) -> bool:
+    """Whether an inline element is not shown."""
+    got = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTR.finditer(attrs)}
+    return "hidden" in got or bool(_HIDING.search(got.get("style", "")))
+
+
 def _label(tag: str, attrs: str) -> str:
     """Tag with class, id and role, digits masked; a leading ``!`` marks hidden elements."""
     if not attrs or attrs.isspace():
@@ -116,8 +124,17 @@ def read_page(page: str, folded: bool = True) -> tuple[Node, list[str], list[int
     parts: list[str] = []
     linked, in_link, link_from, at = 0, False, 0, 0
 
+    hidden, deep, hidden_from = "", 0, 0  # the hidden inline element that is open, how often its tag is, and where its text begins
+
+    def unhide() -> None:
+        nonlocal hidden, link_from
+        del parts[hidden_from:]
+        hidden, link_from = "", min(link_from, len(parts))
+
     def flush() -> None:
         nonlocal linked, link_from
+        if hidden:  # it ends with its block
+            unhide()
         if in_link:
             linked += sum(map(len, parts[link_from:]))
         text = _SPACE.sub(" ", html.unescape("".join(parts))).strip()
@@ -151,12 +168,18 @@ def read_page(page: str, folded: bool = True) -> tuple[Node, list[str], list[int
         if tag not in _BLOCKS:
             if tag == "br":
                 parts.append(" ")
+            elif tag == hidden:
+                deep += -1 if m[2] else 1
+                if not deep:
+                    unhide()
+            elif not hidden and not m[2] and m[4] and tag not in _VOID and _hidden(m[4]):
+                hidden, deep, hidden_from = tag, 1, len(parts)
             elif tag == "a":
                 if in_link:
                     linked += sum(map(len, parts[link_from:]))
                 in_link, link_from = not m[2], len(parts)
             continue
-        if parts:
+        if parts or hidden:
             flush()
         if m[2]:
             if buried.get(tag):
@@ -184,7 +207,7 @@ def read_page(page: str, folded: bool = True) -> tuple[Node, list[str], list[int
         tags.append(tag)
     if at < len(page):
         parts.append(page[at:])
-    if parts:
+    if parts or hidden:
         flush()
     close(1)
     if folded:
@@ -482,7 +505,7 @@ def kept_slots(wrapper: str, skeleton: str) -> tuple[bool, ...]:
         if tag == "article" or role == "article":
             if article == 2:
                 return  # an article in an article is a comment on it
-            article = 2
+            article = 2 if _own_text(k) else article  # without text of its own it only holds articles
         elif tag == "main" or role == "main":
             article = max(article, 1)
         for c in k.kids:
@@ -537,6 +560,19 @@ def _repeats(e: Node) -> bool:
     return bool(e.kids) and (bool(e.bag) or any((k.many and k.label != "#" and _parts(k.label)[0] != "p") or _repeats(k) for k in e.kids))
 
 
+def _own_text(article: Node) -> bool:
+    """Whether an article has text outside the articles in it and what is no part of it."""
+    todo = list(article.kids or ())
+    while todo:
+        k = todo.pop()
+        if k.kids is None:
+            return True
+        tag, _, role = _parts(k.label)
+        if not (k.label[:1] == "!" or tag in _DROP_TAGS or role in _DROP_ROLES or tag == "article" or role == "article"):
+            todo += k.kids
+    return False
+
+
 _kept = lru_cache(maxsize=4096)(kept_slots)
 
 

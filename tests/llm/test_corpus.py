@@ -568,6 +568,28 @@ def test_extraction_edge_cases(spark):
     assert html_extract.main_texts(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_articles_that_only_hold_articles(spark):
+    made = [(i, "http://w.org/", page(f"<article class=wrap><article><h1>T {i}</h1><p>Body {i} goes on</p><article><p>A reader's comment {i}</p></article></article></article>")) for i in range(4)]
+    assert extracted(spark, made) == {i: f"T {i}\n\nBody {i} goes on" for i in range(4)}
+
+
+def test_hidden_inline_elements(spark):
+    body = "<p>One <span style='display:none'>not <span>shown</span> at all</span>two <b hidden>gone</b>three <img hidden src=x> four</p><p>Five <span hidden>never closed</p><p>six <a href=x>link <i hidden>x</i>end</a></p>"
+    made = [(i, "http://s.org/", page(f"<article><h1>H {i}</h1>{body.replace('One', f'One {i}').replace('Five', f'Five {i}').replace('six', f'six {i}')}</article>")) for i in range(2)]
+    assert extracted(spark, made) == {i: f"H {i}\n\nOne {i} two three four\n\nFive {i}\n\nsix {i} link end" for i in range(2)}
+
+
+def test_broken_tags_take_linear_time():
+    import time
+
+    for piece in ("<a", "<!", "<a \"", "<script", "</", "<a '\"", "<b x=<", "<p><a "):
+        start = time.time()
+        html_extract.read_page(piece * (1_000_000 // len(piece)))
+        assert time.time() - start < 10, piece
+    root, texts, _ = html_extract.read_page("<article><p>a <b cla <i>c</i> d</p><p title='x<y>z'>e</p>")
+    assert texts == ["a c d", "e"]
+
+
 def test_pages_query_matches_template(spark):
     made = {r.page_id: r for r in QUERIES["op10_html_extraction"](spark, SMALL).collect()}
     for p in spark.read.parquet(f"{SMALL}/pages.parquet").collect():
