@@ -7,7 +7,7 @@ row of a replay log: folding the log again gives the state without asking anyone
 A request that fails leaves what it would have changed and does not keep the others from running. New notes replace the old ones only if they don't shrink them to less than half (notes under 100 characters may
 shrink); the mapping is replaced by any text that is not empty.
 
-Defined results: a null content is the empty text; chunks of one place come by id; a chunk at or before the last place taken is passed over, so repeated rows change nothing. Memory of a task: one base's state and the rows of a
+Defined results: a null content is the empty text; of the chunks of one place the first by id and content is taken; a chunk at or before the last place taken is passed over, so repeated rows change nothing. Memory of a task: one base's state and the rows of a
 batch that belong to it.
 """
 
@@ -95,7 +95,7 @@ class ChunkFold(StatefulProcessor):
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
         state = json.loads(self.kept.get()[0]) if self.kept.exists() else first_state(self.settings.language)
-        chunks = pd.concat(list(rows)).sort_values(["place", "chunk_id"])
+        chunks = pd.concat(list(rows)).sort_values(["place", "chunk_id", "content"])
         out = []
         for c in chunks.itertuples(index=False):
             if state["place"] is not None and c.place <= state["place"]:
