@@ -29,7 +29,7 @@ class Narrator(NullProvider):
             return None if mark % 4 == 0 else json.dumps({"mapping_content": "" if mark % 7 == 0 else f"# map {mark} {{content}}"})
         if "Chunk x5:" in prompt:
             return json.dumps({"updated": True, "notes_content": "tiny"})
-        return json.dumps({"updated": mark % 2, "notes_content": f"notes {mark} " + "n" * 200})
+        return json.dumps({"updated": "Chunk x4:" in prompt or mark % 2, "notes_content": f"notes {mark} " + "n" * 200})
 
 
 def one_after_another(chunks):
