@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tessera.durable import new_folder, written
 from tessera.functions import bpe, text
-from tessera.operators import clustering, graph, judgement, segmentation
+from tessera.operators import chat, clustering, graph, judgement, segmentation
 from tessera.plans import inputs, stages
 from tessera.plans.catalog import SKUS, URLS, query
 from tessera.plans.inputs import table
@@ -270,3 +270,30 @@ def edge_deltas(spark, sf_dir):
     for k in range(7):
         table_.append(rows.where(F.pmod(F.floor(F.col("ord") / 8), F.lit(7)) == k), k)
     return table_.read().select("ord", "subject", "predicate", "object")
+
+
+# Chats.
+
+@dataclass
+class Drafter(NullProvider):
+    """Replies with the number of messages so far; no greeting for sessions whose number ends in 7, no reply to messages of a length that 5 divides."""
+
+    def chat(self, messages, temperature=0.4, max_tokens=8000):
+        last = messages[-1]
+        if last["role"] == "system":
+            return None if last["content"].endswith("7") else "hello"
+        if last["content"].startswith("Write the final"):
+            return f"Here it is:\n```markdown\n# Spec after {len(messages)} messages\n```\nDone."
+        return None if len(last["content"]) % 5 == 0 else f"reply {len(messages)}"
+
+
+@query("""WITH u AS (SELECT conv_id, turn, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS n, count(*) OVER (PARTITION BY conv_id) AS total FROM conversations WHERE role = 'user'),
+s AS (SELECT *, conv_id % 4 = 0 AND n = total AS confirm FROM u WHERE n <= 5), r AS (SELECT conv_id, count(*) FILTER (NOT confirm) AS rounds, count(*) FILTER (NOT confirm AND length(text) % 5 <> 0) AS replies, bool_or(confirm) AS confirmed FROM s GROUP BY conv_id),
+c AS (SELECT DISTINCT conv_id FROM conversations)
+SELECT c.conv_id AS session_id, CASE WHEN c.conv_id % 10 = 7 THEN 0 ELSE coalesce(rounds, 0) END::INT AS rounds_used, c.conv_id % 10 <> 7 AND coalesce(confirmed, false) AS confirmed,
+CASE WHEN c.conv_id % 10 = 7 THEN '' ELSE '# Spec after ' || (3 + coalesce(rounds, 0) + coalesce(replies, 0)) || ' messages' END AS spec FROM c LEFT JOIN r USING (conv_id)""")
+def spec_chat(spark, sf_dir):
+    """Conversations as specification chats with a scripted model, up to the final text."""
+    said = inputs.chat_messages(spark, sf_dir)
+    sessions = said.select("session_id").distinct().withColumn("system_prompt", F.concat(F.lit("Session "), "session_id"))
+    return chat.spec_sessions(sessions, said, Drafter()).select("session_id", "rounds_used", "confirmed", "spec")

@@ -98,6 +98,47 @@ class HttpProvider(NullProvider):
             return None
 
 
+@dataclass
+class EndpointProvider(HttpProvider):
+    """Completions and vectors from an endpoint that takes and gives JSON in the common chat form (messages in, choices out). Address, model and key are the user's; without a key, or where anything fails, the answer is None."""
+
+    base: str = ""
+    model: str = ""
+    vector_model: str = ""
+    key: str = field(default="", repr=False)
+
+    def _post(self, path: str, body: dict) -> dict | None:
+        if not self.key or not self.base:
+            return None
+        request = urllib.request.Request(f"{self.base.rstrip('/')}/{path}", json.dumps(body).encode(), {"Content-Type": "application/json", "Authorization": f"Bearer {self.key}"})  # noqa: S310
+        try:
+            with urllib.request.urlopen(request, timeout=self.timeout) as r:  # noqa: S310
+                return json.loads(r.read())
+        except (OSError, ValueError):
+            return None
+
+    def _said(self, messages: list[dict[str, str]], **more) -> str | None:
+        got = self._post("chat/completions", {"model": self.model, "messages": messages, **more})
+        try:
+            return got["choices"][0]["message"]["content"]
+        except (TypeError, KeyError, IndexError):
+            return None
+
+    def complete(self, prompt, system="", temperature=0.3, max_tokens=4000, json_mode=False):
+        messages = ([{"role": "system", "content": system}] if system else []) + [{"role": "user", "content": prompt}]
+        return self._said(messages, temperature=temperature, max_tokens=max_tokens, **({"response_format": {"type": "json_object"}} if json_mode else {}))
+
+    def chat(self, messages, temperature=0.4, max_tokens=8000):
+        return self._said(messages, temperature=temperature, max_tokens=max_tokens)
+
+    def embed(self, texts):
+        got = self._post("embeddings", {"model": self.vector_model, "input": texts})
+        try:
+            return [d["embedding"] for d in sorted(got["data"], key=lambda d: d["index"])]
+        except (TypeError, KeyError):
+            return None
+
+
 def complete_json(provider: Provider, prompt: str, system: str = "", temperature: float = 0.3, max_tokens: int = 4000, retries: int = 2):
     """A parsed JSON answer: JSON mode first; on broken JSON asks again, colder and with the error; once without JSON mode
     where there is no answer at all."""

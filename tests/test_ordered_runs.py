@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.durable import new_folder, written
-from tessera.operators import graph
+from tessera.operators import chat, graph
 from tessera.plans import stages
 from tessera.sources import providers
 from tessera.sources.providers import NullProvider
@@ -200,3 +200,63 @@ def test_steps_go_on_behind_the_last_whole_one(spark):
         stages.postprocess(units, [step("one"), step("two", fail=True)], folder)
     out = stages.postprocess(units, [step("one"), step("two")], folder)
     assert ran == ["one", "two", "two"] and sorted(r.n for r in out.collect()) == [3, 4]
+
+
+# --- chats and endpoints
+
+
+@dataclass
+class Talker(NullProvider):
+    fails: str = ""
+
+    def chat(self, messages, temperature=0.4, max_tokens=8000):
+        last = messages[-1]["content"]
+        return None if self.fails and last.startswith(self.fails) else f"# {'|'.join(m['role'][0] for m in messages)}"
+
+
+def test_chats_end_by_confirmation_limit_and_silence(spark):
+    said = [("a", k, "user", f"m{k}") for k in range(8)] + [("b", 0, "user", " "), ("b", 1, "user", "one"), ("b", 2, "assistant", "x"), ("b", 3, "user", "/CONFIRM "), ("b", 4, "user", "late"), ("c", 0, "user", None)]
+    messages = spark.createDataFrame(said, "session_id string, seq int, role string, content string")
+    sessions = spark.createDataFrame([(s, f"system {s}") for s in "abcd"], "session_id string, system_prompt string")
+    folder = new_folder(spark, "test")
+    got = {r.session_id: (r.rounds_used, r.confirmed, r.spec) for r in chat.spec_sessions(sessions, messages, Talker(fails="m2"), folder).collect()}
+    assert got["a"] == (5, False, "# s|a|u|a|u|a|u|u|a|u|a|u") and got["b"] == (1, True, "# s|a|u|a|u")  # m2 has no reply
+    assert got["c"] == got["d"] == (0, False, "# s|a|u")
+    again = chat.spec_sessions(sessions, messages, NullProvider(), folder).collect()
+    assert {r.session_id: (r.rounds_used, r.confirmed, r.spec) for r in again} == got
+    none = chat.spec_sessions(sessions, messages, NullProvider()).collect()
+    assert {(r.rounds_used, r.confirmed, r.spec) for r in none} == {(0, False, "")}
+
+
+def test_endpoint_provider():
+    import threading
+    from http.server import BaseHTTPRequestHandler, HTTPServer
+
+    class Handler(BaseHTTPRequestHandler):
+        def do_POST(self):  # noqa: N802
+            body = json.loads(self.rfile.read(int(self.headers["Content-Length"])))
+            if self.path.endswith("/embeddings"):
+                out = {"data": [{"index": k, "embedding": [float(len(t))]} for k, t in enumerate(body["input"])][::-1]}
+            elif body["messages"][-1]["content"] == "broken":
+                out = {"choices": []}
+            else:
+                out = {"choices": [{"message": {"content": f"{body['model']} {len(body['messages'])} {body.get('response_format', {}).get('type')} {self.headers['Authorization']}"}}]}
+            data = json.dumps(out).encode()
+            self.send_response(200)
+            self.send_header("Content-Length", str(len(data)))
+            self.end_headers()
+            self.wfile.write(data)
+
+        def log_message(self, *args):
+            pass
+
+    server = HTTPServer(("127.0.0.1", 0), Handler)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    try:
+        p = providers.EndpointProvider(base=f"http://127.0.0.1:{server.server_port}/v1", model="m", key="k", timeout=5)
+        assert p.complete("hi", system="be brief", json_mode=True) == "m 2 json_object Bearer k" and p.chat([{"role": "user", "content": "x"}]) == "m 1 None Bearer k"
+        assert p.complete("broken") is None and p.embed(["a", "bbb"]) == [[1.0], [3.0]] and "k'" not in repr(p)
+        assert providers.EndpointProvider(base=p.base, model="m").complete("hi") is None
+    finally:
+        server.shutdown()
+    assert p.complete("hi") is None
