@@ -143,6 +143,22 @@ def index_summary() -> Column:
                        F.lit(""), F.lit("By Type:"), *kinds)
 
 
+def relational_lines(labels: DataFrame, edges: DataFrame, glossary: DataFrame) -> DataFrame:
+    """The relational knowledge as JSON lines: (file, ord, line), a line for each label path, edge and entry. Lines, not one document a file, so that no task holds a whole file."""
+    paths = labels.select(F.lit("label_tree").alias("file"), F.col("ord").cast("string").alias("ord"), F.to_json(F.struct("path")).alias("line"))
+    rows = edges.select(F.lit("relationships").alias("file"), F.col("ord").cast("string").alias("ord"), F.to_json(F.struct("subject", "predicate", "object", "source_chunks")).alias("line"))
+    entries = glossary.select(F.lit("glossary").alias("file"), F.col("ord").cast("string").alias("ord"), F.to_json(F.struct("term", "definition", "labels", "source_chunks", "aliases", "related_terms")).alias("line"))
+    return paths.unionByName(rows).unionByName(entries)
+
+
+def relational_header(lines: DataFrame, language: str = "en") -> DataFrame:
+    """(character_count, header) of the relational knowledge: all characters of the three files, line ends included; without lines the header as it is written first."""
+    total = lines.agg(F.coalesce(F.sum(F.length("line") + 1), F.lit(0)).cast("long").alias("character_count"))
+    row = total.select("character_count", F.lit("relational-knowledge").alias("name"), F.lit("relational").alias("classification"), F.lit("aggregated").alias("source_chunk"), F.lit(None).cast("double").alias("confidence"),
+                       F.expr("cast(array() as array<string>)").alias("related_skus"), F.lit("Label tree, glossary and relationships").alias("description"))
+    return row.select("character_count", header_markdown(language).alias("header"))
+
+
 def unprocessed(chunks: DataFrame, processed: DataFrame) -> DataFrame:
     return chunks.join(processed.select("chunk_id").distinct(), "chunk_id", "left_anti")
 

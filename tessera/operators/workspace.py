@@ -34,10 +34,14 @@ def manifest(files: DataFrame) -> DataFrame:
                      F.count(F.lit(1)).alias("total_files_copied"), F.coalesce(F.sum("paths_rewritten"), F.lit(0)).cast("long").alias("paths_rewritten"))
 
 
-def readme(row: DataFrame, title: str = "# Workspace") -> DataFrame:
-    yes = F.when(F.col("has_relational"), "yes").otherwise("no")
-    lines = F.concat_ws("\n", F.lit(title), F.lit(""), F.concat(F.lit("- **Factual SKUs**: "), F.col("factual_count")), F.concat(F.lit("- **Procedural SKUs**: "), F.col("procedural_count")),
-                        F.concat(F.lit("- **Relational knowledge**: "), yes), F.concat(F.lit("- **Total files**: "), F.col("total_files_copied")))
+_README = {"en": ("# Workspace", "Factual SKUs", "Procedural SKUs", "Relational knowledge", "Total files", "yes", "no"), "zh": ("# 工作区", "事实性 SKU", "程序性 SKU", "关系型知识", "文件总数", "有", "无")}
+
+
+def readme(row: DataFrame, title: str | None = None, language: str = "en") -> DataFrame:
+    head, factual, procedural, relational, total, yes, no = _README.get(language, _README["en"])
+    line = lambda name, value: F.concat(F.lit(f"- **{name}**: "), value)
+    lines = F.concat_ws("\n", F.lit(title or head), F.lit(""), line(factual, F.col("factual_count")), line(procedural, F.col("procedural_count")), line(relational, F.when(F.col("has_relational"), yes).otherwise(no)),
+                        line(total, F.col("total_files_copied")))
     return row.select(lines.alias("readme"))
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tessera.durable import new_folder, written
 from tessera.functions import bpe, text
-from tessera.operators import chat, clustering, graph, judgement, segmentation
+from tessera.operators import chat, clustering, graph, judgement, resolution, segmentation
 from tessera.plans import inputs, stages
 from tessera.plans.catalog import SKUS, URLS, query
 from tessera.plans.inputs import table
@@ -297,3 +297,18 @@ def spec_chat(spark, sf_dir):
     said = inputs.chat_messages(spark, sf_dir)
     sessions = said.select("session_id").distinct().withColumn("system_prompt", F.concat(F.lit("Session "), "session_id"))
     return chat.spec_sessions(sessions, said, Drafter()).select("session_id", "rounds_used", "confirmed", "spec")
+
+
+@query("""WITH t AS (SELECT p_partkey * 2 AS ord, '{"term":"T' || p_partkey || '","definition":"' || p_type || '","labels":["' || p_brand || '"],"source_chunks":["c1"],"aliases":[],"related_terms":[]}' AS line FROM part),
+l AS (SELECT '{"path":["' || p_type || '","' || p_brand || '"]}' AS line FROM part GROUP BY p_type, p_brand), e AS (SELECT '{"subject":"T' || p_partkey || '","predicate":"is-a","object":"' || p_type || '","source_chunks":["' || p_brand || '"]}' AS line FROM part),
+a AS (SELECT line FROM t UNION ALL SELECT line FROM l UNION ALL SELECT line FROM e)
+SELECT sum(length(line) + 1)::BIGINT AS character_count, '# relational-knowledge' || chr(10) || chr(10) || '- **Classification**: relational' || chr(10) || '- **Source**: aggregated' || chr(10) || '- **Characters**: ' || format('{:,}', sum(length(line) + 1)::BIGINT) AS head FROM a""")
+def relational_files(spark, sf_dir):
+    """All characters of label paths, edges and glossary as files, and how their header begins."""
+    p = table(spark, sf_dir, "part")
+    none, tag = F.expr("cast(array() as array<string>)"), F.concat(F.lit("T"), "p_partkey")
+    glossary = graph.glossary_upsert(p.select((F.col("p_partkey") * 2).cast("long").alias("ord"), tag.alias("term"), F.col("p_type").alias("definition"), F.array("p_brand").alias("labels"), F.array(F.lit("c1")).alias("source_chunks"), none.alias("aliases"), none.alias("related_terms")))
+    edges = graph.edge_upsert(p.select(F.col("p_partkey").alias("ord"), tag.alias("subject"), F.lit("is-a").alias("predicate"), F.col("p_type").alias("object"), F.array("p_brand").alias("source_chunks")))
+    labels = graph.leaf_paths(graph.label_nodes(inputs.part_paths(spark, sf_dir)))
+    out = resolution.relational_header(resolution.relational_lines(labels, edges, glossary))
+    return out.select("character_count", F.array_join(F.slice(F.split("header", "\n"), 1, 5), "\n").alias("head"))

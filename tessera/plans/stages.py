@@ -118,6 +118,16 @@ def extract(chunks: DataFrame, provider: providers.Provider, processed: DataFram
     return Knowledge(units.select(*skills.columns).unionByName(skills), labels, graph.edge_upsert(graph.valid_edges(edges)), graph.glossary_fold(terms))
 
 
+def save_relational(knowledge: Knowledge, folder: str, settings: Settings = DEFAULTS) -> int:
+    """Write label paths, edges and glossary as JSON lines in folders of ``folder`` and their header; returns the characters."""
+    paths = graph.leaf_paths(knowledge.labels).select(F.array_join(F.transform("ord", lambda o: o.cast("string")), "/").alias("ord"), "path")
+    lines = resolution.relational_lines(paths, knowledge.edges, knowledge.glossary)
+    lines.repartitionByRange("file", "ord").sortWithinPartitions("file", "ord").select("file", F.col("line").alias("value")).write.mode("overwrite").partitionBy("file").text(f"{folder}/relational")
+    header = resolution.relational_header(lines, settings.language).first()
+    readers.write_texts(knowledge.edges.sparkSession.createDataFrame([("relational/header.md", header.header)], "target string, content string"), folder)
+    return header.character_count
+
+
 def bucket(units: DataFrame, leaf_paths: DataFrame | None = None, settings: Settings = DEFAULTS) -> DataFrame:
     """Units with bucket_id by literal and (where leaf paths are given) label similarity, per class."""
     rows = units.withColumn("text", similarity.compared_text(F.col("name"), F.coalesce("description", F.lit(""))))
@@ -136,8 +146,8 @@ def resolve(units: DataFrame, actions: DataFrame) -> tuple[DataFrame, DataFrame]
     return resolution.applied(units, live), resolution.dedup_report(live)
 
 
-def assemble(files: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+def assemble(files: DataFrame, language: str = "en") -> tuple[DataFrame, DataFrame, DataFrame]:
     """(files with their workspace paths, manifest, readme)."""
     out = workspace.assembled(files)
     counts = workspace.manifest(out)
-    return out, counts, workspace.readme(counts)
+    return out, counts, workspace.readme(counts, language=language)

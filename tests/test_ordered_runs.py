@@ -260,3 +260,36 @@ def test_endpoint_provider():
     finally:
         server.shutdown()
     assert p.complete("hi") is None
+
+
+# --- commands and files
+
+
+def test_single_file_commands(spark, tmp_path, capsys):
+    from tessera import cli
+
+    work = tmp_path / "work"
+    assert cli.main(["init", str(work)]) == 0 and (work / "input" / "urls.txt").exists() and (work / "output" / "skus").is_dir()
+    (work / "input" / "a.html").write_text("<html><body><h1>Title</h1><p>Body text</p></body></html>")
+    assert cli.main(["parse-file", str(work / "input" / "a.html"), str(work / "output" / "a.md")]) == 0 and "# Title" in (work / "output" / "a.md").read_text()
+    assert cli.main(["parse-file", str(work / "input" / "a.html").replace("a.html", "urls.txt"), str(work / "output" / "u.md")]) == 0
+    assert cli.main(["parse-url", "http://127.0.0.1:9/none", str(work / "output" / "n.md")]) == 1
+    (work / "output" / "long.md").write_text("# One\n\n" + "word " * 200 + "\n\n# Two\n\n" + "more " * 200)
+    assert cli.main(["chunk-file", str(work / "output" / "long.md"), str(work / "output" / "chunks"), "--max-tokens", "260"]) == 0
+    files = sorted(f.name for f in (work / "output" / "chunks").glob("long*.md"))
+    assert files == ["long_chunk_001.md", "long_chunk_002.md"] and 'title: "One"' in (work / "output" / "chunks" / files[0]).read_text()
+    assert "'chunks': 2" in capsys.readouterr().out
+
+
+def test_relational_files_and_languages(spark, tmp_path):
+    from tessera.operators import workspace
+
+    answers = {"key facts": "{}", "key procedures": "{}", "label_paths": json.dumps({"label_paths": [["A", "B"], ["a", "C"]], "relationships": [{"subject": "x", "predicate": "odd", "object": "y"}], "glossary": [{"term": "t", "definition": "d"}]})}
+    chunks = spark.createDataFrame([("c1", "text")], "chunk_id string, content string")
+    k = stages.extract(chunks, providers.ScriptedProvider({p: [v] for p, v in answers.items()}))
+    total = stages.save_relational(k, str(tmp_path))
+    lines = {f: [json.loads(x) for p in sorted((tmp_path / "relational" / f"file={f}").glob("part-*")) for x in p.read_text().splitlines()] for f in ("label_tree", "relationships", "glossary")}
+    assert [x["path"] for x in lines["label_tree"]] == [["A", "B"], ["A", "C"]] and lines["relationships"][0]["predicate"] == "related-to" and lines["glossary"][0]["term"] == "t"
+    assert total == sum(p.stat().st_size for p in (tmp_path / "relational").glob("file=*/part-*")) and "relational-knowledge" in (tmp_path / "relational" / "header.md").read_text()
+    counts = spark.createDataFrame([(2, 1, True, 9)], "factual_count int, procedural_count int, has_relational boolean, total_files_copied int")
+    assert "- **文件总数**: 9" in workspace.readme(counts, language="zh").first().readme and "- **Relational knowledge**: yes" in workspace.readme(counts).first().readme
