@@ -9,6 +9,7 @@ import json
 import re
 from dataclasses import dataclass
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tessera.durable import new_folder, written
@@ -17,6 +18,7 @@ from tessera.operators import chat, clustering, graph, judgement, resolution, se
 from tessera.plans import inputs, stages
 from tessera.plans.catalog import SKUS, URLS, query
 from tessera.plans.inputs import table
+from tessera.sources import subtitles
 from tessera.sources.providers import NullProvider, page_ledger
 from tessera.streaming import incremental, knowledge
 
@@ -125,8 +127,8 @@ def confidence_resume(spark, sf_dir):
     units = u.select("sku_id", "name", "description", "content", F.when(F.col("ord") % 5 == 0, "nowhere").otherwise(F.col("source_chunk")).alias("source_chunk"), F.when(F.col("ord") % 4 == 0, 0.9).alias("confidence"))
     chunks = u.select(F.col("source_chunk").alias("chunk_id"), F.concat(F.lit("all of "), "source_chunk").alias("content")).distinct()
     folder = new_folder(spark, "confidence")
-    judgement.scored(units, chunks, Scorer(deaf=True), folder, batch=100)
-    out = judgement.scored(units, chunks, Scorer(), folder, batch=100)
+    judgement.scored(units, chunks, Scorer(deaf=True), folder, batch=1000, tasks=8)
+    out = judgement.scored(units, chunks, Scorer(), folder, batch=1000, tasks=8)
     return out.select("sku_id", F.round("confidence", 6).alias("confidence"), "source_penalty", "reasoning", F.size("web_references").alias("n_references"))
 
 
@@ -312,3 +314,23 @@ def relational_files(spark, sf_dir):
     labels = graph.leaf_paths(graph.label_nodes(inputs.part_paths(spark, sf_dir)))
     out = resolution.relational_header(resolution.relational_lines(labels, edges, glossary))
     return out.select("character_count", F.array_join(F.slice(F.split("header", "\n"), 1, 5), "\n").alias("head"))
+
+
+@query("""WITH t AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS no, trim(replace(text, chr(10), ' '), ' ') AS line FROM conversations)
+SELECT conv_id AS video_id, line AS text, no + 0.25::DOUBLE AS start FROM t WHERE line <> ''""")
+def structured_segments(spark, sf_dir):
+    """Segments of subtitles in the three JSON forms and in XML, made of the turns of conversations."""
+    no = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn")) - 1
+    rows = table(spark, sf_dir, "conversations").select("conv_id", no.alias("no"), F.trim(F.replace("text", F.lit("\n"), F.lit(" "))).alias("line"))
+    start, kind = F.col("no") + F.lit(0.25), F.col("conv_id") % 4
+    plain = F.replace(F.replace("line", F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+    piece = (F.when(kind == 0, F.to_json(F.struct((F.col("no") * 1000 + 250).alias("tStartMs"), F.array(F.struct(F.col("line").alias("utf8"))).alias("segs"))))
+             .when(kind == 1, F.to_json(F.struct(F.col("line").alias("content"), start.alias("from")))).when(kind == 2, F.to_json(F.struct(F.col("line").alias("text"), start.alias("start"))))
+             .otherwise(F.concat(F.lit('<p t="'), F.col("no") * 1000 + 250, F.lit('">'), plain, F.lit("</p>"))))
+    whole = rows.groupBy("conv_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("no", piece.alias("p")))), lambda r: r["p"]).alias("p"))  # a transcript
+    inner = F.when(kind == 3, F.array_join("p", "")).otherwise(F.array_join("p", ","))
+    data = (F.when(kind == 0, F.concat(F.lit('{"events":['), inner, F.lit("]}"))).when(kind == 1, F.concat(F.lit('{"body":['), inner, F.lit("]}"))).when(kind == 2, F.concat(F.lit("["), inner, F.lit("]")))
+            .otherwise(F.concat(F.lit("<timedtext><body>"), inner, F.lit("</body></timedtext>"))))
+    ext = F.element_at(F.array(*[F.lit(x) for x in ("json3", "json", "json", "srv3")]), (kind + 1).cast("int"))
+    out = whole.select(F.col("conv_id").alias("video_id"), F.explode(subtitles.structured_segments(data, ext)).alias("s"))
+    return out.select("video_id", "s.text", "s.start")
