@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import discard, fresh, scratch, written
+from tessera.llm.common import discard, fresh, scratch, with_hits, written
 from tessera.llm.decontamination import decontaminated
 from tessera.llm.hilbert_sharding import hilbert_shards, measured
 from tessera.llm.language_id import language_columns
@@ -36,11 +36,6 @@ def _one_of_each(docs: DataFrame, keys: list[F.Column], wanted: DataFrame, times
     return found.where(F.col(many) > 0).select(F.col(row), F.explode(F.sequence(F.lit(1), F.col(many))).alias(copy)).select(F.col(row + ".*"))
 
 
-def _without(docs: DataFrame, keys: list[F.Column], gone: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose keys are in ``gone``."""
-    return docs.join(gone, [k.eqNullSafe(gone[c]) for k, c in zip(keys, gone.columns, strict=False)], "left_anti")
-
-
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of similar documents (0.85 or more on five-word shingles): the smallest doc_id. Where several rows have it, that of the smallest text hash stays, once."""
     found = written(near_duplicates(docs, prints=True).where("doc_id IS NOT NULL"), "near")
@@ -49,9 +44,14 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     others = found.where("kept").join(shared, ["component", "doc_id"]).where("print <> first").select("doc_id", "print")
     shared = shared.select("doc_id", "first")
     gone = written(found.where("NOT kept").select("doc_id", "print").union(others).distinct(), "gone")
-    keys = [docs["doc_id"], F.xxhash64(docs["text"].cast("string"))]
-    left = _without(_without(docs, keys, gone), keys, shared)
-    return left.unionByName(_one_of_each(docs, keys, shared))
+    # Texts that are certainly kept are not dealt out: only those whose hash may be in the lists meet them.
+    printed, hit = fresh(docs, "_print", "_hit")
+    named = gone.union(shared)
+    rows = with_hits(docs.withColumn(printed, F.xxhash64(docs["text"].cast("string"))), named.select(F.col("print").alias(printed)), printed, hit)
+    sure, maybe = (rows.where(c).drop(hit) for c in (~F.col(hit), F.col(hit)))
+    left = maybe.join(named.hint("merge"), maybe["doc_id"].eqNullSafe(named["doc_id"]) & (maybe[printed] == named["print"]), "left_anti").select(*[maybe[c] for c in docs.columns])
+    once = _one_of_each(maybe, [maybe["doc_id"], maybe[printed]], shared).drop(printed)
+    return sure.select(*docs.columns).unionByName(left).unionByName(once)
 
 
 def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -67,9 +67,10 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     took = written(took.where("runs > 0"), "runs")
     key, marked, times, run = fresh(docs, "_id", "_mark", "_runs", "_run")
     once = took.where("rows = 1").select(F.col("doc_id").alias(key), F.col("mark").alias(marked), F.col("runs").cast("int").alias(times))
-    rows = docs.join(once, docs["doc_id"].eqNullSafe(F.col(key)) & (mark == F.col(marked)))
+    rows = docs.join(once.hint("merge"), docs["doc_id"].eqNullSafe(F.col(key)) & (mark == F.col(marked)))
     rows = rows.withColumn(run, F.explode(F.sequence(F.lit(1), F.col(times)))).select(*[docs[c] for c in docs.columns])
-    return rows.unionByName(_one_of_each(docs, [docs["doc_id"], mark], took.where("rows > 1").select("doc_id", "mark", "runs"), "runs"))
+    several = written(took.where("rows > 1").select("doc_id", "mark", "runs"), "several")
+    return rows.unionByName(_one_of_each(docs, [docs["doc_id"], mark], several, "runs"))
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

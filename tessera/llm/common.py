@@ -101,6 +101,23 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+#: A bitmap has at most 2 ** _WORD_BITS rows of 64 bits, whatever it is made of.
+_WORD_BITS = 19
+
+
+def with_hits(rows: DataFrame, wanted: DataFrame, column: str, hit: str) -> DataFrame:
+    """``rows`` with ``hit``: false where the 64-bit hash in ``column`` is certainly none of ``wanted``'s.
+
+    A bitmap of the wanted hashes is broadcast, of bounded size. Over some ten million hashes it tells less and less apart, and never wrongly: what it hits is still to be joined.
+    """
+    word = lambda c: F.shiftrightunsigned(c, 64 - _WORD_BITS)
+    bit = lambda c: F.expr(f"shiftleft(1L, cast(`{c}` & 63 AS int))")
+    at, bits, key = fresh(rows, "_word", "_bits", "_at")
+    bitmap = wanted.groupBy(word(column).alias(key)).agg(F.bit_or(bit(column)).alias(bits))
+    out = rows.withColumn(at, word(column)).join(F.broadcast(bitmap), F.col(at) == F.col(key), "left")
+    return out.withColumn(hit, F.coalesce(F.col(bits).bitwiseAND(bit(column)) != 0, F.lit(False))).drop(at, bits, key)
+
+
 _LOCAL_BITS = 33
 
 
