@@ -172,8 +172,8 @@ def window_cut_requests(spark, sf_dir):
 
 @query(None)
 def class_buckets(spark, sf_dir):
-    """Parts of one brand family in buckets of at most 4000 tokens. Parts are similar by the Jaccard similarity of their name words where they share two or more."""
-    p = table(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("sku_id"), F.col("p_partkey").alias("ord"), F.left("p_brand", F.lit(7)).alias("classification"), F.array_distinct(F.split("p_name", " ")).alias("words"))
+    """Parts of one brand in buckets of at most 4000 tokens. Parts are similar by the Jaccard similarity of their name words where they share two or more."""
+    p = table(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("sku_id"), F.col("p_partkey").alias("ord"), F.col("p_brand").alias("classification"), F.array_distinct(F.split("p_name", " ")).alias("words"))
     units = p.select("sku_id", "ord", "classification", (F.col("ord") % 40 + 10).cast("long").alias("token_count"))
     two = F.flatten(F.transform("words", lambda x: F.transform(F.filter("words", lambda y: y > x), lambda y: F.concat_ws(" ", x, y))))
     post = p.select("classification", "sku_id", "words", F.explode(two).alias("two"))
