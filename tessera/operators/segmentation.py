@@ -166,8 +166,8 @@ def requested_chunks(docs: DataFrame, budget: int, provider: Provider, measure=E
     """Chunks of texts without headers, cut where a model says: all open documents take one step a round.
 
     A round takes the window of ``budget`` tokens at the place each document has come to, asks for cut points, reads the answer tolerantly and looks for the first cut point in what is left of the text. An answer
-    without a cut point, one that is not found, or one below ``settings.least_cut`` characters gives a cut at the last paragraph, line or sentence end of the window. What is left goes on in the next round, without its leading
-    white space; a rest within the budget is the last chunk. There are as many rounds as the longest document has chunks.
+    without a cut point, one that is not found, or one below ``settings.least_cut`` characters gives a cut at the last paragraph, line or sentence end of the window. A chunk that ends where the model says loses its trailing
+    white space, one that ends elsewhere keeps it. What is left goes on in the next round, without its leading white space; a rest within the budget is the last chunk. There are as many rounds as the longest document has chunks.
 
     Each round is a table in ``folder`` with places only, no texts. A run started again over the folder asks only for the rounds that are not there. A null or empty text has no chunk.
     """
@@ -188,7 +188,7 @@ def requested_chunks(docs: DataFrame, budget: int, provider: Provider, measure=E
         good = F.coalesce(F.col("found") >= settings.least_cut, F.lit(False))
         size = F.when(F.col("last"), F.length("rest")).when(good, F.col("found")).otherwise(paragraph_cut(F.col("window"), _ALL, settings.least_cut))
         title = F.when(F.col("last") & F.lit(part == 0), F.col("name")).when(good, F.coalesce("cut.chunk_title", F.lit(f"Part {part + 1}"))).otherwise(f"Part {part + 1}")
-        step = got.select("doc_id", F.lit(part).alias("seq"), title.alias("title"), F.col("at").alias("first"), size.cast("int").alias("size"), (~F.col("last") & F.col("cut").isNotNull()).alias("trimmed"), "rest")
+        step = got.select("doc_id", F.lit(part).alias("seq"), title.alias("title"), F.col("at").alias("first"), size.cast("int").alias("size"), (~F.col("last") & good).alias("trimmed"), "rest")
         tail = F.substring(F.col("rest"), F.col("size") + 1, F.length("rest"))
         gap = F.length(tail) - F.length(F.regexp_replace(tail, "(?U)^\\s+", ""))
         step = table_at(step.withColumn("next", F.when(F.length(tail) > gap, F.col("first") + F.col("size") + gap)).drop("rest"), f"{folder}/round-{part:05d}")
