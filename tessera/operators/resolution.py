@@ -192,12 +192,13 @@ def header_markdown(language: str = "en") -> Column:
 
 
 def with_confidence(header: Column, value: Column, language: str = "en") -> Column:
-    """A header text with its confidence line replaced, put after the characters line or, without one, at the end."""
+    """A header text with its confidence line replaced, put after the characters line or, without one, at the end, where trailing white space goes; a heading
+    without a name keeps its blank."""
     line = F.concat(F.lit(f"- **{_LABELS[language][3]}**: "), F.format_string("%.2f", value))
     plain = F.regexp_replace(header, "- \\*\\*(Confidence|置信度)\\*\\*:.*\\n?", "")
     chars = "(?d)(- \\*\\*(?:Characters|字符数)\\*\\*:.*)"
     placed = F.regexp_replace(plain, F.lit(chars), F.concat(F.lit("$1\n"), line))
-    return F.when(F.regexp_like(plain, F.lit(chars)), placed).otherwise(F.concat(F.regexp_replace(plain, "\\s+$", ""), F.lit("\n"), line, F.lit("\n")))
+    return F.when(F.regexp_like(plain, F.lit(chars)), placed).otherwise(F.concat(F.regexp_replace(plain, "((?:^|\\n)#+ )?\\s*$", "$1"), F.lit("\n"), line, F.lit("\n")))
 
 
 def list_line() -> Column:
