@@ -7,6 +7,9 @@ A group (at first a class) that exceeds the limit is cut in two where its dendro
 round are cut together. Large groups shrink by reciprocal nearest pairs: two clusters that are each other's nearest are joined in every dendrogram, and average linkage never brings a merged cluster
 nearer than its parts were, so all such pairs of a round merge at once. When few clusters are left, one task ends the group; a group that is small to begin with is cut down to its buckets in one task. No task holds more than
 ``small`` rows of a side of a matrix, whatever a class holds.
+
+Units that are alike (copies) are at distance 0 from each other and equally far from all others, so every dendrogram joins them first, at height 0: they start as one cluster of their number, and pairs are given between
+one of each kind only. What is stored and compared grows with the kinds, not with the pairs of their copies.
 """
 
 from __future__ import annotations
@@ -50,17 +53,22 @@ def average_linkage_halves(distance: np.ndarray, sizes: np.ndarray | None = None
     return sides
 
 
-def bisect(tokens: np.ndarray, similarity: np.ndarray, limit: int) -> list[list[int]]:
-    """Positions of each bucket, left halves first. A bucket has at most ``limit`` tokens, or one item."""
+def bisect(tokens: np.ndarray, similarity: np.ndarray, limit: int, kinds: np.ndarray | None = None) -> list[list[int]]:
+    """Positions of each bucket, left halves first. A bucket has at most ``limit`` tokens, or one item. ``kinds``: the row of each item in ``similarity``, which
+    then is that of kinds; items of one kind are alike."""
     out: list[list[int]] = []
+    kinds = np.arange(len(tokens)) if kinds is None else kinds
     todo = [np.arange(len(tokens))]
     while todo:
         at = todo.pop()
         if tokens[at].sum() <= limit or len(at) <= 1:
             out.append(at.tolist())
             continue
-        d = 1 - np.clip(similarity[np.ix_(at, at)], 0, 1)
-        side = average_linkage_halves(d)
+        found, first, kind, n = np.unique(kinds[at], return_index=True, return_inverse=True, return_counts=True)
+        order = np.argsort(first)  # kinds by their first items
+        found, n = found[order], n[order]
+        d = 1 - np.clip(similarity[np.ix_(found, found)], 0, 1)
+        side = average_linkage_halves(d, n, 0.0 if n.max() > 1 else -np.inf)[np.argsort(order)][kind]
         left, right = at[side == 0], at[side == 1]
         if not len(left) or not len(right):
             left, right = at[:len(at) // 2], at[len(at) // 2:]
@@ -131,50 +139,69 @@ def _sides(edges: DataFrame, clusters: DataFrame, small: int) -> DataFrame:
     return done.unionByName(rest)
 
 
-def buckets(units: DataFrame, pairs: DataFrame, limit: int = 100_000, small: int = 1000) -> DataFrame:
+def buckets(units: DataFrame, pairs: DataFrame, limit: int = 100_000, small: int = 1000, alike: str | None = None, most: int = 100_000) -> DataFrame:
     """Units (sku_id, classification, ord, token_count) with bucket_id, from pair similarities (a, b, similarity); a class of one bucket is numbered 001, and so on in the order of the cuts.
 
-    Buckets hold ``limit`` tokens at most, or one unit. Groups of at most ``small`` units end in one task.
+    Buckets hold ``limit`` tokens at most, or one unit. Units of a class with equal values of the column ``alike`` are copies, similar by 1, and a pair of two of them holds for all copies of both. Groups of at most
+    ``small`` kinds and ``most`` units end in one task.
     """
-    rows = units.select("sku_id", F.col("classification").alias("class"), "ord", F.col("token_count").cast("long").alias("token_count"))
-    items = written(numbered_globally(rows, ["class", "ord", "sku_id"], "item", 0).drop("ord"), "items")
-    at = lambda s: items.select(F.col("sku_id").alias(s), F.col("class").alias(f"class_{s}"), F.col("item").alias(f"item_{s}"))
-    links = pairs.where("a <> b AND similarity > 0").join(at("a"), "a").join(at("b"), "b").where("class_a = class_b")
-    links = links.groupBy(F.col("class_a").alias("class"), F.least("item_a", "item_b").alias("a"), F.greatest("item_a", "item_b").alias("b")).agg(F.least(F.max("similarity"), F.lit(1.0)).alias("s"))
+    rows = units.select("sku_id", F.col("classification").alias("class"), "ord", F.col("token_count").cast("long").alias("token_count"), *([F.col(alike).alias("_like")] if alike else []))
+    items = numbered_globally(rows, ["class", "ord", "sku_id"], "item", 0).drop("ord")
+    if alike:
+        items = written(items, "numbers")
+        first = items.where("_like IS NOT NULL").groupBy("class", "_like").agg(F.min("item").alias("_kind"))
+        items = items.join(first, ["class", "_like"], "left").withColumn("kind", F.coalesce("_kind", "item")).drop("_like", "_kind")
+    else:
+        items = items.withColumn("kind", F.col("item"))
+    items = written(items, "items")
+    at = lambda s: items.select(F.col("sku_id").alias(s), F.col("class").alias(f"class_{s}"), F.col("kind").alias(f"kind_{s}"))
+    links = pairs.where("a <> b AND similarity > 0").join(at("a"), "a").join(at("b"), "b").where("class_a = class_b AND kind_a <> kind_b")
+    links = links.groupBy(F.col("class_a").alias("class"), F.least("kind_a", "kind_b").alias("a"), F.greatest("kind_a", "kind_b").alias("b")).agg(F.least(F.max("similarity"), F.lit(1.0)).alias("s"))
     links = written(links, "links")
     # A group is its class and the path of its cuts: 0 left, 1 right. Paths in order are buckets in order.
-    state = items.select("class", F.lit("").alias("path"), "item", "token_count")
+    state = items.select("class", F.lit("").alias("path"), "item", "kind", "token_count")
     ended = []
     while True:
         group = F.concat_ws("|", "path", "class")
-        sums = state.groupBy("class", "path").agg(F.sum("token_count").alias("_t"), F.count(F.lit(1)).alias("_n"))
+        kinds = state.groupBy("class", "path", "kind").agg(F.sum("token_count").alias("_t"), F.count(F.lit(1)).alias("n"), F.min("item").alias("c"))
+        kinds = written(kinds.withColumn("group", group), "kinds")
+        sums = kinds.groupBy("class", "path").agg(F.sum("_t").alias("_t"), F.sum("n").alias("_n"), F.count(F.lit(1)).alias("_k"))
         state = written(state.join(sums, ["class", "path"]).withColumn("group", group), "groups")
         final = (F.col("_t") <= limit) | (F.col("_n") == 1)
-        fits, few, many = state.where(final), state.where(~final & (F.col("_n") <= small)), state.where(~final & (F.col("_n") > small))
-        sub = lambda rows: links.join(rows.select("class", F.col("item").alias("a"), "group"), ["class", "a"]).join(rows.select("class", F.col("item").alias("b"), F.col("group").alias("_g")), ["class", "b"]).where("group = _g").select("group", "a", "b", "s")
+        one_task = (F.col("_k") <= small) & (F.col("_n") <= most)
+        fits, few, many = state.where(final), state.where(~final & one_task), state.where(~final & ~one_task)
+        kinds = kinds.drop("_t").join(sums, ["class", "path"])
+
+        def sub(where):
+            """Links of the kinds in the groups of ``where``."""
+            end = lambda s: kinds.where(where).select("class", "group", F.col("kind").alias(s), F.col("c").alias(f"c{s}"), F.col("n").alias(f"n{s}"))
+            return links.join(end("a"), ["class", "a"]).join(end("b"), ["class", "group", "b"])
 
         def split(key, items: pd.DataFrame, sims: pd.DataFrame) -> pd.DataFrame:
             items = items.sort_values("item").reset_index(drop=True)
-            m = _matrix(items, sims, "item")
+            m = _matrix(items[["kind"]].drop_duplicates(), sims, "kind")
             np.fill_diagonal(m, 1)
-            items["bucket"] = ""
-            for path, where in _paths(items["token_count"].to_numpy(), m, limit):
-                items.loc[where, "bucket"] = items.loc[where, "path"] + path
-            return items[["class", "bucket", "item"]].rename(columns={"bucket": "path"})
+            bucket = np.empty(len(items), object)
+            for path, where in _paths(items["token_count"].to_numpy(), m, limit, pd.factorize(items["kind"])[0]):
+                bucket[where] = items["path"].iloc[0] + path
+            return pd.DataFrame({"class": items["class"], "path": bucket, "item": items["item"]})
 
-        near = sub(few).select(F.col("group").alias("of"), "a", "b", "s")
+        near = sub(~final & one_task).select(F.col("group").alias("of"), "a", "b", "s")
         small_ones = few.groupBy("group").cogroup(near.groupBy("of")).applyInPandas(split, "class string, path string, item long")
         ended.append(written(fits.select("class", "path", "item").unionByName(small_ones), "buckets"))
         if many.isEmpty():
             break
-        clusters = written(many.select("group", F.col("item").alias("c"), F.lit(1).cast("long").alias("n"), F.lit(float("-inf")).alias("high")), "clusters")
-        edges, clusters, places = _linked(written(sub(many), "edges"), clusters, small)
+        rest = ~final & ~one_task
+        clusters = written(kinds.where(rest).select("group", "c", "n", F.when(F.col("n") > 1, 0.0).otherwise(float("-inf")).alias("high")), "clusters")
+        edges = sub(rest).select("group", F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b"), (F.col("s") * F.col("na") * F.col("nb")).alias("s"))
+        edges, clusters, places = _linked(written(edges, "edges"), clusters, small)
         sides = written(_sides(edges, clusters, small), "sides")
-        parts = many.join(places.withColumnRenamed("c", "_c"), ["group", "item"]).join(sides.withColumnRenamed("c", "_c"), ["group", "_c"])
+        first = kinds.where(rest).select("group", "kind", F.col("c").alias("item"))
+        parts = many.join(first.join(places.withColumnRenamed("c", "_c"), ["group", "item"]).drop("item"), ["group", "kind"]).join(sides.withColumnRenamed("c", "_c"), ["group", "_c"])
         parts = written(numbered_globally(parts.drop("_c"), ["group", "item"], "_no", 0), "parts")
         parts = parts.join(parts.groupBy("group").agg(F.min("_no").alias("_start")), "group")
         half = (F.col("_no") - F.col("_start") >= F.floor(F.col("_n") / 2)).cast("int")
-        state = written(parts.withColumn("path", F.concat("path", F.coalesce("side", half).cast("string"))).select("class", "path", "item", "token_count"), "state")
+        state = written(parts.withColumn("path", F.concat("path", F.coalesce("side", half).cast("string"))).select("class", "path", "item", "kind", "token_count"), "state")
     done = ended[0]
     for more in ended[1:]:
         done = done.unionByName(more)
@@ -185,9 +212,9 @@ def buckets(units: DataFrame, pairs: DataFrame, limit: int = 100_000, small: int
     return items.join(done.join(names, ["class", "path"]), ["class", "item"]).select("sku_id", "token_count", "bucket_id")
 
 
-def _paths(tokens: np.ndarray, similarity: np.ndarray, limit: int) -> list[tuple[str, list[int]]]:
+def _paths(tokens: np.ndarray, similarity: np.ndarray, limit: int, kinds: np.ndarray) -> list[tuple[str, list[int]]]:
     """The buckets of :func:`bisect` with paths that order them."""
-    found = bisect(tokens, similarity, limit)
+    found = bisect(tokens, similarity, limit, kinds)
     width = max(len(found) - 1, 1).bit_length()
     return [(f"{k:0{width}b}", at) for k, at in enumerate(found)]
 

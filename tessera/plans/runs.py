@@ -174,14 +174,17 @@ def window_cut_requests(spark, sf_dir):
 def class_buckets(spark, sf_dir):
     """Parts of one brand in buckets of at most 4000 tokens. Parts are similar by the Jaccard similarity of their name words where they share two or more."""
     p = table(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("sku_id"), F.col("p_partkey").alias("ord"), F.col("p_brand").alias("classification"), F.array_distinct(F.split("p_name", " ")).alias("words"))
-    units = p.select("sku_id", "ord", "classification", (F.col("ord") % 40 + 10).cast("long").alias("token_count"))
+    # Parts of the same two or more words are copies; a single word shares no two with anything.
+    p = p.withColumn("alike", F.when(F.size("words") > 1, F.array_sort("words")))
+    units = p.select("sku_id", "ord", "classification", (F.col("ord") % 40 + 10).cast("long").alias("token_count"), "alike")
+    p = p.where("alike IS NOT NULL").groupBy("classification", F.col("alike").alias("words")).agg(F.min("sku_id").alias("sku_id"))
     two = F.flatten(F.transform("words", lambda x: F.transform(F.filter("words", lambda y: y > x), lambda y: F.concat_ws(" ", x, y))))
     post = p.select("classification", "sku_id", "words", F.explode(two).alias("two"))
     side = lambda s: post.select("classification", "two", F.col("sku_id").alias(s), F.col("words").alias(f"w{s}"))
     both = side("a").join(side("b"), ["classification", "two"]).where("a < b").dropDuplicates(["a", "b"])
     common = F.size(F.array_intersect("wa", "wb"))
     pairs = both.select("a", "b", (common / (F.size("wa") + F.size("wb") - common)).alias("similarity"))
-    return clustering.buckets(units, pairs, 4000)
+    return clustering.buckets(units, pairs, 4000, alike="alike")
 
 
 # Chunks in order, with what came before in each prompt.
