@@ -61,5 +61,9 @@ def written(df: DataFrame, label: str = "t") -> DataFrame:
 def discard(*frames: DataFrame) -> None:
     """Delete tables that no plan needs any more."""
     for df in frames:
-        p, fs = _path(df.sparkSession, df._written_at)
-        fs.delete(p, True)
+        discard_at(df.sparkSession, df._written_at)
+
+
+def discard_at(spark: SparkSession, path: str) -> None:
+    p, fs = _path(spark, path)
+    fs.delete(p, True)

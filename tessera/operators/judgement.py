@@ -127,7 +127,7 @@ def scored(units: DataFrame, chunks: DataFrame, provider: Provider, folder: str,
     """
     spark = units.sparkSession
     kept = scores_at(spark, folder)
-    open_ = units.where("confidence IS NULL AND coalesce(content, '') <> ''").join(kept.select("sku_id"), "sku_id", "left_anti")
+    open_ = units.where("sku_id IS NOT NULL AND confidence IS NULL AND coalesce(content, '') <> ''").join(kept.select("sku_id"), "sku_id", "left_anti")
     open_ = open_.select("sku_id", "name", "description", "content", "source_chunk")
     sources = resolution.source_lookup(open_.select("sku_id", "source_chunk"), chunks).drop("source_chunk")
     in_batches(open_.join(sources, "sku_id", "left"), ["sku_id"], lambda part: _scores(part, provider, settings), f"{folder}/scores", batch, tasks)
@@ -145,8 +145,9 @@ def scores_at(spark, folder: str) -> DataFrame:
 
 
 def _scores(part: DataFrame, provider: Provider, settings: Settings) -> DataFrame:
-    found = providers.searched(part.select("sku_id", F.concat_ws(" ", F.coalesce("name", F.lit("")), F.coalesce("description", F.lit(""))).alias("query")), provider, "sku_id", "query")
-    rows = part.join(found, "sku_id")
+    # The whole unit is the key of its search, so that its results need no join.
+    query = F.concat_ws(" ", F.coalesce("name", F.lit("")), F.coalesce("description", F.lit("")))
+    rows = providers.searched(part.select(F.struct(*part.columns).alias("unit"), query.alias("query")), provider, "unit", "query").select("unit.*", "results")
     web = F.when(F.col("results").isNull(), "(Web search unavailable)").otherwise(providers.web_results_text(F.col("results")))
     source = F.coalesce("source_text", F.lit("(Original source chunk not available)"))
     values = {"id": F.col("sku_id"), "name": F.col("name"), "description": F.col("description"), "content": F.col("content"), "source_chunk": source, "web_results": web}

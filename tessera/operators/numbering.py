@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tessera.durable import new_folder, table_at, written
+from tessera.durable import discard_at, new_folder, table_at, written
 
 
 def numbered_globally(rows: DataFrame, order: list[str | Column], out: str, start: int = 1) -> DataFrame:
@@ -28,8 +30,21 @@ def in_batches(rows: DataFrame, order: list[str | Column], work: Callable[[DataF
 
     A run that ends in the middle loses the batch it was at; what it finished is there for the next run, which is given the rows that are still open.
     """
-    run = new_folder(rows.sparkSession, "batches").rsplit("-", 1)[1]
-    numbered = written(numbered_globally(rows, order, "_no", 0), "open")
-    for first in range(0, numbered.count(), size * tasks):
-        part = numbered.where((F.col("_no") >= first) & (F.col("_no") < first + size * tasks)).repartition(tasks, "_no").drop("_no")
-        table_at(work(part), f"{folder}/{run}-{first:012d}")
+    spark = rows.sparkSession
+    run, open_ = new_folder(spark, "batches").rsplit("-", 1)[1], new_folder(spark, "open")
+    # A folder for each batch, so that a batch reads its own rows and no more, however many batches there are.
+    numbered_globally(rows, order, "_no", 0).withColumn("_batch", F.floor(F.col("_no") / (size * tasks))).write.partitionBy("_batch").parquet(open_)
+    count = spark.read.schema("_no long").parquet(open_).count()
+    schema = T.StructType([*rows.schema, T.StructField("_no", T.LongType())])
+
+    def planned(first: int) -> DataFrame:
+        return work(spark.read.schema(schema).parquet(f"{open_}/_batch={first // (size * tasks)}").repartition(tasks, "_no").drop("_no"))
+
+    with ThreadPoolExecutor(1) as ahead:  # the next batch is planned, not run, while one runs
+        plan = ahead.submit(planned, 0) if count else None
+        for first in range(0, count, size * tasks):
+            batch = plan.result()
+            if first + size * tasks < count:
+                plan = ahead.submit(planned, first + size * tasks)
+            table_at(batch, f"{folder}/{run}-{first:012d}")
+    discard_at(spark, open_)
