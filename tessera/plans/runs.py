@@ -195,8 +195,11 @@ class Reader(NullProvider):
 
     def complete(self, prompt, system="", temperature=0.3, max_tokens=4000, json_mode=False):
         if prompt.startswith("Update the map"):
-            units, number = re.search(r"\n\nUnits:\n(.*)\n\nMap:\n.*\n\nNew chunk: c(\d+)$", prompt, re.S).groups()
-            return None if int(number) % 4 == 1 else json.dumps({"mapping_content": f"# {len(units.splitlines())} units"})
+            number = int(prompt[prompt.rindex("\n\nNew chunk: c") + 14:])
+            if number % 4 == 1:
+                return None
+            lines = prompt.count("\n", prompt.index("\n\nUnits:\n") + 9, prompt.rindex("\n\nMap:\n")) + 1  # counted in place: the list is most of the prompt
+            return json.dumps({"mapping_content": f"# {lines} units"})
         if prompt.startswith("Does this chunk"):
             number = int(re.search(r"\n\nChunk c(\d+):\n", prompt)[1])
             return json.dumps({"updated": number % 3 > 0, "notes_content": "n" * (number * 37 % 400 + 1)})

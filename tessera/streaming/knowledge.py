@@ -38,7 +38,7 @@ _NO_UNITS = {"en": "*No units yet.*", "zh": "*尚无单元。*"}
 
 
 def first_state(language: str = "en") -> dict[str, Any]:
-    return {"place": None, "labels": [], "terms": [], "units": [], "mapping": FIRST_MAPPING[language], "notes": FIRST_NOTES[language]}
+    return {"place": None, "labels": [], "terms": [], "units": [], "listed": "", "mapping": FIRST_MAPPING[language], "notes": FIRST_NOTES[language]}
 
 
 def notes_fit(old: str, new: str) -> bool:
@@ -64,7 +64,7 @@ def taken(state: dict[str, Any], place: int, chunk_id: str, content: str, units:
     known = {x.lower() for x in state["labels"]}, {x.lower() for x in state["terms"]}
     new = [[x for x in {v.lower(): v for v in reversed(found)}.values() if x.lower() not in old][::-1] for found, old in zip((paths, terms), known, strict=True)]
     entry = {"place": place, "chunk_id": chunk_id, "new_labels": new[0], "new_terms": new[1], "new_units": list(units), "mapping": None, "notes": None, "notes_refused": False}
-    listed = "\n".join([*state["units"], *units]) or _NO_UNITS[settings.language]
+    listed = "\n".join([state["listed"], *units] if state["listed"] else units) or _NO_UNITS[settings.language]
     mapping = _asked(provider, "mapping", {"unit_list": listed, "mapping": state["mapping"], "chunk_id": chunk_id}, settings, temperature=0.2, max_tokens=8000).get("mapping_content")
     if isinstance(mapping, str) and mapping:
         entry["mapping"] = mapping
@@ -79,8 +79,13 @@ def taken(state: dict[str, Any], place: int, chunk_id: str, content: str, units:
 
 
 def applied(state: dict[str, Any], entry: dict[str, Any]) -> dict[str, Any]:
-    """A state after an entry of its log."""
-    return {"place": entry["place"], "labels": state["labels"] + list(entry["new_labels"]), "terms": state["terms"] + list(entry["new_terms"]), "units": state["units"] + list(entry["new_units"]),
+    """A state after an entry of its log. What the given state lists grows on in the new one, so the given one is used up."""
+    for key in ("labels", "terms", "units"):
+        state[key].extend(entry[f"new_{key}"])
+    listed = state.pop("listed")
+    if entry["new_units"]:
+        listed += ("\n" if listed else "") + "\n".join(entry["new_units"])  # in place, as nothing else holds the text
+    return {"place": entry["place"], "labels": state["labels"], "terms": state["terms"], "units": state["units"], "listed": listed,
             "mapping": state["mapping"] if entry["mapping"] is None else entry["mapping"], "notes": state["notes"] if entry["notes"] is None else entry["notes"]}
 
 
@@ -95,6 +100,7 @@ class ChunkFold(StatefulProcessor):
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
         state = json.loads(self.kept.get()[0]) if self.kept.exists() else first_state(self.settings.language)
+        state["listed"] = "\n".join(state["units"])  # not kept, as it follows from the units
         chunks = pd.concat(list(rows)).sort_values(["place", "chunk_id", "content"])
         out = []
         for c in chunks.itertuples(index=False):
@@ -103,7 +109,7 @@ class ChunkFold(StatefulProcessor):
             entry = taken(state, int(c.place), c.chunk_id, c.content or "", [] if c.units is None else list(c.units), self.provider, self.settings)
             state = applied(state, entry)
             out.append({"base": key[0], "n_labels": len(state["labels"]), "n_terms": len(state["terms"]), "n_units": len(state["units"]), "mapping_changed": entry["mapping"] is not None, "notes_changed": entry["notes"] is not None, **entry})
-        self.kept.update((json.dumps(state, ensure_ascii=False),))
+        self.kept.update((json.dumps({k: v for k, v in state.items() if k != "listed"}, ensure_ascii=False),))
         yield pd.DataFrame(out, columns=[c.split()[0] for c in LOG.split(", ")])
 
     def close(self) -> None:
