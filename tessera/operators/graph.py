@@ -56,7 +56,9 @@ def merge_forests(old: DataFrame, new: DataFrame) -> DataFrame:
 def edge_upsert(edges: DataFrame) -> DataFrame:
     """Edges (ord, subject, predicate, object, source_chunks) merged without regard to case of subject and object: the first
     spelling stays, source chunks are appended."""
-    keyed = edges.withColumn("_s", F.lower("subject")).withColumn("_o", F.lower("object"))
+    # Equal rows are one first, where their place is all that is kept of them: that is merged in memory, before the shuffle.
+    equal = edges.groupBy("subject", "predicate", "object", "source_chunks").agg(F.min("ord").alias("ord"))
+    keyed = equal.withColumn("_s", F.lower("subject")).withColumn("_o", F.lower("object"))
     return (keyed.groupBy("_s", "predicate", "_o").agg(F.min_by("subject", "ord").alias("subject"), F.min_by("object", "ord").alias("object"), F.min("ord").alias("ord"), first_seen("source_chunks").alias("source_chunks"))
             .select("ord", "subject", "predicate", "object", "source_chunks"))
 

@@ -39,7 +39,10 @@ class Deltas:
 
     def read(self) -> DataFrame | None:
         paths = self._current()
-        return self.merge(self.spark.read.parquet(*paths)) if paths else None
+        if not paths:
+            return None
+        rows = self.spark.read.parquet(*paths)
+        return self.merge(rows) if len(paths) > 1 else rows  # a part or base by itself is merged already
 
     def append(self, rows: DataFrame, version: int) -> None:
         """The rows of batch ``version``; nothing where it is there already."""
